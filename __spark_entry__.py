@@ -19,8 +19,7 @@ from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.match import code_match, range_match
 from tagweave.operators.staging import stage
 from tagweave.plans import mining, profile, repair, retail
-from tagweave.plans.tags import BY_NAME, MODEL, ORDERS, LOGS, TAGS, run_tag, tag_table
-from tagweave.plans.tags import rules_of
+from tagweave.plans.tags import BY_NAME, LOGS, MODEL, TAGS, run_catalog_tag, run_tag, tag_table
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +56,7 @@ def _orders_staged(spark: SparkSession, folder: str, names) -> DataFrame:
 
 
 def _model_tag(name: str, valued: DataFrame) -> DataFrame:
-    tag = BY_NAME[name]
-    return tag_table(tag, valued, rules_of(tag, retail.taxonomy(valued.sparkSession)))
+    return tag_table(BY_NAME[name], valued, retail.taxonomy(valued.sparkSession))
 
 
 def rfm_scores(spark, folder):
@@ -209,6 +207,13 @@ def metadata_scan(spark, folder):
                              ("gender", "job", "politicalFace", "marriage")])
 
 
+def gender_from_catalog(spark, folder):
+    """Taxonomy and users as tables of the session catalog."""
+    retail.taxonomy_rows(spark).createOrReplaceTempView("tbl_basic_tags")
+    _store(spark, folder).users().createOrReplaceTempView("tbl_users")
+    return run_catalog_tag(spark, BY_NAME["gender"])
+
+
 def repair_orders(spark, folder):
     orders = _store(spark, folder).orders().select(
         "orderSn", "memberId", "paymentCode", "finishTime")
@@ -255,9 +260,9 @@ def queries() -> dict[str, Query]:
     named = [rfm_scores, rfe_scores, psm_scores, user_goods, click_ratings,
              order_metrics, log_metrics, usg_vote, product_name_lookup, profile_sql,
              profile_left, profile_joined, range_gap_drop, half_open_bands, many_bands,
-             code_unmatched_drop, nation_names, metadata_scan, repair_orders,
-             repair_orders_midnight, shift_logs, shift_logs_midnight, shift_users,
-             rfm_tag, rfe_tag, psm_tag, bp_top5, profile_full]
+             code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
+             repair_orders, repair_orders_midnight, shift_logs, shift_logs_midnight,
+             shift_users, rfm_tag, rfe_tag, psm_tag, bp_top5, profile_full]
     return {**{key: _rule_tag(tag) for key, tag in RULE_TAGS.items()},
             **{query.__name__: query for query in named}}
 

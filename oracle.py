@@ -317,6 +317,10 @@ SELECT id AS "userId", g.name AS gender, j.name AS job, p.name AS "politicalFace
        m.name AS marriage
 FROM shop_users JOIN g ON g.rule = gender JOIN j ON j.rule = job
 JOIN p ON p.rule = politicalFace JOIN m ON m.rule = marriage""",
+        "gender_from_catalog": f"""
+WITH rules(name, rule) AS (VALUES {_values(retail.RULES['gender'])})
+SELECT c_custkey AS user_id, name AS gender
+FROM customer JOIN rules ON rule = CAST(c_custkey % 3 AS VARCHAR)""",
         "repair_orders": _repair_sql(0, False),
         "repair_orders_midnight": _repair_sql(3661, True),
         "shift_logs": f"""

@@ -29,11 +29,9 @@ def code_match(users: DataFrame, rules: DataFrame, code: str, label: str,
     Codes and rules are compared as text, so a numeric code meets text rules.
     An inner match drops users whose code is NULL or named by no rule.
     """
-    named = rules.select(F.col("name").alias("_name"),
-                         F.col("rule").cast("string").alias("_key"))
-    keyed = _hide(users, code).withColumn("_key", F.col("_value").cast("string"))
-    joined = lookup(keyed, named, ["_key"], how, limit)
-    return _label(users, joined, code, label, keep=False)
+    named = attach_code(users, rules, code, "_name", how, limit)
+    return named.select(*[c for c in users.columns if c != code],
+                        F.col("_name").alias(label))
 
 
 def range_match(users: DataFrame, bands: DataFrame, metric: str, label: str,
@@ -45,19 +43,50 @@ def range_match(users: DataFrame, bands: DataFrame, metric: str, label: str,
     and an inner match drops that user; ``half_open`` stretches each band to the
     next integer instead. Overlapping bands give a user one row per band.
     """
-    named = bands.select(F.col("name").alias("_name"),
-                         F.col("start").cast("int").alias("_start"),
-                         F.col("end").cast("int").alias("_end"))
-    hidden = _hide(users, metric)
-    inside = F.col("_value") >= F.col("_start")
-    inside &= (F.col("_value") < F.col("_end") + F.lit(1).cast("bigint") if half_open
-               else F.col("_value") <= F.col("_end"))
-    if fits(named, limit):
-        joined = hidden.join(F.broadcast(named), inside, how)
-    else:
-        names = _named_values(hidden.select("_value").distinct(), named, inside)
-        joined = salted_join(hidden, names, ["_value"], how)
-    return _label(users, joined, metric, label, keep=keep_metric)
+    named = attach_band(users, bands, metric, "_name", how, half_open, limit)
+    return named.select(*[c for c in users.columns if keep_metric or c != metric],
+                        F.col("_name").alias(label))
+
+
+def attach_code(users: DataFrame, rules: DataFrame, code: str, out: str,
+                how: str = "inner", limit: int = BROADCAST_CODES,
+                rows: int | None = None) -> DataFrame:
+    """``users`` with one more column ``out`` for the name of their code.
+
+    ``rows`` is the number of rules where it is known. A helper column stays.
+    """
+    key = f"{out}_key"
+    named = rules.selectExpr(f"name AS `{out}`", f"CAST(rule AS STRING) AS `{key}`")
+    if _small(named, limit, rows):
+        return users.join(F.broadcast(named),
+                          F.expr(f"CAST(`{code}` AS STRING) = `{key}`"), how)
+    keyed = users.withColumn(key, F.col(code).cast("string"))
+    return salted_join(keyed, named, [key], how)
+
+
+def attach_band(users: DataFrame, bands: DataFrame, metric: str, out: str,
+                how: str = "inner", half_open: bool = False,
+                limit: int = BROADCAST_BANDS, rows: int | None = None) -> DataFrame:
+    """``users`` with one more column ``out`` for the name of their band.
+
+    Helper columns stay. Bands too many to compare with each user are compared
+    with each different value once, by blocks of integers.
+    """
+    start, end, value = f"{out}_start", f"{out}_end", f"{out}_value"
+    named = bands.selectExpr(f"name AS `{out}`", f"CAST(start AS INT) AS `{start}`",
+                             f"CAST(end AS INT) AS `{end}`")
+    upper = f"< CAST(`{end}` AS BIGINT) + 1" if half_open else f"<= `{end}`"
+    inside = f"`{{0}}` >= `{start}` AND `{{0}}` {upper}"
+    if _small(named, limit, rows):
+        return users.join(F.broadcast(named), F.expr(inside.format(metric)), how)
+    keyed = users.withColumn(value, F.col(metric))
+    names = (_by_blocks(keyed.select(value).distinct(), named, value, start, end)
+             .filter(inside.format(value)).select(value, out))
+    return salted_join(keyed, names, [value], how)
+
+
+def _small(df: DataFrame, limit: int, rows: int | None) -> bool:
+    return fits(df, limit) if rows is None else rows <= limit
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, keys: list[str],
@@ -67,7 +96,7 @@ def lookup(facts: DataFrame, dimension: DataFrame, keys: list[str],
 
     ``rows`` is the dimension's size where the caller knows it.
     """
-    if fits(dimension, limit) if rows is None else rows <= limit:
+    if _small(dimension, limit, rows):
         return facts.join(F.broadcast(dimension), keys, how)
     return salted_join(facts, dimension, keys, how)
 
@@ -91,53 +120,38 @@ def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
 _BLOCKS = [(size, 16 ** size) for size in range(8)]
 
 
-def _named_values(values: DataFrame, bands: DataFrame, inside) -> DataFrame:
-    """(value, name) for bands too many to compare with every value."""
-    whole = F.floor("_value").cast("bigint")
-    placed = (values.filter((F.col("_value") >= 0) & (F.col("_value") < 2.0 ** 31))
-              .select("_value", F.explode(F.array(*[
+def _by_blocks(values: DataFrame, bands: DataFrame, value: str, start: str,
+               end: str) -> DataFrame:
+    """Pairs of a value and a band that share a block; still to be compared."""
+    whole = F.floor(value).cast("bigint")
+    placed = (values.filter((F.col(value) >= 0) & (F.col(value) < 2.0 ** 31))
+              .select(value, F.explode(F.array(*[
                   F.struct(F.lit(size).alias("_size"),
                            F.floor(whole / F.lit(width)).cast("bigint").alias("_block"))
                   for size, width in _BLOCKS])).alias("_place"))
-              .select("_value", "_place.*"))
-    covered = (bands.withColumn("_cover", F.explode(F.concat(*[
-                   _cover(size, width) for size, width in _BLOCKS])))
-               .select("_name", "_start", "_end", "_cover.*"))
-    return (salted_join(placed, covered, ["_size", "_block"])
-            .filter(inside).select("_value", "_name"))
+              .select(value, "_place.*"))
+    cover = F.concat(*[_cover(size, width, start, end) for size, width in _BLOCKS])
+    covered = bands.withColumn("_cover", F.explode(cover)).select(
+        *bands.columns, "_cover.*")
+    return salted_join(placed, covered, ["_size", "_block"])
 
 
-def _cover(size: int, width: int):
+def _cover(size: int, width: int, start: str, end: str):
     """The blocks of one size inside a band, less those inside a larger block."""
-    first, last = _full_blocks(width)
-    larger_first, larger_last = _full_blocks(width * 16)
-    is_top = size == _BLOCKS[-1][0]
-    no_larger = F.lit(True) if is_top else larger_first > larger_last
+    def full_blocks(width: int):
+        first = F.ceil(F.col(start).cast("bigint") / F.lit(width))
+        after = F.floor((F.col(end).cast("bigint") + 1) / F.lit(width))
+        return first.cast("bigint"), after.cast("bigint") - 1
 
     def run(low, high):
         return F.when(low <= high, F.sequence(low, high)).otherwise(
             F.array().cast("array<bigint>"))
 
-    fringe = F.concat(run(first, larger_first * 16 - 1),
-                      run((larger_last + 1) * 16, last))
-    blocks = F.when(no_larger, run(first, last)).otherwise(fringe)
+    first, last = full_blocks(width)
+    larger_first, larger_last = full_blocks(width * 16)
+    no_larger = F.lit(size == _BLOCKS[-1][0]) | (larger_first > larger_last)
+    blocks = F.when(no_larger, run(first, last)).otherwise(
+        F.concat(run(first, larger_first * 16 - 1),
+                 run((larger_last + 1) * 16, last)))
     return F.transform(blocks, lambda block: F.struct(
         F.lit(size).alias("_size"), block.alias("_block")))
-
-
-def _full_blocks(width: int):
-    start, end = F.col("_start").cast("bigint"), F.col("_end").cast("bigint")
-    return (F.ceil(start / F.lit(width)).cast("bigint"),
-            F.floor((end + 1) / F.lit(width)).cast("bigint") - 1)
-
-
-def _hide(users: DataFrame, value: str) -> DataFrame:
-    # The label may take the matched column's own name, so move that out of the way.
-    return users.withColumnRenamed(value, "_value")
-
-
-def _label(users: DataFrame, joined: DataFrame, value: str, label: str,
-           keep: bool) -> DataFrame:
-    kept = [F.col("_value").alias(value) if c == value else F.col(f"`{c}`")
-            for c in users.columns if keep or c != value]
-    return joined.select(*kept, F.col("_name").alias(label))

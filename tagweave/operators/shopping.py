@@ -86,7 +86,7 @@ def training_rows(counted: DataFrame, folds: int = FOLDS) -> DataFrame:
 
 
 def fit_tree(rows: DataFrame, folds: int = FOLDS, seed: int = 31,
-             parallelism: int = 4) -> PipelineModel:
+             parallelism: int = 8) -> PipelineModel:
     """The best of eight trees by cross-validated accuracy.
 
     The features are categorical while a tree takes them as such, up to
@@ -94,24 +94,25 @@ def fit_tree(rows: DataFrame, folds: int = FOLDS, seed: int = 31,
     """
     order = ["fold", "color", "product", "label"]
     rows = stage(rows.coalesce(1).sortWithinPartitions(*order), "tree-rows")
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="label",
-                                  weightCol="weight", seed=seed)
-    model = Pipeline(stages=[
+    features = Pipeline(stages=[
         VectorAssembler(inputCols=["color", "product"], outputCol="raw_features"),
         VectorIndexer(inputCol="raw_features", outputCol="features",
                       maxCategories=MAX_CATEGORIES, handleInvalid="keep"),
-        tree])
+    ]).fit(rows)
+    tree = DecisionTreeClassifier(featuresCol="features", labelCol="label",
+                                  weightCol="weight", seed=seed)
     grid = (ParamGridBuilder().addGrid(tree.impurity, list(IMPURITIES))
             .addGrid(tree.maxDepth, list(MAX_DEPTHS))
             .addGrid(tree.maxBins, list(MAX_BINS)).build())
-    search = CrossValidator(estimator=model, estimatorParamMaps=grid,
+    search = CrossValidator(estimator=tree, estimatorParamMaps=grid,
                             evaluator=accuracy_evaluator(), numFolds=folds,
                             foldCol="fold", parallelism=parallelism, seed=seed)
-    rows = rows.persist()
+    ready = features.transform(rows).persist()
     try:
-        return search.fit(rows).bestModel
+        best = search.fit(ready).bestModel
     finally:
-        rows.unpersist()
+        ready.unpersist()
+    return PipelineModel(stages=[*features.stages, best])
 
 
 def accuracy_evaluator() -> MulticlassClassificationEvaluator:

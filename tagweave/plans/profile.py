@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import replace
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +14,8 @@ from tagweave.plans import mining
 from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (LOGS, MODEL, ORDERS, PREFERENCE_COLUMNS,
                                  PREFERENCE_TABLE, PROFILE_TABLE, TAGS, USERS, Tag,
-                                 name_metric, rules_of, tag_table)
+                                 attach_name, tag_table)
+from tagweave.sources.taxonomy import Taxonomy
 
 
 def assemble(tables: Iterable[DataFrame], how: str = "inner") -> DataFrame:
@@ -56,22 +57,19 @@ def entity_metrics(store, settings: Settings, entity: str,
     return build(store.read(table), as_of, names)
 
 
-def name_all(valued: DataFrame, taxonomy: DataFrame, tags: Iterable[Tag],
+def name_all(valued: DataFrame, taxonomy: Taxonomy, tags: Iterable[Tag],
              how: str = "inner", carry: Iterable[str] = ()) -> DataFrame:
     """Replace the metrics of ``tags`` by their names, row by row: the rules come
     to the users, whose rows stay where they are."""
-    tags, carry = list(tags), list(carry)
-    # Metrics and labels may share names, so metrics step aside first.
-    named = valued.select("userId", *carry, *[F.col(tag.metric).alias(f"_m{i}")
-                                              for i, tag in enumerate(tags)])
-    for i, tag in enumerate(tags):
-        moved = replace(tag, metric=f"_m{i}", metric_label=None)
-        named = name_metric(moved, named, rules_of(tag, taxonomy),
-                            tag.profile_label, how)
-    return named.select("userId", *(tag.profile_label for tag in tags), *carry)
-
-
-def rule_profile(store, taxonomy: DataFrame, settings: Settings,
+    tags = list(tags)
+    named = valued
+    for tag in tags:
+        named = attach_name(tag, named, taxonomy, tag.metric, f"_{tag.name}", how)
+    return named.select("userId", *[F.col(f"_{tag.name}").alias(tag.profile_label)
+                                    for tag in tags], *carry)
+
+
+def rule_profile(store, taxonomy: Taxonomy, settings: Settings,
                  how: str = "inner") -> DataFrame:
     """The profile without the model tags, as one lazy query over the inputs.
 
@@ -97,19 +95,26 @@ def full_values(store, settings: Settings) -> dict[str, DataFrame]:
     wanted[ORDERS] += [m for m in (*cluster.RFM_METRICS, "psmScore")
                        if m not in wanted[ORDERS]]
     wanted[LOGS] += [m for m in cluster.RFE_METRICS if m not in wanted[LOGS]]
-    users, orders, logs = (
-        stage(entity_metrics(store, settings, entity, names), f"{entity}-metrics")
-        for entity, names in wanted.items())
-    return {
-        USERS: users,
-        ORDERS: mining.add_psm(mining.add_rfm(orders, settings), settings),
-        LOGS: mining.add_rfe(logs, settings),
-        "goods": stage(mining.usg_votes(store, settings), "usg-votes"),
-        "preferences": stage(mining.preferences(store, settings), "preferences"),
+
+    def staged(entity: str) -> DataFrame:
+        return stage(entity_metrics(store, settings, entity, wanted[entity]),
+                     f"{entity}-metrics")
+
+    steps = {
+        "goods": lambda: stage(mining.usg_votes(store, settings), "usg-votes"),
+        "preferences": lambda: stage(mining.preferences(store, settings), "preferences"),
+        ORDERS: lambda: mining.add_psm(mining.add_rfm(staged(ORDERS), settings), settings),
+        LOGS: lambda: mining.add_rfe(staged(LOGS), settings),
+        USERS: lambda: staged(USERS),
     }
+    # The steps share nothing, and small training jobs leave a cluster idle.
+    with ThreadPoolExecutor(len(steps)) as threads:
+        running = {name: threads.submit(step) for name, step in steps.items()}
+        return {name: running[name].result()
+                for name in (USERS, ORDERS, LOGS, "goods", "preferences")}
 
 
-def full_profile(values: Mapping[str, DataFrame], taxonomy: DataFrame,
+def full_profile(values: Mapping[str, DataFrame], taxonomy: Taxonomy,
                  how: str = "inner") -> DataFrame:
     """The profile with all 22 tags from ``full_values``."""
     wide = assemble(values.values(), how)
@@ -118,17 +123,17 @@ def full_profile(values: Mapping[str, DataFrame], taxonomy: DataFrame,
 
 
 def all_tag_tables(values: Mapping[str, DataFrame],
-                   taxonomy: DataFrame) -> dict[str, DataFrame]:
+                   taxonomy: Taxonomy) -> dict[str, DataFrame]:
     """The 22 tag tables by table name."""
     holder = {column: frame for frame in values.values() for column in frame.columns
               if column != "userId"}
-    tables = {tag.table: tag_table(tag, holder[tag.metric], rules_of(tag, taxonomy))
+    tables = {tag.table: tag_table(tag, holder[tag.metric], taxonomy)
               for tag in TAGS}
     tables[PREFERENCE_TABLE] = values["preferences"]
     return tables
 
 
-def run_all(store, out, taxonomy: DataFrame, settings: Settings,
+def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
             how: str = "inner", sort_by: str | None = None) -> DataFrame:
     """Compute and write all tag tables, then the profile; return the profile.
 

@@ -13,7 +13,7 @@ from tagweave.operators.shopping import GoodsCoding
 from tagweave.plans.settings import Settings
 from tagweave.plans.tags import BY_NAME
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF
-from tagweave.sources.taxonomy import taxonomy_frame
+from tagweave.sources.taxonomy import Taxonomy, taxonomy_frame
 
 RULES: dict[str, list[tuple[str, str]]] = {
     "gender": [("male", "0"), ("female", "1"), ("undisclosed", "2")],
@@ -95,7 +95,7 @@ CODING = GoodsCoding(
 PAYMENTS = {"1-URGENT": "urgent order", "2-HIGH": "high order", "3-MEDIUM": "medium order"}
 
 
-def taxonomy(spark: SparkSession, covering: bool = False) -> DataFrame:
+def taxonomy_rows(spark: SparkSession, covering: bool = False) -> DataFrame:
     rules = {**RULES, **COVERING} if covering else RULES
     tags = []
     for name, values in rules.items():
@@ -107,6 +107,10 @@ def taxonomy(spark: SparkSession, covering: bool = False) -> DataFrame:
     return taxonomy_frame(spark, tags)
 
 
+def taxonomy(spark: SparkSession, covering: bool = False) -> Taxonomy:
+    return Taxonomy(taxonomy_rows(spark, covering))
+
+
 def settings(**changes) -> Settings:
     return Settings(**{"orders_as_of": ORDERS_AS_OF, "logs_as_of": LOGS_AS_OF,
                        "rfm_bands": RFM_BANDS, "rfe_bands": RFE_BANDS,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators import metrics
-from tagweave.operators.match import code_match, range_match
+from tagweave.operators.match import attach_band, attach_code
 from tagweave.operators.metrics import AsOf
-from tagweave.sources.taxonomy import band_rules, code_rules, source_rule
+from tagweave.sources.tables import CatalogTables
+from tagweave.sources.taxonomy import Taxonomy
 
 USERS, ORDERS, LOGS, MODEL = "users", "orders", "logs", "model"
 CODE, RANGE = "code", "range"
@@ -93,31 +94,38 @@ def tag_metric(tag: Tag, source: DataFrame, as_of: AsOf = None) -> DataFrame:
     return _METRICS[tag.entity](source, as_of, [tag.metric])
 
 
-def rules_of(tag: Tag, taxonomy: DataFrame) -> DataFrame:
-    return (code_rules if tag.match == CODE else band_rules)(taxonomy, tag.id)
-
-
-def name_metric(tag: Tag, valued: DataFrame, rules: DataFrame, label: str,
-                how: str = "inner") -> DataFrame:
-    """Give ``valued``, any frame with the tag's metric, its name as ``label``."""
+def attach_name(tag: Tag, valued: DataFrame, taxonomy: Taxonomy, metric: str,
+                out: str, how: str = "inner") -> DataFrame:
+    """``valued`` with the tag's name of its ``metric`` as one more column."""
     if tag.match == CODE:
-        return code_match(valued, rules, tag.metric, label, how)
-    return range_match(valued, rules, tag.metric, label,
-                       keep_metric=bool(tag.metric_label), how=how)
+        rules = taxonomy.code_rules(tag.id)
+        return attach_code(valued, rules.frame, metric, out, how, rows=rules.rows)
+    rules = taxonomy.band_rules(tag.id)
+    return attach_band(valued, rules.frame, metric, out, how, rows=rules.rows)
 
 
-def tag_table(tag: Tag, valued: DataFrame, rules: DataFrame) -> DataFrame:
+def tag_table(tag: Tag, valued: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """The tag's result table from a frame with userId and its metric."""
-    named = name_metric(tag, valued.select("userId", tag.metric), rules, "_label")
-    columns = {"userId": "userId", "_label": tag.label}
+    named = attach_name(tag, valued.select("userId", tag.metric), taxonomy,
+                        tag.metric, "_name")
+    columns = {"userId": "userId", "_name": tag.label}
     if tag.metric_label:
         columns[tag.metric] = tag.metric_label
-    return named.select(*[named[c].alias(out) for c, out in columns.items()])
+    return named.select(*[F.col(c).alias(out) for c, out in columns.items()])
 
 
-def run_tag(tag: Tag, store, taxonomy: DataFrame, as_of: AsOf = None) -> DataFrame:
+def run_tag(tag: Tag, store, taxonomy: Taxonomy, as_of: AsOf = None) -> DataFrame:
     """The tag as its taxonomy row directs: only the named fields of the named
     table are read."""
-    rule = source_rule(taxonomy, tag.id)
+    rule = taxonomy.source_rule(tag.id)
     source = store.read(rule.table).select(*rule.fields)
-    return tag_table(tag, tag_metric(tag, source, as_of), rules_of(tag, taxonomy))
+    return tag_table(tag, tag_metric(tag, source, as_of), taxonomy)
+
+
+def run_catalog_tag(spark, tag: Tag, database: str | None = None,
+                    taxonomy_table: str = "tbl_basic_tags", as_of: AsOf = None) -> DataFrame:
+    """The tag with taxonomy and source read from the session catalog; the user
+    column is called user_id there."""
+    store = CatalogTables(spark, database)
+    return run_tag(tag, store, Taxonomy(store.read(taxonomy_table)),
+                   as_of).withColumnRenamed("userId", "user_id")

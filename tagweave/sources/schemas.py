@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
@@ -57,13 +57,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     be absent; columns outside the contract pass through. Values that do not
     fit a type fail under ANSI mode rather than turn into NULL.
     """
-    declared = {field.name: field.dataType for field in schema}
-    return df.select(*[
-        F.col(f"`{name}`").cast(declared[name]).alias(name)
-        if name in declared and dtype != declared[name].simpleString()
-        else F.col(f"`{name}`")
-        for name, dtype in df.dtypes
-    ])
+    declared = {field.name: field.dataType.simpleString() for field in schema}
+    other = {name for name, dtype in df.dtypes if declared.get(name, dtype) != dtype}
+    if not other:
+        return df
+    return df.selectExpr(*[
+        f"CAST(`{name}` AS {declared[name]}) AS `{name}`" if name in other else f"`{name}`"
+        for name in df.columns])
 
 
 def require(df: DataFrame, columns: list[str], what: str) -> DataFrame:

@@ -6,6 +6,7 @@ Level 4 rows are tags, ``selectTable=<table>;selectField=<a>|<b>``; their level
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tagweave.functions.columns import range_bounds
 from tagweave.sources.schemas import TAXONOMY, conform, require
 
-# Rule sets up to this size are checked on the driver and kept as literals.
+# Rows of a taxonomy that is kept on the driver.
 LITERAL_RULES = 10_000
 
 
@@ -38,64 +39,96 @@ def parse_source_rule(tag_id: int, text: str | None) -> SourceRule:
     return SourceRule(table, fields)
 
 
-def source_rule(taxonomy: DataFrame, tag_id: int) -> SourceRule:
-    taxonomy = conform(require(taxonomy, TAXONOMY.names, "taxonomy"), TAXONOMY)
-    row = taxonomy.filter("level = 4").where(F.col("id") == tag_id).select("rule").head()
-    return parse_source_rule(tag_id, row["rule"] if row else None)
-
-
-def tag_values(taxonomy: DataFrame, tag_id: int) -> DataFrame:
-    """The (name, rule) children of a tag."""
-    taxonomy = conform(require(taxonomy, TAXONOMY.names, "taxonomy"), TAXONOMY)
-    return (taxonomy.filter("level = 5").where(F.col("pid") == tag_id)
-            .select("name", "rule"))
-
+@dataclass(frozen=True)
+class Rules:
+    """The values of one tag as a frame, and its row count where that is known."""
 
-def code_rules(taxonomy: DataFrame, tag_id: int) -> DataFrame:
-    """(name, rule) of a code tag."""
-    return _as_literals(tag_values(taxonomy, tag_id), tag_id)[0]
+    frame: DataFrame
+    rows: int | None = None
 
 
-def band_rules(taxonomy: DataFrame, tag_id: int, allow_overlap: bool = False) -> DataFrame:
-    """(name, start, end) of a range tag.
+class Taxonomy:
+    """The rules of all tags, read once.
 
-    A malformed range raises. So do overlapping ranges, since they would give
-    one user two values, unless ``allow_overlap``.
+    Up to ``limit`` rows are kept and become literals of the plans that use them,
+    so Catalyst knows their size and no tag scans the taxonomy again. A larger
+    taxonomy stays a table, filtered per tag.
     """
-    bounds = (tag_values(taxonomy, tag_id)
-              .withColumn("bounds", range_bounds(F.col("rule")))
-              .select("name", "rule", "bounds.start", "bounds.end"))
-    bad = "start IS NULL OR end IS NULL OR start > end"
-    literal, rows = _as_literals(bounds, tag_id)
-    if rows is None:
-        broken = bounds.filter(bad).take(3)
-    else:
-        broken = [r for r in rows
-                  if r["start"] is None or r["end"] is None or r["start"] > r["end"]]
-    if broken:
-        raise ValueError(f"tag {tag_id} has malformed range(s): "
-                         f"{[r['rule'] for r in broken[:3]]}")
-    if rows and not allow_overlap:
-        spans = sorted((r["start"], r["end"], r["rule"]) for r in rows)
-        for before, after in zip(spans, spans[1:]):
-            if after[0] <= before[1]:
-                raise ValueError(f"tag {tag_id} has overlapping ranges "
-                                 f"{before[2]!r} and {after[2]!r}")
-    return literal.select("name", "start", "end")
-
-
-def _as_literals(rules: DataFrame, tag_id: int):
-    """Up to ``LITERAL_RULES`` rows as plan literals, so Catalyst knows the exact
-    size and the taxonomy is not scanned again per tag; a larger set stays lazy."""
-    rows = rules.take(LITERAL_RULES + 1)
-    if not rows:
-        raise ValueError(f"tag {tag_id} has no values in the taxonomy")
-    if len(rows) > LITERAL_RULES:
-        return rules, None
-    schema = pa.schema([(f.name, pa.int32() if f.dataType.simpleString() == "int"
-                         else pa.string()) for f in rules.schema])
-    table = pa.Table.from_pylist([r.asDict() for r in rows], schema=schema)
-    return rules.sparkSession.createDataFrame(table), rows
+
+    def __init__(self, frame: DataFrame, limit: int = LITERAL_RULES):
+        self._frame = conform(require(frame, TAXONOMY.names, "taxonomy"),
+                              TAXONOMY).select(*TAXONOMY.names)
+        rows = self._frame.filter("level IN (4, 5)").take(limit + 1)
+        self._rows = rows if len(rows) <= limit else None
+
+    def source_rule(self, tag_id: int) -> SourceRule:
+        if self._rows is None:
+            row = (self._frame.filter("level = 4").where(F.col("id") == tag_id)
+                   .select("rule").head())
+        else:
+            row = next((r for r in self._rows if (r.level, r.id) == (4, tag_id)), None)
+        return parse_source_rule(tag_id, row.rule if row else None)
+
+    def code_rules(self, tag_id: int) -> Rules:
+        """(name, rule) of a code tag."""
+        if self._rows is None:
+            return Rules(self._values(tag_id))
+        values = [(r.name, r.rule) for r in self._literal_values(tag_id)]
+        return Rules(_literals(self._frame.sparkSession, values, ("name", "rule")),
+                     len(values))
+
+    def band_rules(self, tag_id: int, allow_overlap: bool = False) -> Rules:
+        """(name, start, end) of a range tag.
+
+        A malformed range raises. So do overlapping ranges, since they would give
+        one user two values, unless ``allow_overlap``; a taxonomy too large to be
+        kept is not checked for overlap.
+        """
+        if self._rows is None:
+            bands = self._values(tag_id).select(
+                "name", "rule", range_bounds(F.col("rule")).alias("bounds")).select(
+                "name", "rule", "bounds.start", "bounds.end")
+            broken = bands.filter("start IS NULL OR end IS NULL OR start > end").take(3)
+            _refuse(tag_id, "malformed", [r.rule for r in broken])
+            return Rules(bands.drop("rule"))
+        values = [(r.name, *_bounds(tag_id, r.rule)) for r in self._literal_values(tag_id)]
+        spans = sorted(values, key=lambda v: v[1:])
+        if not allow_overlap:
+            _refuse(tag_id, "overlapping", [
+                f"{a[1]}-{a[2]} and {b[1]}-{b[2]}" for a, b in zip(spans, spans[1:])
+                if b[1] <= a[2]])
+        return Rules(_literals(self._frame.sparkSession, values,
+                               ("name", "start", "end")), len(values))
+
+    def _values(self, tag_id: int) -> DataFrame:
+        return (self._frame.filter("level = 5").where(F.col("pid") == tag_id)
+                .select("name", "rule"))
+
+    def _literal_values(self, tag_id: int) -> list:
+        values = [r for r in self._rows if (r.level, r.pid) == (5, tag_id)]
+        if not values:
+            raise ValueError(f"tag {tag_id} has no values in the taxonomy")
+        return values
+
+
+def _bounds(tag_id: int, rule: str | None) -> tuple[int, int]:
+    found = re.fullmatch(r"\s*(\d+)\s*-\s*(\d+)\s*", rule or "")
+    bounds = tuple(map(int, found.groups())) if found else (1, 0)
+    if not bounds[0] <= bounds[1] < 2 ** 31:
+        _refuse(tag_id, "malformed", [rule])
+    return bounds
+
+
+def _refuse(tag_id: int, fault: str, rules: list) -> None:
+    if rules:
+        raise ValueError(f"tag {tag_id} has {fault} range(s): {rules[:3]}")
+
+
+def _literals(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    return spark.createDataFrame(pa.table(
+        [pa.array(column, pa.int32() if name in ("id", "pid", "level", "start", "end")
+                  else pa.string()) for name, column in zip(names, zip(*rows))],
+        names=list(names)))
 
 
 def taxonomy_frame(spark: SparkSession,
@@ -107,8 +140,4 @@ def taxonomy_frame(spark: SparkSession,
         rows.append((tag_id, 0, 4, name, source))
         rows += [(tag_id * 1000 + i, tag_id, 5, value, rule)
                  for i, (value, rule) in enumerate(values, 1)]
-    columns = list(zip(*rows))
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-    return spark.createDataFrame(pa.table(
-        [pa.array(column, kind) for column, kind in zip(columns, types)],
-        names=TAXONOMY.names))
+    return _literals(spark, rows, tuple(TAXONOMY.names))
