@@ -99,8 +99,9 @@ def usg_vote(spark, folder):
 
 def user_goods(spark, folder):
     store = _store(spark, folder)
-    return shopping.user_goods(store.goods(), store.orders(), retail.CODING).select(
-        "userId", "color", "product", "label", "goods")
+    return (shopping.user_goods(store.goods(), store.orders(), retail.CODING)
+            .groupBy("userId", "color", "product", "label")
+            .agg(F.count("*").alias("goods")))
 
 
 def click_ratings(spark, folder):

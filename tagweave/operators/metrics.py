@@ -221,19 +221,16 @@ def product_ratings(logs: DataFrame) -> DataFrame:
             .agg(F.count("*").cast("int").alias("rating")))
 
 
-def basket(goods: DataFrame, orders: DataFrame, features: Mapping[str, Column],
-           counts: Mapping[str, Column] | None = None) -> DataFrame:
-    """Purchased goods per (userId, *features), counted.
+def sold_goods(goods: DataFrame, orders: DataFrame,
+               columns: Mapping[str, Column]) -> DataFrame:
+    """userId and the given columns for each item of an order.
 
-    Both sides of the order join are facts, so neither is broadcast; adaptive
-    execution splits an order that holds very many goods. Counting by user and
-    feature right behind the join leaves at most one row per combination.
+    Both sides of the join are facts, so neither is broadcast; adaptive execution
+    splits an order that holds very many items. Only the short coded columns
+    leave the join.
     """
-    goods = conform(goods, GOODS).select(
-        "cOrderSn", *[c.alias(n) for n, c in features.items()])
+    items = conform(goods, GOODS).select(
+        "cOrderSn", *[c.alias(name) for name, c in columns.items()])
     owners = conform(orders, ORDERS).select(
         F.col("memberId").alias("userId"), F.col("orderSn").alias("cOrderSn"))
-    return (goods.join(owners, "cOrderSn")
-            .groupBy("userId", *features)
-            .agg(F.count("*").alias("goods"),
-                 *[c.alias(n) for n, c in (counts or {}).items()]))
+    return items.join(owners, "cOrderSn").select("userId", *columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tagweave.functions.columns import share_vote, vocabulary_code
 from tagweave.operators.match import lookup
-from tagweave.operators.metrics import basket
+from tagweave.operators.metrics import sold_goods
 from tagweave.operators.staging import stage
 
 # Goods colours and product types in the order of their codes,
@@ -66,23 +66,16 @@ class GoodsCoding:
 
 def user_goods(goods: DataFrame, orders: DataFrame,
                coding: GoodsCoding = GoodsCoding(), folds: int = FOLDS) -> DataFrame:
-    """Goods per (userId, color, product, label), in all and per training fold."""
-    fold = F.pmod(F.xxhash64("cOrderSn"), F.lit(folds))
-    return basket(goods, orders, coding.features(),
-                  {f"fold_{i}": F.count_if(fold == i) for i in range(folds)})
+    """(userId, color, product, label, fold) for each item sold. The training
+    fold goes by order and is the same on every run."""
+    fold = F.pmod(F.xxhash64("cOrderSn"), F.lit(folds)).cast("int")
+    return sold_goods(goods, orders, {**coding.features(), "fold": fold})
 
 
-def training_rows(counted: DataFrame, folds: int = FOLDS) -> DataFrame:
+def training_rows(items: DataFrame) -> DataFrame:
     """(color, product, label, fold, weight), one row per combination met."""
-    total = counted.groupBy("color", "product", "label").agg(
-        *[F.sum(f"fold_{i}").alias(f"fold_{i}") for i in range(folds)])
-    each = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("fold"),
-                 F.col(f"fold_{i}").cast("double").alias("weight"))
-        for i in range(folds)])).alias("part")
-    return (total.select("color", "product", "label", each)
-            .select("color", "product", "label", "part.fold", "part.weight")
-            .filter("weight > 0"))
+    return items.groupBy("color", "product", "label", "fold").agg(
+        F.count("*").cast("double").alias("weight"))
 
 
 def fit_tree(rows: DataFrame, folds: int = FOLDS, seed: int = 31,
@@ -132,17 +125,16 @@ def predicted_codes(model: PipelineModel, spark: SparkSession,
     return model.transform(pairs).select("color", "product", "prediction")
 
 
-def shopping_vote(counted: DataFrame, predictions: DataFrame) -> DataFrame:
-    """(userId, usg): '0' or '1', the prediction at least half of the goods have.
+def shopping_vote(items: DataFrame, predictions: DataFrame) -> DataFrame:
+    """(userId, usg): '0' or '1', the prediction at least half of the items have.
 
     ``predictions`` has one row per pair of codes, a number fixed by the
     vocabularies: 600 for the standard ones.
     """
-    goods = F.col("goods")
-    return (lookup(counted, predictions, ["color", "product"])
+    return (lookup(items, predictions, ["color", "product"])
             .groupBy("userId")
-            .agg(F.sum(goods).alias("total"),
-                 F.sum(F.when(F.col("prediction") == 0, goods).otherwise(0)).alias("male"),
-                 F.sum(F.when(F.col("prediction") == 1, goods).otherwise(0)).alias("female"))
+            .agg(F.count("*").alias("total"),
+                 F.count_if(F.col("prediction") == 0).alias("male"),
+                 F.count_if(F.col("prediction") == 1).alias("female"))
             .select("userId", share_vote(F.col("total"), F.col("male"),
                                          F.col("female")).alias("usg")))

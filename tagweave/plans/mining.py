@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.staging import stage
@@ -67,15 +67,15 @@ def add_psm(order_values: DataFrame, settings: Settings) -> DataFrame:
 def usg_votes(store, settings: Settings) -> DataFrame:
     """(userId, usgVote). Goods and orders are joined once, also when the tree
     has to be trained."""
-    counted = shopping.user_goods(store.read("tbl_goods"), store.read("tbl_orders"),
-                                  settings.coding)
-    spark = counted.sparkSession
+    items = shopping.user_goods(store.read("tbl_goods"), store.read("tbl_orders"),
+                                settings.coding)
+    spark = items.sparkSession
     if must_fit(spark, settings, "usg"):
-        counted = stage(counted, "user-goods")
+        items = stage(items, "user-goods")
     model = _model(spark, settings, "usg", PipelineModel,
-                   lambda: shopping.fit_tree(shopping.training_rows(counted)))
+                   lambda: shopping.fit_tree(shopping.training_rows(items)))
     predictions = shopping.predicted_codes(model, spark, settings.coding)
-    return shopping.shopping_vote(counted, predictions).withColumnRenamed("usg", "usgVote")
+    return shopping.shopping_vote(items, predictions).withColumnRenamed("usg", "usgVote")
 
 
 def preferences(store, settings: Settings) -> DataFrame:
@@ -83,6 +83,6 @@ def preferences(store, settings: Settings) -> DataFrame:
     logs = store.read("tbl_logs")
     model = _model(logs.sparkSession, settings, "bp", ALSModel,
                    lambda: recommend.fit_recommender(
-                       metrics.product_ratings(logs), settings.recommender_blocks,
-                       settings.regularisation))
+                       stage(metrics.product_ratings(logs), "ratings"),
+                       settings.recommender_blocks, settings.regularisation))
     return recommend.recommend(model)

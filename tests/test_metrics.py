@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.operators import metrics
-from tagweave.operators.metrics import (basket, log_metrics, mode_per_key,
-                                        order_metrics, product_ratings, user_metrics)
+from tagweave.operators.metrics import (log_metrics, mode_per_key, order_metrics,
+                                        product_ratings, sold_goods, user_metrics)
 
 ORDERS = ("memberId string, orderSn string, orderAmount string, couponCodeValue string, "
           "orderStatus int, paymentCode string, finishTime bigint")
@@ -135,14 +135,14 @@ def test_product_ratings(spark, rows):
     assert rows(product_ratings(logs)) == [(1, 5, 2)]
 
 
-def test_basket_counts_every_pair_of_line_and_order(spark, rows):
+def test_sold_goods_pairs_every_item_with_every_order_row(spark, rows):
     goods = spark.createDataFrame([("a", "red", "t"), ("a", "red", "t"), ("b", "blue", "t"),
                                    ("z", "red", "t")],
                                   "cOrderSn string, ogColor string, productType string")
     orders = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b")],
                                    "memberId string, orderSn string")
-    found = basket(goods, orders, {"color": F.col("ogColor")})
-    assert rows(found) == [(1, "red", 2), (2, "blue", 2)]
+    found = sold_goods(goods, orders, {"color": F.col("ogColor")})
+    assert rows(found) == [(1, "red"), (1, "red"), (2, "blue"), (2, "blue")]
 
 
 def test_a_hot_user_is_combined_before_the_shuffle(spark):
@@ -168,9 +168,8 @@ def test_a_hot_order_is_split_by_the_join(spark):
     try:
         for key, value in changed.items():
             spark.conf.set(key, value)
-        found = basket(goods, orders, {"color": F.col("ogColor")})
-        assert found.agg(F.sum("goods")).head()[0] == found.count() == 20000
-        found.collect()
+        found = sold_goods(goods, orders, {"color": F.col("ogColor")})
+        assert len(found.collect()) == 20000
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan
     finally:
