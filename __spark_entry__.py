@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 import oracle
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.match import code_match, range_match
-from tagweave.operators.staging import stage
-from tagweave.plans import mining, profile, repair, retail
-from tagweave.plans.tags import BY_NAME, LOGS, MODEL, TAGS, run_catalog_tag, run_tag, tag_table
+from tagweave.plans import jobs, mining, profile, repair, retail
+from tagweave.plans.tags import BY_NAME, MODEL, TAGS, run_catalog_tag, run_tag
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,17 +30,12 @@ def _store(spark: SparkSession, folder: str) -> StarSchema:
     return StarSchema(spark, folder)
 
 
-def _as_of(entity: str) -> str:
-    return LOGS_AS_OF if entity == LOGS else ORDERS_AS_OF
-
-
-def _rule_tag(name: str) -> Query:
-    """A code or range tag, its source and values taken from the taxonomy."""
-    tag = BY_NAME[name]
+def _tag(name: str) -> Query:
+    """One tag, a rule tag by way of its taxonomy row."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        tagged = run_tag(tag, _store(spark, folder), retail.taxonomy(spark),
-                         _as_of(tag.entity))
+        tagged = jobs.tag(name, _store(spark, folder), retail.taxonomy(spark),
+                          retail.settings())
         if name == "maxOrder":
             tagged = tagged.withColumn("max_orderAmount",
                                        F.col("max_orderAmount").cast("double"))
@@ -50,15 +44,6 @@ def _rule_tag(name: str) -> Query:
     return query
 
 
-def _orders_staged(spark: SparkSession, folder: str, names) -> DataFrame:
-    orders = _store(spark, folder).orders()
-    return stage(metrics.order_metrics(orders, ORDERS_AS_OF, names), "order-metrics")
-
-
-def _model_tag(name: str, valued: DataFrame) -> DataFrame:
-    return tag_table(BY_NAME[name], valued, retail.taxonomy(valued.sparkSession))
-
-
 def rfm_scores(spark, folder):
     valued = metrics.order_metrics(_store(spark, folder).orders(), ORDERS_AS_OF,
                                    cluster.RFM_METRICS)
@@ -77,26 +62,6 @@ def psm_scores(spark, folder):
     return metrics.order_metrics(_store(spark, folder).orders(), ORDERS_AS_OF, ["psmScore"])
 
 
-def rfm_tag(spark, folder):
-    valued = _orders_staged(spark, folder, cluster.RFM_METRICS)
-    return _model_tag("rfm", mining.add_rfm(valued, retail.settings()))
-
-
-def rfe_tag(spark, folder):
-    valued = stage(metrics.log_metrics(_store(spark, folder).logs(), LOGS_AS_OF,
-                                       cluster.RFE_METRICS), "log-metrics")
-    return _model_tag("rfe", mining.add_rfe(valued, retail.settings()))
-
-
-def psm_tag(spark, folder):
-    valued = _orders_staged(spark, folder, ["psmScore"])
-    return _model_tag("psm", mining.add_psm(valued, retail.settings()))
-
-
-def usg_vote(spark, folder):
-    return _model_tag("usg", mining.usg_votes(_store(spark, folder), retail.settings()))
-
-
 def user_goods(spark, folder):
     store = _store(spark, folder)
     return (shopping.user_goods(store.goods(), store.orders(), retail.CODING)
@@ -108,10 +73,6 @@ def click_ratings(spark, folder):
     return metrics.product_ratings(_store(spark, folder).logs())
 
 
-def bp_top5(spark, folder):
-    return mining.preferences(_store(spark, folder), retail.settings())
-
-
 def product_name_lookup(spark, folder):
     """Names of the five products a user visited most."""
     store = _store(spark, folder)
@@ -150,7 +111,7 @@ def profile_joined(spark, folder):
     """The same profile from one table per tag."""
     store, rules = _store(spark, folder), retail.taxonomy(spark, True)
     return profile.assemble(profile.profile_parts(
-        {tag.name: run_tag(tag, store, rules, _as_of(tag.entity))
+        {tag.name: run_tag(tag, store, rules, retail.settings().as_of(tag.entity))
          for tag in TAGS if tag.entity != MODEL}))
 
 
@@ -250,6 +211,8 @@ RULE_TAGS = {
     "tag_exchange_count": "exchangeRate", "tag_last_login": "lastLogin",
     "tag_log_frequency": "logFrequency", "tag_log_time_slot": "logTimeSlot",
 }
+MODEL_TAGS = {"usg_vote": "usg", "rfm_tag": "rfm", "rfe_tag": "rfe", "psm_tag": "psm",
+              "bp_top5": "bp"}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -259,12 +222,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = [rfm_scores, rfe_scores, psm_scores, user_goods, click_ratings,
-             order_metrics, log_metrics, usg_vote, product_name_lookup, profile_sql,
+             order_metrics, log_metrics, product_name_lookup, profile_sql,
              profile_left, profile_joined, range_gap_drop, half_open_bands, many_bands,
              code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
              repair_orders, repair_orders_midnight, shift_logs, shift_logs_midnight,
-             shift_users, rfm_tag, rfe_tag, psm_tag, bp_top5, profile_full]
-    return {**{key: _rule_tag(tag) for key, tag in RULE_TAGS.items()},
+             shift_users, profile_full]
+    return {**{key: _tag(tag) for key, tag in {**RULE_TAGS, **MODEL_TAGS}.items()},
             **{query.__name__: query for query in named}}
 
 

@@ -106,13 +106,14 @@ def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
     """Equi join that cuts every key's facts into ``salts`` parts.
 
     The salt is a hash of the row, not a random number: a task that runs again
-    after a lost executor puts its rows in the same place.
+    after a lost executor puts its rows in the same place. The hint is there
+    since Catalyst cannot foresee how far the copies grow and might broadcast.
     """
     salted = facts.withColumn(
         "_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
     copies = dimension.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 # A band is covered by aligned blocks of 16^0 .. 16^7 integers: at most 30 per

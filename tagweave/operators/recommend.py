@@ -68,9 +68,9 @@ def name_products(recommended: DataFrame, products: DataFrame,
     slot = F.posexplode(F.array(*[F.col(n) for n in names])).alias("_slot", "productId")
     long = recommended.select("userId", slot)
     wanted = long.select("productId").distinct()
-    catalogue = (products.groupBy("productId")
-                 .agg(F.min("productName").alias("productName"))
-                 .join(wanted, "productId", "left_semi"))
+    catalogue = stage(products.groupBy("productId")
+                      .agg(F.min("productName").alias("productName"))
+                      .join(wanted, "productId", "left_semi"), "product-names")
     named = lookup(long, catalogue, ["productId"], "left")
     wide = named.groupBy("userId").agg(
         *[F.max(F.when(F.col("_slot") == i, F.col("productName"))).alias(name)

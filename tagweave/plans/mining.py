@@ -67,7 +67,7 @@ def add_psm(order_values: DataFrame, settings: Settings) -> DataFrame:
 def usg_votes(store, settings: Settings) -> DataFrame:
     """(userId, usgVote). Goods and orders are joined once, also when the tree
     has to be trained."""
-    items = shopping.user_goods(store.read("tbl_goods"), store.read("tbl_orders"),
+    items = shopping.user_goods(store.read(settings.goods), store.read(settings.orders),
                                 settings.coding)
     spark = items.sparkSession
     if must_fit(spark, settings, "usg"):
@@ -80,9 +80,27 @@ def usg_votes(store, settings: Settings) -> DataFrame:
 
 def preferences(store, settings: Settings) -> DataFrame:
     """(userId, top1..top5): the products recommended to each user."""
-    logs = store.read("tbl_logs")
+    logs = store.read(settings.logs)
     model = _model(logs.sparkSession, settings, "bp", ALSModel,
                    lambda: recommend.fit_recommender(
                        stage(metrics.product_ratings(logs), "ratings"),
                        settings.recommender_blocks, settings.regularisation))
     return recommend.recommend(model)
+
+
+def mined(name: str, store, settings: Settings) -> DataFrame:
+    """The metric frame of one model tag, straight from the inputs."""
+    if name == "usg":
+        return usg_votes(store, settings)
+    add, build, table, columns, as_of = {
+        "rfm": (add_rfm, metrics.order_metrics, settings.orders, cluster.RFM_METRICS,
+                settings.orders_as_of),
+        "psm": (add_psm, metrics.order_metrics, settings.orders, ["psmScore"],
+                settings.orders_as_of),
+        "rfe": (add_rfe, metrics.log_metrics, settings.logs, cluster.RFE_METRICS,
+                settings.logs_as_of),
+    }[name]
+    valued = build(store.read(table), as_of, columns)
+    if must_fit(valued.sparkSession, settings, name):
+        valued = stage(valued, f"{name}-metrics")
+    return add(valued, settings)

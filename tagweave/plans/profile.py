@@ -49,12 +49,10 @@ def check_unique(table: DataFrame, what: str) -> DataFrame:
 def entity_metrics(store, settings: Settings, entity: str,
                    names: Iterable[str]) -> DataFrame:
     """Metrics of the users, the orders or the logs table."""
-    build, table, as_of = {
-        USERS: (metrics.user_metrics, "tbl_users", settings.orders_as_of),
-        ORDERS: (metrics.order_metrics, "tbl_orders", settings.orders_as_of),
-        LOGS: (metrics.log_metrics, "tbl_logs", settings.logs_as_of),
-    }[entity]
-    return build(store.read(table), as_of, names)
+    build, table = {USERS: (metrics.user_metrics, settings.users),
+                    ORDERS: (metrics.order_metrics, settings.orders),
+                    LOGS: (metrics.log_metrics, settings.logs)}[entity]
+    return build(store.read(table), settings.as_of(entity), names)
 
 
 def name_all(valued: DataFrame, taxonomy: Taxonomy, tags: Iterable[Tag],
@@ -140,7 +138,7 @@ def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
     A users table with a repeated id is refused: it would multiply rows.
     """
     values = full_values(store, settings)
-    check_unique(values[USERS], "tbl_users")
+    check_unique(values[USERS], settings.users)
     for table, tagged in all_tag_tables(values, taxonomy).items():
         out.write(tagged, table, sort_by=sort_by)
     out.write(full_profile(values, taxonomy, how), PROFILE_TABLE, sort_by=sort_by)

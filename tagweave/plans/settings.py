@@ -1,4 +1,4 @@
-"""What a run may vary: dates, score bands, goods vocabularies, models."""
+"""What a run may vary: tables, dates, score bands, goods vocabularies, models."""
 
 from __future__ import annotations
 
@@ -16,6 +16,10 @@ from tagweave.operators.shopping import GoodsCoding
 class Settings:
     """``model_root`` is where models are kept; without one they are fitted anew."""
 
+    users: str = "tbl_users"
+    orders: str = "tbl_orders"
+    logs: str = "tbl_logs"
+    goods: str = "tbl_goods"
     orders_as_of: AsOf = None
     logs_as_of: AsOf = None
     rfm_bands: Mapping[str, list[Band]] = field(default_factory=lambda: RFM_BANDS)
@@ -28,5 +32,8 @@ class Settings:
     try_all_iterations: bool = False
     skip_unscored: bool = False
 
+    def as_of(self, entity: str) -> AsOf:
+        return self.logs_as_of if entity == "logs" else self.orders_as_of
+
     def model_path(self, name: str) -> str | None:
         return f"{self.model_root.rstrip('/')}/{name}" if self.model_root else None

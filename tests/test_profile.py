@@ -3,7 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tagweave.plans import profile, retail
+from tagweave.__main__ import main, place
+from tagweave.plans import jobs, profile, retail
 from tagweave.plans.tags import (BY_NAME, CODE, PREFERENCE_TABLE, PROFILE_TABLE, TAGS,
                                  run_catalog_tag, run_tag)
 from tagweave.sources.starschema import StarSchema
@@ -109,3 +110,35 @@ def test_the_profile_reads_orders_once_per_use(spark):
     assert plan.count("FileScan parquet [o_") == 2
     # No order tag of the rule profile needs coupons, so lines are not read.
     assert "l_orderkey" not in plan
+
+
+def test_the_command_line(spark, tmp_path, rows):
+    source = FileTables(spark, str(tmp_path / "in"))
+    source.write(taxonomy_frame(spark, [
+        (106, "gender", "selectTable=people;selectField=id|gender", [("male", "1")]),
+        (240, "returnRate", "selectTable=buys;selectField=memberId|orderStatus",
+         [("none", "0-0"), ("some", "1-9")])]), "tbl_basic_tags")
+    source.write(spark.createDataFrame([(3, 1), (4, 2)], "id bigint, gender int"), "people")
+    source.write(spark.createDataFrame([(3, 0), (3, 0), (4, 1)],
+                                       "memberId bigint, orderStatus int"), "buys")
+    main([f"--in=parquet:{tmp_path}/in", f"--out=json:{tmp_path}/out", "--sort",
+          "gender", "returnRate"])
+    out = FileTables(spark, str(tmp_path / "out"), "json")
+    assert rows(out.read("tbl_gender_tag").select("userId", "gender")) == [(3, "male")]
+    assert rows(out.read("tbl_returnRate_tag").select("userId", "value", "returnRate")) == [
+        (3, "some", 2), (4, "none", 0)]
+
+
+def test_places(spark):
+    jdbc = place(spark, "jdbc:mysql://h/db", {"user": "u", "splits": {"t": ["id", 1, 9, 3]}})
+    assert jdbc.read_options("t") == {
+        "user": "u", "url": "jdbc:mysql://h/db", "dbtable": "t", "fetchsize": "10000",
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "3"}
+    assert place(spark, "catalog:tags_dat", {}).qualified("t") == "`tags_dat`.`t`"
+    assert place(spark, "orc:hdfs://h/x", {}).path("t") == "hdfs://h/x/t"
+
+
+def test_every_job_has_its_table():
+    assert len(jobs.TABLES) == len(set(jobs.TABLES.values())) == 23
+    with pytest.raises(ValueError, match="no job 'x'"):
+        jobs.run("x", None, None, None, None)
