@@ -15,8 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 import oracle
+from tagweave.functions import sql
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.match import code_match, range_match
+from tagweave.operators.staging import stage
 from tagweave.plans import jobs, mining, profile, repair, retail
 from tagweave.plans.tags import BY_NAME, MODEL, TAGS, run_catalog_tag, run_tag
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
@@ -176,6 +178,40 @@ def gender_from_catalog(spark, folder):
     return run_catalog_tag(spark, BY_NAME["gender"])
 
 
+def sql_functions(spark, folder):
+    """The SQL functions over all visits."""
+    sql.register(spark)
+    _store(spark, folder).logs().createOrReplaceTempView("tbl_logs")
+    return spark.sql("""
+        SELECT userId, productId, hours.start AS hour_start, hours.end AS hour_end,
+               places.top1, places.top2, places.top3
+        FROM (SELECT global_user_id AS userId, url_to_product(loc_url) AS productId,
+                     rule_to_tuple(concat(hour(log_time), '-', hour(log_time) + 1)) AS hours,
+                     string_to_product(concat_ws(',', global_user_id,
+                                                 url_to_product(loc_url))) AS places
+              FROM tbl_logs)""")
+
+
+def rfm_silhouette(spark, folder):
+    """How well the customer value clusters separate."""
+    settings, store = retail.settings(), _store(spark, folder)
+    scored = stage(mining.rfm_scores(metrics.order_metrics(
+        store.orders(), ORDERS_AS_OF, cluster.RFM_METRICS), settings), "rfm-scores")
+    model = cluster.fit_score_clusters(scored, list(retail.RFM_BANDS), cluster.RFM_CLUSTERS)
+    counted = scored.groupBy(*retail.RFM_BANDS).agg(
+        F.count("*").cast("double").alias("weight"))
+    return counted.groupBy().agg(F.sum("weight").alias("users")).withColumn(
+        "silhouette", F.lit(cluster.silhouette(model, counted)))
+
+
+def bp_error(spark, folder):
+    """How far the recommender's predictions are from the visits."""
+    ratings = stage(metrics.product_ratings(_store(spark, folder).logs()), "ratings")
+    model = recommend.fit_recommender(ratings)
+    return ratings.groupBy().agg(F.count("*").alias("ratings")).withColumn(
+        "rmse", F.lit(recommend.ratings_error(model, ratings)))
+
+
 def repair_orders(spark, folder):
     orders = _store(spark, folder).orders().select(
         "orderSn", "memberId", "paymentCode", "finishTime")
@@ -225,8 +261,8 @@ def queries() -> dict[str, Query]:
              order_metrics, log_metrics, product_name_lookup, profile_sql,
              profile_left, profile_joined, range_gap_drop, half_open_bands, many_bands,
              code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
-             repair_orders, repair_orders_midnight, shift_logs, shift_logs_midnight,
-             shift_users, profile_full]
+             sql_functions, repair_orders, repair_orders_midnight, shift_logs,
+             shift_logs_midnight, shift_users, rfm_silhouette, bp_error, profile_full]
     return {**{key: _tag(tag) for key, tag in {**RULE_TAGS, **MODEL_TAGS}.items()},
             **{query.__name__: query for query in named}}
 

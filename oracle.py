@@ -321,6 +321,15 @@ JOIN p ON p.rule = politicalFace JOIN m ON m.rule = marriage""",
 WITH rules(name, rule) AS (VALUES {_values(retail.RULES['gender'])})
 SELECT c_custkey AS user_id, name AS gender
 FROM customer JOIN rules ON rule = CAST(c_custkey % 3 AS VARCHAR)""",
+        "sql_functions": rf"""
+WITH {SHOP_LOGS}, found AS (
+  SELECT user_id, CAST(EXTRACT(hour FROM ts) AS INTEGER) AS h,
+         NULLIF(regexp_extract(url, '^.+/product/(\d+)\.html.+$', 1), '') AS product
+  FROM shop_logs)
+SELECT user_id AS "userId", product AS "productId", h AS hour_start, h + 1 AS hour_end,
+       CAST(user_id AS INTEGER) AS top1, CAST(product AS INTEGER) AS top2,
+       CAST(NULL AS INTEGER) AS top3
+FROM found""",
         "repair_orders": _repair_sql(0, False),
         "repair_orders_midnight": _repair_sql(3661, True),
         "shift_logs": f"""

@@ -92,7 +92,7 @@ def fit_score_clusters(scored: DataFrame, columns: Sequence[str], k: int,
     counted = scored.groupBy(*columns).agg(F.count("*").cast("double").alias("weight"))
     # At most one row per combination of scores, hence one sorted partition: the
     # start of k-means depends on row order and must not depend on the cluster.
-    points = stage(counted.coalesce(1).sortWithinPartitions(*columns), "score-points")
+    points = stage(counted.repartition(1).sortWithinPartitions(*columns), "score-points")
     return fit_clusters(points, columns, k, **options)
 
 

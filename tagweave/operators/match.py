@@ -69,20 +69,24 @@ def attach_band(users: DataFrame, bands: DataFrame, metric: str, out: str,
                 limit: int = BROADCAST_BANDS, rows: int | None = None) -> DataFrame:
     """``users`` with one more column ``out`` for the name of their band.
 
-    Helper columns stay. Bands too many to compare with each user are compared
-    with each different value once, by blocks of integers.
+    Helper columns stay. Bands too many to compare with each user are found by
+    blocks of integers instead.
     """
-    start, end, value = f"{out}_start", f"{out}_end", f"{out}_value"
+    if how not in ("inner", "left"):
+        raise ValueError(f"a band match is inner or left, not {how!r}")
+    start, end = f"{out}_start", f"{out}_end"
     named = bands.selectExpr(f"name AS `{out}`", f"CAST(start AS INT) AS `{start}`",
                              f"CAST(end AS INT) AS `{end}`")
     upper = f"< CAST(`{end}` AS BIGINT) + 1" if half_open else f"<= `{end}`"
-    inside = f"`{{0}}` >= `{start}` AND `{{0}}` {upper}"
+    inside = F.expr(f"`{metric}` >= `{start}` AND `{metric}` {upper}")
     if _small(named, limit, rows):
-        return users.join(F.broadcast(named), F.expr(inside.format(metric)), how)
-    keyed = users.withColumn(value, F.col(metric))
-    names = (_by_blocks(keyed.select(value).distinct(), named, value, start, end)
-             .filter(inside.format(value)).select(value, out))
-    return salted_join(keyed, names, [value], how)
+        return users.join(F.broadcast(named), inside, how)
+    matched = _join_blocks(users, named, metric, start, end).filter(inside)
+    if how == "inner":
+        return matched
+    in_a_band = matched.select(metric).distinct()
+    others = users.join(in_a_band.hint("merge"), metric, "left_anti")
+    return matched.unionByName(others, allowMissingColumns=True)
 
 
 def _small(df: DataFrame, limit: int, rows: int | None) -> bool:
@@ -121,20 +125,23 @@ def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
 _BLOCKS = [(size, 16 ** size) for size in range(8)]
 
 
-def _by_blocks(values: DataFrame, bands: DataFrame, value: str, start: str,
-               end: str) -> DataFrame:
-    """Pairs of a value and a band that share a block; still to be compared."""
-    whole = F.floor(value).cast("bigint")
-    placed = (values.filter((F.col(value) >= 0) & (F.col(value) < 2.0 ** 31))
-              .select(value, F.explode(F.array(*[
-                  F.struct(F.lit(size).alias("_size"),
-                           F.floor(whole / F.lit(width)).cast("bigint").alias("_block"))
-                  for size, width in _BLOCKS])).alias("_place"))
-              .select(value, "_place.*"))
+def _join_blocks(users: DataFrame, bands: DataFrame, metric: str, start: str,
+                 end: str) -> DataFrame:
+    """Users and the bands they share a block with; still to be compared."""
     cover = F.concat(*[_cover(size, width, start, end) for size, width in _BLOCKS])
     covered = bands.withColumn("_cover", F.explode(cover)).select(
         *bands.columns, "_cover.*")
-    return salted_join(placed, covered, ["_size", "_block"])
+    # Users are placed only at the sizes in use, usually two or three.
+    used = {row["_size"] for row in covered.select("_size").distinct().collect()}
+    whole = F.floor(metric).cast("bigint")
+    places = F.array(*[
+        F.struct(F.lit(size).alias("_size"),
+                 F.floor(whole / F.lit(width)).cast("bigint").alias("_block"))
+        for size, width in _BLOCKS if size in used])
+    placed = (users.filter((F.col(metric) >= 0) & (F.col(metric) < 2.0 ** 31))
+              .withColumn("_place", F.explode(places))
+              .select(*users.columns, "_place.*"))
+    return salted_join(placed, covered, ["_size", "_block"]).drop("_size", "_block")
 
 
 def _cover(size: int, width: int, start: str, end: str):

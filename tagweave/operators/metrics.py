@@ -1,11 +1,11 @@
 """Per-user metrics, each fact table aggregated once for all tags that need it.
 
-A metric is an expression over *measures*, sums and maxima that merge. A call
-computes only the measures its metrics need, so one tag reads two columns of
-the orders and the full profile still reads them once.
+A metric is an expression over *measures*, sums, counts and maxima. A call
+computes only the measures its metrics need, so one tag reads two columns of the
+orders, and the full profile still aggregates them once.
 
 Every aggregate has a map-side part, so a user with a third of all rows reaches
-the shuffle as one row per map task.
+the shuffle as one row per map task. Rows without a user id belong to no user.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,7 +33,7 @@ NO_DISCOUNT_SCORE = 1e-8
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate over fact rows and the one that merges its partial results."""
+    """An aggregate over fact rows and the one that merges two such results."""
 
     over_rows: Callable[[AsOf], Column]
     merge: Callable[[str], Column] = F.sum
@@ -64,8 +65,7 @@ def _price_sensitivity() -> Column:
 
 
 ORDER_MEASURES: Mapping[str, Measure] = {
-    "lines": Measure(lambda as_of: F.count("*")),
-    "rows": Measure(lambda as_of: F.count("memberId")),
+    "rows": Measure(lambda as_of: F.count("*")),
     "orders": Measure(lambda as_of: F.count("orderSn")),
     "amount": Measure(lambda as_of: F.sum("orderAmount")),
     "top_amount": Measure(lambda as_of: F.max("orderAmount"), F.max),
@@ -125,7 +125,7 @@ def user_metrics(users: DataFrame, as_of: AsOf = None,
         "bornDate": lambda: birth_number(F.col("birthday")),
         "loginDays": lambda: days_since(as_of, from_epoch(F.col("lastLoginTime"))),
     }
-    return users.select(F.col("id").alias("userId"), *[
+    return _by_user(users, "id").select("userId", *[
         derived[n]().alias(n) if n in derived else F.col(n) for n in names])
 
 
@@ -134,18 +134,19 @@ def order_metrics(orders: DataFrame, as_of: AsOf = None,
     """userId with the named metrics of ``ORDER_METRICS``, and ``payment``, the
     payment code used most.
 
-    With ``payment`` the rows are first grouped by user and code, which counts
-    the codes and part-aggregates all else, so orders are still read once.
+    Codes are counted in a pass of their own over two columns: counting them
+    along would carry every measure through the shuffle once per user and code.
     """
     names = list(names or (*ORDER_METRICS, "payment"))
-    orders = conform(orders, ORDERS)
+    orders = _by_user(conform(orders, ORDERS), "memberId")
     plain = [n for n in names if n != "payment"]
-    if "payment" not in names:
-        return _metrics(orders, "memberId", ORDER_MEASURES, ORDER_METRICS, plain, as_of)
-    return _metrics(orders, "memberId", ORDER_MEASURES, ORDER_METRICS, plain, as_of,
-                    within="paymentCode", needs=("lines",),
-                    extra={"payment": _most_frequent("paymentCode", "lines")}
-                    ).select("userId", *names)
+    parts = []
+    if plain:
+        parts.append(_metrics(orders, ORDER_MEASURES, ORDER_METRICS, plain, as_of))
+    if "payment" in names:
+        parts.append(mode_per_key(orders.withColumnRenamed("paymentCode", "payment"),
+                                  "userId", "payment"))
+    return _joined(parts, names)
 
 
 def log_metrics(logs: DataFrame, as_of: AsOf = None,
@@ -157,64 +158,69 @@ def log_metrics(logs: DataFrame, as_of: AsOf = None,
     ever held for one user.
     """
     names = list(names or (*LOG_METRICS, "pageCount", "activeHour"))
-    logs = conform(logs, LOGS)
+    logs = _by_user(conform(logs, LOGS), "global_user_id")
+    plain = [n for n in names if n in LOG_METRICS]
     parts = []
-    if set(names) - {"activeHour"}:
-        plain = [n for n in names if n in LOG_METRICS]
-        if "pageCount" in names:
-            parts.append(_metrics(logs, "global_user_id", LOG_MEASURES, LOG_METRICS,
-                                  plain, as_of, within="loc_url",
-                                  extra={"pageCount": F.count("loc_url")}))
-        else:
-            parts.append(_metrics(logs, "global_user_id", LOG_MEASURES, LOG_METRICS,
-                                  plain, as_of))
+    if "pageCount" in names:
+        parts.append(_metrics(logs, LOG_MEASURES, LOG_METRICS, plain, as_of,
+                              count_different={"pageCount": "loc_url"}))
+    elif plain:
+        parts.append(_metrics(logs, LOG_MEASURES, LOG_METRICS, plain, as_of))
     if "activeHour" in names:
-        hours = logs.select(F.col("global_user_id").alias("userId"),
-                            F.hour("log_time").alias("activeHour"))
-        parts.append(mode_per_key(hours, "userId", "activeHour"))
-    joined = parts[0] if len(parts) == 1 else parts[0].join(parts[1], "userId")
-    return joined.select("userId", *names)
+        parts.append(mode_per_key(
+            logs.select("userId", F.hour("log_time").alias("activeHour")),
+            "userId", "activeHour"))
+    return _joined(parts, names)
 
 
 def mode_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
-    """The most frequent ``value`` per ``key``; the smaller value wins a tie."""
+    """The most frequent ``value`` per ``key``; the smaller value wins a tie, and
+    any value wins over NULL.
+
+    The winner is a minimum over counted values, which is combined before the
+    shuffle, unlike a ranking window.
+    """
+    first = F.min(F.struct((-F.col("_n")).alias("_less"),
+                           F.col(value).isNull().alias("_null"),
+                           F.col(value).alias("_value")))
     return (df.groupBy(key, value).agg(F.count("*").alias("_n"))
-            .groupBy(key).agg(_most_frequent(value, "_n").alias(value)))
+            .groupBy(key).agg(first["_value"].alias(value)))
+
+
+def _by_user(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumnRenamed(key, "userId").filter("userId IS NOT NULL")
 
 
-def _most_frequent(value: str, count: str) -> Column:
-    # As a minimum it is combined before the shuffle, unlike a ranking window.
-    # NULL loses a tie.
-    return F.min(F.struct((-F.col(count)).alias("_less"),
-                          F.col(value).isNull().alias("_null"),
-                          F.col(value).alias("_value")))["_value"]
+def _joined(parts: list[DataFrame], names: list[str]) -> DataFrame:
+    # Each part is an aggregate by user, so it is already partitioned for the join.
+    return reduce(lambda a, b: a.join(b, "userId"), parts).select("userId", *names)
 
 
-def _metrics(df: DataFrame, key: str, measures: Mapping[str, Measure],
+def _metrics(df: DataFrame, measures: Mapping[str, Measure],
              metrics: Mapping[str, Metric], names: list[str], as_of: AsOf,
-             within: str | None = None, needs: tuple[str, ...] = (),
-             extra: Mapping[str, Column] | None = None) -> DataFrame:
-    wanted = dict.fromkeys([*needs, *(m for n in names for m in metrics[n].measures)])
+             count_different: Mapping[str, str] | None = None) -> DataFrame:
+    wanted = dict.fromkeys(m for n in names for m in metrics[n].measures)
     over_rows = [measures[m].over_rows(as_of).alias(m) for m in wanted]
-    if within is None:
-        grouped = df.groupBy(key).agg(*over_rows)
-    else:
-        parts = (df.groupBy(key, within).agg(*over_rows) if over_rows
-                 else df.select(key, within).distinct())
-        grouped = parts.groupBy(key).agg(
-            *[measures[m].merge(m).alias(m) for m in wanted],
-            *[column.alias(name) for name, column in (extra or {}).items()])
-    return grouped.select(F.col(key).alias("userId"),
-                          *[metrics[n].value(as_of).alias(n) for n in names],
-                          *(extra or {}))
+    different = {}
+    if count_different:
+        (out, column), = count_different.items()
+        df = df.groupBy("userId", column).agg(*over_rows) if over_rows else df.select(
+            "userId", column).distinct()
+        over_rows = [measures[m].merge(m).alias(m) for m in wanted]
+        different = {out: F.count(column)}
+    grouped = df.groupBy("userId").agg(
+        *over_rows, *[c.alias(out) for out, c in different.items()])
+    return grouped.select("userId", *[metrics[n].value(as_of).alias(n) for n in names],
+                          *different)
 
 
 def product_ratings(logs: DataFrame) -> DataFrame:
     """(userId, productId, rating): visits of each user to each product page."""
     logs = conform(logs, LOGS)
     # The plain text test spares most pages the pattern.
-    return (logs.filter(F.col("loc_url").contains("/product/"))
-            .select(F.col("global_user_id").alias("userId"),
+    return (_by_user(logs, "global_user_id")
+            .filter(F.col("loc_url").contains("/product/"))
+            .select("userId",
                     product_id(F.col("loc_url")).cast("int").alias("productId"))
             .filter("productId IS NOT NULL")
             .groupBy("userId", "productId")
@@ -231,6 +237,6 @@ def sold_goods(goods: DataFrame, orders: DataFrame,
     """
     items = conform(goods, GOODS).select(
         "cOrderSn", *[c.alias(name) for name, c in columns.items()])
-    owners = conform(orders, ORDERS).select(
-        F.col("memberId").alias("userId"), F.col("orderSn").alias("cOrderSn"))
+    owners = _by_user(conform(orders, ORDERS), "memberId").select(
+        "userId", F.col("orderSn").alias("cOrderSn"))
     return items.join(owners, "cOrderSn").select("userId", *columns)

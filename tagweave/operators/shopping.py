@@ -86,7 +86,7 @@ def fit_tree(rows: DataFrame, folds: int = FOLDS, seed: int = 31,
     ``MAX_CATEGORIES`` values, and ordinary numbers beyond that.
     """
     order = ["fold", "color", "product", "label"]
-    rows = stage(rows.coalesce(1).sortWithinPartitions(*order), "tree-rows")
+    rows = stage(rows.repartition(1).sortWithinPartitions(*order), "tree-rows")
     features = Pipeline(stages=[
         VectorAssembler(inputCols=["color", "product"], outputCol="raw_features"),
         VectorIndexer(inputCol="raw_features", outputCol="features",

@@ -128,6 +128,13 @@ def test_a_user_id_that_is_no_number_fails(spark):
         order_metrics(orders, AS_OF, ["returnCount"]).collect()
 
 
+def test_rows_without_a_user_belong_to_nobody(spark):
+    orders = spark.createDataFrame([(None, 0, "cod"), ("1", 0, "cod")],
+                                   "memberId string, orderStatus int, paymentCode string")
+    for names in (["returnCount"], ["payment"], ["returnCount", "payment"]):
+        assert [r.userId for r in order_metrics(orders, AS_OF, names).collect()] == [1]
+
+
 def test_product_ratings(spark, rows):
     logs = spark.createDataFrame(
         [("1", "s/product/5.html?a"), ("1", "s/product/5.html?b"), ("1", "s/x"),

@@ -102,12 +102,12 @@ def test_run_all(spark, tmp_path, rows):
 
 
 @needs_data
-def test_the_profile_reads_orders_once_per_use(spark):
+def test_the_profile_aggregates_orders_once(spark):
     plan = profile.rule_profile(
         StarSchema(spark, FOLDER), retail.taxonomy(spark, True), retail.settings()
     )._jdf.queryExecution().executedPlan().toString()
-    # Once for the order metrics, once for the users' last login.
-    assert plan.count("FileScan parquet [o_") == 2
+    # The order metrics, the payment codes, and the users' last login.
+    assert plan.count("FileScan parquet [o_") == 3
     # No order tag of the rule profile needs coupons, so lines are not read.
     assert "l_orderkey" not in plan
 
