@@ -183,8 +183,8 @@ def sql_functions(spark, folder):
     sql.register(spark)
     _store(spark, folder).logs().createOrReplaceTempView("tbl_logs")
     return spark.sql("""
-        SELECT userId, productId, hours.start AS hour_start, hours.end AS hour_end,
-               places.top1, places.top2, places.top3
+        SELECT userId, coalesce(productId, '') AS productId, hours.start AS hour_start,
+               hours.end AS hour_end, places.top1, coalesce(places.top2, -1) AS top2
         FROM (SELECT global_user_id AS userId, url_to_product(loc_url) AS productId,
                      rule_to_tuple(concat(hour(log_time), '-', hour(log_time) + 1)) AS hours,
                      string_to_product(concat_ws(',', global_user_id,

@@ -326,9 +326,9 @@ WITH {SHOP_LOGS}, found AS (
   SELECT user_id, CAST(EXTRACT(hour FROM ts) AS INTEGER) AS h,
          NULLIF(regexp_extract(url, '^.+/product/(\d+)\.html.+$', 1), '') AS product
   FROM shop_logs)
-SELECT user_id AS "userId", product AS "productId", h AS hour_start, h + 1 AS hour_end,
-       CAST(user_id AS INTEGER) AS top1, CAST(product AS INTEGER) AS top2,
-       CAST(NULL AS INTEGER) AS top3
+SELECT user_id AS "userId", COALESCE(product, '') AS "productId", h AS hour_start,
+       h + 1 AS hour_end, CAST(user_id AS INTEGER) AS top1,
+       COALESCE(CAST(product AS INTEGER), -1) AS top2
 FROM found""",
         "repair_orders": _repair_sql(0, False),
         "repair_orders_midnight": _repair_sql(3661, True),

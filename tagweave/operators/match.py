@@ -122,44 +122,37 @@ def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
 
 # A band is covered by aligned blocks of 16^0 .. 16^7 integers: at most 30 per
 # size, 240 in all, however wide it is. A value then lies in one block per size.
-_BLOCKS = [(size, 16 ** size) for size in range(8)]
+_SIZES = range(8)
 
 
 def _join_blocks(users: DataFrame, bands: DataFrame, metric: str, start: str,
                  end: str) -> DataFrame:
     """Users and the bands they share a block with; still to be compared."""
-    cover = F.concat(*[_cover(size, width, start, end) for size, width in _BLOCKS])
-    covered = bands.withColumn("_cover", F.explode(cover)).select(
-        *bands.columns, "_cover.*")
+    covered = _cover(bands, start, end)
     # Users are placed only at the sizes in use, usually two or three.
-    used = {row["_size"] for row in covered.select("_size").distinct().collect()}
-    whole = F.floor(metric).cast("bigint")
-    places = F.array(*[
-        F.struct(F.lit(size).alias("_size"),
-                 F.floor(whole / F.lit(width)).cast("bigint").alias("_block"))
-        for size, width in _BLOCKS if size in used])
+    used = sorted(row["_size"] for row in covered.select("_size").distinct().collect())
     placed = (users.filter((F.col(metric) >= 0) & (F.col(metric) < 2.0 ** 31))
-              .withColumn("_place", F.explode(places))
-              .select(*users.columns, "_place.*"))
+              .withColumn("_size", F.explode(F.array(*map(F.lit, used))))
+              .withColumn("_block", F.expr(
+                  f"CAST(floor(`{metric}`) AS BIGINT) DIV shiftleft(1L, 4 * _size)")))
     return salted_join(placed, covered, ["_size", "_block"]).drop("_size", "_block")
 
 
-def _cover(size: int, width: int, start: str, end: str):
-    """The blocks of one size inside a band, less those inside a larger block."""
-    def full_blocks(width: int):
-        first = F.ceil(F.col(start).cast("bigint") / F.lit(width))
-        after = F.floor((F.col(end).cast("bigint") + 1) / F.lit(width))
-        return first.cast("bigint"), after.cast("bigint") - 1
-
-    def run(low, high):
-        return F.when(low <= high, F.sequence(low, high)).otherwise(
-            F.array().cast("array<bigint>"))
-
-    first, last = full_blocks(width)
-    larger_first, larger_last = full_blocks(width * 16)
-    no_larger = F.lit(size == _BLOCKS[-1][0]) | (larger_first > larger_last)
-    blocks = F.when(no_larger, run(first, last)).otherwise(
-        F.concat(run(first, larger_first * 16 - 1),
-                 run((larger_last + 1) * 16, last)))
-    return F.transform(blocks, lambda block: F.struct(
-        F.lit(size).alias("_size"), block.alias("_block")))
+def _cover(bands: DataFrame, start: str, end: str) -> DataFrame:
+    """Each band once per (_size, _block) of its cover: the blocks of a size that
+    lie inside the band, less those inside a larger block that does too."""
+    def run(first: str, last: str) -> str:
+        return f"IF({first} <= {last}, sequence({first}, {last}), CAST(array() AS ARRAY<BIGINT>))"
+
+    sized = (bands.withColumn("_size", F.explode(F.array(*map(F.lit, _SIZES))))
+             .withColumn("_w", F.expr("shiftleft(1L, 4 * _size)")))
+    spans = sized.selectExpr(
+        *bands.columns, "_size",
+        f"(`{start}` + _w - 1) DIV _w AS _first",
+        f"(`{end}` + 1L) DIV _w - 1 AS _last",
+        f"(`{start}` + 16 * _w - 1) DIV (16 * _w) * 16 AS _inner_first",
+        f"(`{end}` + 1L) DIV (16 * _w) * 16 - 1 AS _inner_last")
+    blocks = (f"IF(_size = {_SIZES[-1]} OR _inner_first > _inner_last, "
+              f"{run('_first', '_last')}, concat({run('_first', '_inner_first - 1')}, "
+              f"{run('_inner_last + 1', '_last')}))")
+    return spans.select(*bands.columns, "_size", F.explode(F.expr(blocks)).alias("_block"))

@@ -85,8 +85,8 @@ def rule_profile(store, taxonomy: Taxonomy, settings: Settings,
 def full_values(store, settings: Settings) -> dict[str, DataFrame]:
     """Every metric and model result, by entity, one row per user in each.
 
-    Orders and logs are read once and their metrics staged; the models are
-    fitted on the staged rows and add their cluster as a column.
+    All tags of the orders and of the logs share one staged table of metrics; the
+    models are fitted on the staged rows and add their cluster as a column.
     """
     wanted = {entity: [tag.metric for tag in TAGS if tag.entity == entity]
               for entity in (USERS, ORDERS, LOGS)}
