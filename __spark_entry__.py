@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-import oracle
+import retail_sql
 from tagweave.functions import sql
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.match import code_match, range_match
@@ -126,14 +126,14 @@ def range_gap_drop(spark, folder):
     """Bands with a hole, and values on, between and beyond their ends."""
     valued = metrics.order_metrics(_store(spark, folder).orders(), ORDERS_AS_OF,
                                    ["orderCount"])
-    return range_match(valued, oracle.frame(spark, oracle.GAP_BANDS), "orderCount", "band")
+    return range_match(valued, retail_sql.frame(spark, retail_sql.GAP_BANDS), "orderCount", "band")
 
 
 def half_open_bands(spark, folder):
     """Integer bands stretched to the next integer, so no price falls between."""
     valued = metrics.order_metrics(_store(spark, folder).orders(), ORDERS_AS_OF,
                                    ["unitPrice"])
-    return range_match(valued, oracle.frame(spark, oracle.PRICE_BANDS), "unitPrice",
+    return range_match(valued, retail_sql.frame(spark, retail_sql.PRICE_BANDS), "unitPrice",
                        "band", half_open=True)
 
 
@@ -152,7 +152,7 @@ def code_unmatched_drop(spark, folder):
     """Codes without a rule, integers against text rules."""
     users = _store(spark, folder).base("customer").select(
         F.col("c_custkey").alias("userId"), F.col("c_nationkey").alias("nation"))
-    return code_match(users, oracle.frame(spark, oracle.SOME_CODES), "nation", "region")
+    return code_match(users, retail_sql.frame(spark, retail_sql.SOME_CODES), "nation", "region")
 
 
 def nation_names(spark, folder):
@@ -268,4 +268,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.sql(RULE_TAGS)
+    return retail_sql.sql(RULE_TAGS)

@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
     for table in ("users", "orders", "logs", "goods"):
         options.add_argument(f"--{table}", default=f"tbl_{table}")
     options.add_argument("--as-of", help="day ages are counted to, today if absent")
+    options.add_argument("--visit-lag", type=int, default=0,
+                         help="days the logs lag behind, for the engagement tag")
     options.add_argument("--models", help="folder models are kept in")
     options.add_argument("--retrain", action="store_true")
     options.add_argument("--left", action="store_true",
@@ -66,8 +68,8 @@ def main(arguments: list[str] | None = None) -> None:
     taxonomy = Taxonomy(store.read(chosen.taxonomy))
     settings = Settings(users=chosen.users, orders=chosen.orders, logs=chosen.logs,
                         goods=chosen.goods, orders_as_of=chosen.as_of,
-                        logs_as_of=chosen.as_of, model_root=chosen.models,
-                        retrain=chosen.retrain)
+                        logs_as_of=chosen.as_of, visit_lag_days=chosen.visit_lag,
+                        model_root=chosen.models, retrain=chosen.retrain)
     sort_by = "userId" if chosen.sort else None
     for name in chosen.jobs:
         if name == "all":

@@ -17,8 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagweave.functions.columns import (birth_number, days_since, from_epoch,
-                                        product_id)
+from tagweave.functions.columns import (as_of_date, birth_number, days_since,
+                                        from_epoch, product_id)
 from tagweave.sources.schemas import GOODS, LOGS, ORDERS, USERS, conform
 
 AsOf = dt.date | str | None
@@ -100,9 +100,11 @@ ORDER_METRICS: Mapping[str, Metric] = {
 LOG_MEASURES: Mapping[str, Measure] = {
     "views": Measure(lambda as_of: F.count("loc_url")),
     "last_visit": Measure(lambda as_of: F.max("log_time"), F.max),
-    # Strictly under the limit; visits after ``as_of`` count as recent too.
+    # Fewer than the limit of calendar days old, as one comparison with the first
+    # such day. Visits after ``as_of`` count as recent too.
     "recent": Measure(lambda as_of: _count_where(
-        days_since(as_of, F.col("log_time")) < RECENT_DAYS)),
+        F.col("log_time") >= F.date_sub(as_of_date(as_of), RECENT_DAYS - 1)
+        .cast("timestamp_ntz"))),
 }
 
 LOG_METRICS: Mapping[str, Metric] = {

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.staging import stage
@@ -31,7 +31,9 @@ def rfm_scores(order_values: DataFrame, settings: Settings) -> DataFrame:
 
 
 def rfe_scores(log_values: DataFrame, settings: Settings) -> DataFrame:
-    return cluster.scores(log_values, cluster.RFE_METRICS, settings.rfe_bands)
+    lagged = log_values.withColumn(
+        "visitDays", F.col("visitDays") - settings.visit_lag_days)
+    return cluster.scores(lagged, cluster.RFE_METRICS, settings.rfe_bands)
 
 
 def add_rfm(order_values: DataFrame, settings: Settings) -> DataFrame:

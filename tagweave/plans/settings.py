@@ -14,7 +14,11 @@ from tagweave.operators.shopping import GoodsCoding
 
 @dataclass(frozen=True)
 class Settings:
-    """``model_root`` is where models are kept; without one they are fitted anew."""
+    """``model_root`` is where models are kept; without one they are fitted anew.
+
+    ``visit_lag_days`` moves the day that engagement counts visits to, for logs
+    that lag behind the other tables.
+    """
 
     users: str = "tbl_users"
     orders: str = "tbl_orders"
@@ -22,6 +26,7 @@ class Settings:
     goods: str = "tbl_goods"
     orders_as_of: AsOf = None
     logs_as_of: AsOf = None
+    visit_lag_days: int = 0
     rfm_bands: Mapping[str, list[Band]] = field(default_factory=lambda: RFM_BANDS)
     rfe_bands: Mapping[str, list[Band]] = field(default_factory=lambda: RFE_BANDS)
     coding: GoodsCoding = GoodsCoding()

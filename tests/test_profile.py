@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.__main__ import main, place
-from tagweave.plans import jobs, profile, retail
+from tagweave.plans import jobs, mining, profile, retail
+from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (BY_NAME, CODE, PREFERENCE_TABLE, PROFILE_TABLE, TAGS,
                                  run_catalog_tag, run_tag)
 from tagweave.sources.starschema import StarSchema
@@ -79,6 +80,13 @@ def test_a_tag_in_the_catalog(spark, rows):
     assert store.read("tbl_gender_tag").columns == ["user_id", "gender"]
 
 
+def test_engagement_counts_to_a_day_that_lags(spark):
+    valued = spark.createDataFrame([(1, 1650, 5, 5)],
+                                   "userId bigint, visitDays int, viewCount int, pageCount int")
+    assert mining.rfe_scores(valued, Settings()).head().r_score == 1.0
+    assert mining.rfe_scores(valued, Settings(visit_lag_days=1640)).head().r_score == 5.0
+
+
 @needs_data
 def test_run_all(spark, tmp_path, rows):
     store, taxonomy = StarSchema(spark, FOLDER), retail.taxonomy(spark, covering=True)
