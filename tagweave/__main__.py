@@ -2,7 +2,7 @@
 
     python -m tagweave --in parquet:/data/in --out parquet:/data/out all
     spark-submit --py-files tagweave.zip tagweave/__main__.py \\
-        --in catalog:tags_dat --out catalog:tags_dat gender rfm profile
+        --in catalog:shop_tags --out catalog:shop_tags gender rfm profile
     ... --in jdbc:mysql://host/db --properties db.json --out jdbc:mysql://host/db all
 """
 

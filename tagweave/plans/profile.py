@@ -86,7 +86,8 @@ def full_values(store, settings: Settings) -> dict[str, DataFrame]:
     """Every metric and model result, by entity, one row per user in each.
 
     All tags of the orders and of the logs share one staged table of metrics; the
-    models are fitted on the staged rows and add their cluster as a column.
+    models are fitted on the staged rows and add their cluster as a column. A users
+    table with a repeated id is refused: it would multiply rows.
     """
     wanted = {entity: [tag.metric for tag in TAGS if tag.entity == entity]
               for entity in (USERS, ORDERS, LOGS)}
@@ -103,7 +104,7 @@ def full_values(store, settings: Settings) -> dict[str, DataFrame]:
         "preferences": lambda: stage(mining.preferences(store, settings), "preferences"),
         ORDERS: lambda: mining.add_psm(mining.add_rfm(staged(ORDERS), settings), settings),
         LOGS: lambda: mining.add_rfe(staged(LOGS), settings),
-        USERS: lambda: staged(USERS),
+        USERS: lambda: check_unique(staged(USERS), settings.users),
     }
     # The steps share nothing, and small training jobs leave a cluster idle.
     with ThreadPoolExecutor(len(steps)) as threads:
@@ -133,12 +134,8 @@ def all_tag_tables(values: Mapping[str, DataFrame],
 
 def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
             how: str = "inner", sort_by: str | None = None) -> DataFrame:
-    """Compute and write all tag tables, then the profile; return the profile.
-
-    A users table with a repeated id is refused: it would multiply rows.
-    """
+    """Compute and write all tag tables, then the profile; return the profile."""
     values = full_values(store, settings)
-    check_unique(values[USERS], settings.users)
     for table, tagged in all_tag_tables(values, taxonomy).items():
         out.write(tagged, table, sort_by=sort_by)
     out.write(full_profile(values, taxonomy, how), PROFILE_TABLE, sort_by=sort_by)

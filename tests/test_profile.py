@@ -142,7 +142,7 @@ def test_places(spark):
     assert jdbc.read_options("t") == {
         "user": "u", "url": "jdbc:mysql://h/db", "dbtable": "t", "fetchsize": "10000",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "3"}
-    assert place(spark, "catalog:tags_dat", {}).qualified("t") == "`tags_dat`.`t`"
+    assert place(spark, "catalog:shop_tags", {}).qualified("t") == "`shop_tags`.`t`"
     assert place(spark, "orc:hdfs://h/x", {}).path("t") == "hdfs://h/x/t"
 
 

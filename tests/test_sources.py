@@ -40,13 +40,13 @@ def test_jdbc_overwrite_keeps_the_table(spark):
 
 
 def test_catalog_tables(spark, tags, rows):
-    spark.sql("CREATE DATABASE IF NOT EXISTS tags_dat")
-    store = CatalogTables(spark, "tags_dat")
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop_tags")
+    store = CatalogTables(spark, "shop_tags")
     store.write(tags, "tbl_a")
     store.write(tags.limit(1), "tbl_a")
     assert store.read("tbl_a").count() == 1
     store.write(tags, "tbl_a", mode="append")
-    assert spark.table("tags_dat.tbl_a").count() == 3
+    assert spark.table("shop_tags.tbl_a").count() == 3
 
 
 def test_versioned_catalog_tables_swap_a_view(spark, tags, rows):
