@@ -74,6 +74,15 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def sections(rows: np.ndarray, size: int = 2 << 20):
+    """Ranges of rows with about ``size`` bytes; a longer row is alone."""
+    a = 0
+    while a < len(rows) - 1:
+        b = max(a + 1, int(np.searchsorted(rows, rows[a] + size, "right")) - 1)
+        yield a, b
+        a = b
+
+
 def word_bounds(data: np.ndarray, rows: np.ndarray, gap: np.ndarray = SPACE
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the first word of each row (with the end)."""

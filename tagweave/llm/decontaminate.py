@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import flat, small_batches
+from tagweave.llm.common import flat, sections, small_batches
 
 #: Bytes that part words: all ASCII but digits and letters. Other bytes belong to words.
 GAP = np.ones(128, bool)
@@ -204,7 +204,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10,
     def search(texts: pa.Array) -> pa.Array:
         data, rows = flat(texts)
         words, hits, items = [], [], []
-        for a, b in _sections(rows):
+        for a, b in sections(rows):
             held = [reduced(data[rows[k]:rows[k + 1]].tobytes()) for k in range(a, b)]
             total: list = [(np.zeros(0, bool), set()) for _ in held]
             for name, part in parts:
@@ -224,15 +224,6 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10,
     return docs.withColumn(out_column, search(F.col(text_column).cast("string")))
 
 
-def _sections(rows: np.ndarray, size: int = 2 << 20):
-    """Ranges of rows with about ``size`` bytes."""
-    a = 0
-    while a < len(rows) - 1:
-        b = max(a + 1, int(np.searchsorted(rows, rows[a] + size, "right")) - 1)
-        yield a, b
-        a = b
-
-
 _BUILT: dict[str, Searcher] = {}
 
 

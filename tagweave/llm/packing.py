@@ -18,16 +18,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import small_batches
+from tagweave.llm.common import LOWER, flat, sections, small_batches, span_hashes, word_bounds
 
 #: Examples and tokens that a task holds before it packs them.
 BUFFER_ROWS, BUFFER_TOKENS = 2048, 8_000_000
-#: Text pieces whose ids a task remembers, and the longest such piece.
-REMEMBERED, LONGEST = 400_000, 48
+#: Words whose ids a worker remembers.
+REMEMBERED = 1_000_000
+#: What parts words before the tokenizer sees them: a subset of its white space.
+_BLANK = np.zeros(256, bool)
+_BLANK[[10, 32]] = True
 
 
 @dataclass(frozen=True)
@@ -97,31 +101,90 @@ def fill(tokens, loss, limits: Limits, may_cut: bool) -> list[list[tuple[int, in
 
 
 class _Encoder:
-    """Ids of texts, piece by piece between blanks, remembering frequent pieces."""
+    """Ids of whole texts, word by word between blanks, remembering words' ids.
+
+    Words are told apart by a 64-bit hash. A-Z count as lower case and a full stop or
+    comma after a last ASCII letter as a word of its own, as the tokenizer sees them;
+    texts that may hold its special tokens are encoded as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        pieces = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ")
-                  for t in texts]
-        new = list({p for ps in pieces if ps is not None for p in ps} - known.keys())
-        once = dict(zip(new, self._ids(new)))
-        result = [self._ids([t])[0] if ps is None else b"".join(
-            [once[p] if p in once else known[p] for p in ps]) for t, ps in zip(texts, pieces)]
-        known.update((p, ids) for p, ids in once.items() if len(p) <= LONGEST)
-        return result
+        self.tokenizer = Tokenizer.from_file(path)
+        special = [t.content.encode() for t in
+                   self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = os.path.commonprefix(special) if special else None
+        self._forget()
+
+    def _forget(self):
+        self.place = pd.Index(np.zeros(0, np.uint64))
+        self.ids, self.bounds = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _learn(self, data, hashes, starts, ends):
+        """Encode new words, many at once, and remember them."""
+        if len(self.place) + len(hashes) > REMEMBERED:
+            self._forget()
+        ids, sizes = [], []
+        for at in range(0, len(starts), 200):
+            words = [data[a:b].tobytes().decode("utf-8") for a, b in
+                     zip(starts[at:at + 200], ends[at:at + 200])]
+            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            first = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+            at_word = np.searchsorted(first, [x for x, _ in found.offsets], "right") - 1
+            ids.append(np.array(found.ids, "<u4"))
+            sizes.append(np.bincount(at_word.astype(np.int64), minlength=len(words)))
+        self.place = self.place.append(pd.Index(hashes))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.bounds = np.concatenate(
+            [self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def __call__(self, data: np.ndarray, rows: np.ndarray) -> list[bytes]:
+        """The ids of each row as little-endian 32-bit numbers."""
+        raw, data = data, LOWER[data]
+        starts, ends, _ = word_bounds(data, rows, _BLANK)
+        long = ends - starts > 1
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        cut = long & ((last == 44) | (last == 46)) & (before >= 97) & (before <= 122)
+        starts = np.concatenate([starts, ends[cut] - 1])
+        ends = np.concatenate([ends - cut, ends[cut]])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
+        first = np.searchsorted(starts, rows)
+        codes, hashes = pd.factorize(span_hashes(data, starts, ends))
+        place = self.place.get_indexer(hashes)
+        new = place < 0
+        if new.any():
+            seen = np.zeros(len(hashes), np.int64)
+            seen[codes[::-1]] = np.arange(len(codes))[::-1]
+            if len(self.place) + new.sum() > REMEMBERED:
+                new[:] = True
+            self._learn(data, hashes[new], starts[seen[new]], ends[seen[new]])
+            place = self.place.get_indexer(hashes)
+        place = place[codes]
+        sizes = self.bounds[place + 1] - self.bounds[place]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.bounds[place] - stops[:-1], sizes)
+                       + np.arange(stops[-1])]
+        found = [ids[stops[a]:stops[b]].tobytes() for a, b in zip(first, first[1:])]
+        if self.mark is not None and self.mark in data.tobytes():
+            for k, (a, b) in enumerate(zip(rows, rows[1:])):
+                if self.mark in data[a:b].tobytes():
+                    text = raw[a:b].tobytes().decode("utf-8")
+                    found[k] = np.array(self.tokenizer.encode(
+                        text, add_special_tokens=False).ids, "<u4").tobytes()
+        return found
+
+
+_ENCODERS: dict[str, _Encoder] = {}
+
+
+def _encoder(path: str) -> _Encoder:
+    """One for each worker process, so that tasks after the first find words known."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
+    return _ENCODERS[path]
 
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -158,14 +221,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits
     tail = np.array([end_id], "<u4").tobytes()
 
     def packed(batches):
-        encode = _Encoder(tokenizer)
+        encode = _encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 33
         rows, kept, held = [], [], 0
         for batch in batches:
             names = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 64):
-                for name, ids in zip(names[at:at + 64], encode(texts[at:at + 64])):
+            data, bounds = flat(batch.column(1))
+            for a, b in sections(bounds):
+                span = bounds[a:b + 1]
+                ids_of = encode(data[span[0]:span[-1]], span - span[0])
+                for name, ids in zip(names[a:b], ids_of):
                     rows.append((name, ids + tail))
                     kept.append((0, len(ids) // 4 + 1))
                     held += len(ids) // 4 + 1

@@ -28,9 +28,9 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 4000, 8000
 ORDINARY_WINDOWS = 20_000
 WINDOW, STEP, LEVEL = 64, 56, 9
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 4_096
-#: Words belong to the toxic dictionary that occur in so many documents of the sample,
-#: and in toxic ones so many times as often as in ordinary ones.
-LEAST_SUPPORT, LEAST_ODDS = 3, 20
+#: Words belong to the toxic dictionary that occur in so many toxic documents of the
+#: sample, in this share of them, and so many times as often as in ordinary ones.
+LEAST_SUPPORT, LEAST_SHARE, LEAST_ODDS = 3, 0.05, 20
 TOXIC_WORDS, LONGEST_WORD = 1000, 24
 
 
@@ -147,14 +147,16 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_column: str = "
     counted = found.filter("word").groupBy("piece").agg(
         F.sum("toxic").alias("seen"), F.sum(1 - F.col("toxic")).alias("elsewhere"))
     odd = (F.col("seen") / max(1, n_toxic)) / ((F.col("elsewhere") + 1) / max(1, n_ordinary))
-    words = counted.filter((F.col("seen") >= LEAST_SUPPORT) & (odd >= LEAST_ODDS)).orderBy(
+    words = counted.filter((F.col("seen") >= max(LEAST_SUPPORT, LEAST_SHARE * n_toxic))
+                           & (odd >= LEAST_ODDS)).orderBy(
         F.desc("seen"), "piece").limit(TOXIC_WORDS).collect()
     if not words or not n_ordinary:
         return Model(b"", b"", (), base)
     plain = [bytes(r["piece"]) for r in found.filter("not word").select("piece").orderBy(
         F.xxhash64("piece"), "piece").limit(ORDINARY_WINDOWS).collect()]
     peculiar = [b" " + bytes(r["piece"]) + b" " for r in words]
-    repeated = [p for p, r in zip(peculiar, words) for _ in range(int(r["seen"]))]
+    repeated = [b"".join(p for p, r in zip(peculiar, words) if r["seen"] > i)
+                for i in range(int(words[0]["seen"]))]
     model = Model(_trained(ORDINARY_BYTES, [w for w in plain if len(w) > 8], b"".join(plain)),
                   _trained(TOXIC_BYTES, repeated, b"".join(reversed(peculiar))), (), base)
 
