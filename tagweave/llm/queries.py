@@ -60,14 +60,15 @@ def _fold(row_id, parts: int):
                   F.lit(parts))
 
 
-def scored_toxicity(spark, docs, folder):
-    model = toxicity.fit(_table(spark, folder, "documents"), _table(spark, folder, "labels"),
-                         _fold("doc_id", 3) != 1)
-    return toxicity.score(docs, model, score_column="score")
+def training_fold(row_id):
+    """Rows whose labels may be learned from."""
+    return _fold(row_id, 3) != 1
 
 
 def op10_compression_toxicity(spark, folder):
-    scored = scored_toxicity(spark, _table(spark, folder, "documents"), folder)
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit(docs, _table(spark, folder, "labels"), training_fold("doc_id"))
+    scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
