@@ -23,6 +23,12 @@ from tagweave.plans import jobs, mining, profile, repair, retail
 from tagweave.plans.tags import BY_NAME, MODEL, TAGS, run_catalog_tag, run_tag
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
 
+try:  # the text operators may be absent
+    import corpus_pipeline
+    from tagweave.llm import queries as text_queries
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 SMOKE = "/root/testdata/sf0.001"
 
@@ -263,9 +269,14 @@ def queries() -> dict[str, Query]:
              code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
              sql_functions, repair_orders, repair_orders_midnight, shift_logs,
              shift_logs_midnight, shift_users, rfm_silhouette, bp_error, profile_full]
+    text = {} if text_queries is None else {
+        **text_queries.queries(), "pipeline": corpus_pipeline.run}
     return {**{key: _tag(tag) for key, tag in {**RULE_TAGS, **MODEL_TAGS}.items()},
-            **{query.__name__: query for query in named}}
+            **{query.__name__: query for query in named}, **text}
 
 
 def oracle_sql() -> dict[str, str]:
-    return retail_sql.sql(RULE_TAGS)
+    text = {} if text_queries is None else text_queries.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        text["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**retail_sql.sql(RULE_TAGS), **text}
