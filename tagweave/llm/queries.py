@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import decontaminate, linededup, neardup, packing, toxicity
+from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +20,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_windows(spark, folder):
+    """All conversations and one that speaks in control strings."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    windows = chat.format_windows(turns.unionByName(extra), tokenizer_path("word_bpe_49k.json"))
+    return chat.read_back(windows)
+
+
 def op2_vector_packing(spark, folder):
     return packed_pieces(_table(spark, folder, "documents"))
 
@@ -51,6 +63,10 @@ def op7_wu_manber(spark, folder):
         (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+def op9_inverted_multi_index(spark, folder):
+    return ann.search(_table(spark, folder, "embeddings"), lambda row_id: row_id % 20 == 0)
+
+
 #: A score from which a document counts as toxic.
 TOXIC = 0.7
 
@@ -75,8 +91,8 @@ def op10_compression_toxicity(spark, folder):
 
 
 def queries() -> dict:
-    named = [op2_vector_packing, op3_line_dedup, op4_setsketch_neardup, op7_wu_manber,
-             op10_compression_toxicity]
+    named = [op1_chat_windows, op2_vector_packing, op3_line_dedup, op4_setsketch_neardup,
+             op7_wu_manber, op9_inverted_multi_index, op10_compression_toxicity]
     return {query.__name__: query for query in named}
 
 
