@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, toxicity
+from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -63,6 +63,12 @@ def op7_wu_manber(spark, folder):
         (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+def op8_weak_supervision_pii(spark, folder):
+    found = pii.find_personal_data(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_inverted_multi_index(spark, folder):
     return ann.search(_table(spark, folder, "embeddings"), lambda row_id: row_id % 20 == 0)
 
@@ -92,7 +98,8 @@ def op10_compression_toxicity(spark, folder):
 
 def queries() -> dict:
     named = [op1_chat_windows, op2_vector_packing, op3_line_dedup, op4_setsketch_neardup,
-             op7_wu_manber, op9_inverted_multi_index, op10_compression_toxicity]
+             op7_wu_manber, op8_weak_supervision_pii,
+             op9_inverted_multi_index, op10_compression_toxicity]
     return {query.__name__: query for query in named}
 
 
