@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, toxicity
+from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, ppm, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,6 +53,13 @@ def op4_setsketch_neardup(spark, folder):
                                    neardup.Rule(words=2)).drop("h")
 
 
+def op6_ppm_scores(spark, folder):
+    scored = ppm.score_texts(_table(spark, folder, "documents"), _fold("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op7_wu_manber(spark, folder):
     found = decontaminate.find_benchmark(_table(spark, folder, "documents"),
                                          _table(spark, folder, "benchmark"))
@@ -98,7 +105,7 @@ def op10_compression_toxicity(spark, folder):
 
 def queries() -> dict:
     named = [op1_chat_windows, op2_vector_packing, op3_line_dedup, op4_setsketch_neardup,
-             op7_wu_manber, op8_weak_supervision_pii,
+             op6_ppm_scores, op7_wu_manber, op8_weak_supervision_pii,
              op9_inverted_multi_index, op10_compression_toxicity]
     return {query.__name__: query for query in named}
 
