@@ -12,6 +12,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tagweave.operators.staging import shared_folder
@@ -143,6 +144,15 @@ def pair_hashes(words: np.ndarray) -> np.ndarray:
     return mixed(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])
 
 
-def doc_key(row_id: Column, text: Column) -> Column:
-    """Identifies a document even where ids repeat: its id and a hash of its text."""
-    return F.struct(row_id.alias("id"), F.xxhash64(row_id, text).alias("h"))
+def packed(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed; neighbours share their high bytes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return _ZIP.compress(planes.tobytes())
+
+
+def unpacked(held: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(_UNZIP.decompress(held, max_output_size=1 << 31), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()

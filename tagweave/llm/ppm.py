@@ -26,11 +26,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.llm.common import (
-    LOWER, SPACE, flat, mixed, sections, small_batches, span_hashes, word_bounds)
+    LOWER, SPACE, flat, mixed, packed, sections, small_batches, span_hashes, unpacked,
+    word_bounds)
 
 #: Context symbols of the longest contexts.
 ORDER = 5
@@ -173,20 +173,6 @@ def _pair_counts(docs: DataFrame) -> tuple[np.ndarray, int, int]:
     return counts[:-2].reshape(SYMBOLS, SYMBOLS), int(counts[-2]), int(counts[-1])
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers byte plane by byte plane, compressed; neighbours share their high bytes."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    return _ZIP.compress(planes.tobytes())
-
-
-def _unpacked(held: bytes, kind: str) -> np.ndarray:
-    planes = np.frombuffer(_UNZIP.decompress(held, max_output_size=1 << 31), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-
-
 class _Bucket:
     """Distinct grams and words of a bucket's texts, in a fixed order by shard."""
 
@@ -245,7 +231,7 @@ def score_texts(docs: DataFrame, training: Column, id_column: str = "doc_id",
         for s in range(shards):
             row = [s, bucket]
             for _, keys, learned, bounds in (held.grams, held.words):
-                row += [_packed(x[bounds[s]:bounds[s + 1]]) for x in (keys, learned)]
+                row += [packed(x[bounds[s]:bounds[s + 1]]) for x in (keys, learned)]
             rows.append(row)
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_SCHEMA.types)],
                         schema=_SENT_SCHEMA)
@@ -253,8 +239,8 @@ def score_texts(docs: DataFrame, training: Column, id_column: str = "doc_id",
     def answer(table: pa.Table) -> pa.Table:
         replies, distinct = {}, 0
         for name in ("grams", "words"):
-            keys = [_unpacked(x, "<u8") for x in table.column(name).to_pylist()]
-            learned = [_unpacked(x, "<u4") for x in table.column(f"{name[:-1]}_counts").to_pylist()]
+            keys = [unpacked(x, "<u8") for x in table.column(name).to_pylist()]
+            learned = [unpacked(x, "<u4") for x in table.column(f"{name[:-1]}_counts").to_pylist()]
             bounds = np.cumsum([0, *map(len, keys)])
             own, place = np.unique(np.concatenate(keys), return_inverse=True)
             counts = np.bincount(place, np.concatenate(learned), len(own))
@@ -263,7 +249,7 @@ def score_texts(docs: DataFrame, training: Column, id_column: str = "doc_id",
                     0, "<f4")
             else:
                 result, distinct = counts.astype("<u4"), int((counts > 0).sum())
-            replies[name] = [_packed(result[place[a:b]]) for a, b in zip(bounds, bounds[1:])]
+            replies[name] = [packed(result[place[a:b]]) for a, b in zip(bounds, bounds[1:])]
         return pa.table({
             "bucket": table.column("bucket"), "shard": table.column("shard"),
             "lengths": pa.array(replies["grams"], pa.binary()),
@@ -278,9 +264,9 @@ def score_texts(docs: DataFrame, training: Column, id_column: str = "doc_id",
         held = _Bucket(table, shards)
         replies = replies.sort_by("shard")
         smooth = tokens + sum(replies.column("distinct").to_pylist()) + (tokens > 0) + 1
-        lengths = np.concatenate([_unpacked(x, "<f4") for x in
+        lengths = np.concatenate([unpacked(x, "<f4") for x in
                                   replies.column("lengths").to_pylist()]).astype(float)
-        known = np.concatenate([_unpacked(x, "<u4") for x in
+        known = np.concatenate([unpacked(x, "<u4") for x in
                                 replies.column("known").to_pylist()]).astype(float)
         rows = np.arange(len(held.sizes))
         score = np.bincount(np.repeat(rows, held.sizes), lengths[held.grams[0]], len(rows))

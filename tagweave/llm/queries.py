@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, ppm, toxicity
+from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, ppm, suffixes, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,6 +51,12 @@ def op4_setsketch_neardup(spark, folder):
                                    neardup.Rule(words=2)).drop("h")
 
 
+def op5_suffix_repeats(spark, folder):
+    done = suffixes.remove_repeats(_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_ppm_scores(spark, folder):
     scored = ppm.score_texts(_table(spark, folder, "documents"), _fold("doc_id", 7) != 2)
     return scored.select(
@@ -105,7 +109,7 @@ def op10_compression_toxicity(spark, folder):
 
 def queries() -> dict:
     named = [op1_chat_windows, op2_vector_packing, op3_line_dedup, op4_setsketch_neardup,
-             op6_ppm_scores, op7_wu_manber, op8_weak_supervision_pii,
+             op5_suffix_repeats, op6_ppm_scores, op7_wu_manber, op8_weak_supervision_pii,
              op9_inverted_multi_index, op10_compression_toxicity]
     return {query.__name__: query for query in named}
 
