@@ -88,7 +88,7 @@ class _Conversation:
             self.system = (role, text, tokens)
         self.waiting.append((role, text, tokens))
         self.held += tokens
-        while self.held > self._room():
+        while self.waiting and self.held > self._room():
             yield self.cut()
 
     def _room(self) -> int:
