@@ -61,13 +61,13 @@ def scores(metrics: DataFrame, columns: Sequence[str],
 
 def fit_clusters(points: DataFrame, columns: Sequence[str], k: int,
                  max_iterations: Sequence[int] = MAX_ITERATIONS,
-                 try_all: bool = False) -> PipelineModel:
+                 try_all: bool = True) -> PipelineModel:
     """Assembler, min-max scaler and k-means as one model.
 
     ``points`` has the feature columns and a ``weight``. The scaler is kept with
-    the clusters, so later data is scaled the way the centres were. Runs with
-    one seed retrace each other and only lower the error, so the longest limit
-    is the best one; ``try_all`` fits every limit and compares.
+    the clusters, so later data is scaled the way the centres were. Every limit is
+    fitted and the model with the lowest cost kept; without ``try_all`` only the
+    longest limit is, which retraces the shorter ones with the same seed.
     """
     features = Pipeline(stages=[
         VectorAssembler(inputCols=list(columns), outputCol="raw_features"),

@@ -1,25 +1,30 @@
 """Joining per-user values to the rules that name them.
 
 A rule side is broadcast only after its row count was checked. A larger one is
-joined by a shuffle whose keys carry a salt, because codes and metrics are
-skewed by nature: one code can cover a third of all users.
+joined by a shuffle. Codes and metrics are skewed by nature, one code can cover a
+third of all users: keys with very many rows are counted first and carry a salt.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tagweave.operators.staging import stage
+
 # Rows a code rule side may have to be broadcast.
 BROADCAST_CODES = 10_000
 # A range join compares every row with every band, so its bound is far lower.
 BROADCAST_BANDS = 256
-# Tasks one hot key is spread over in the shuffled joins.
+# Tasks one hot key is spread over in the shuffled joins, the rows that make a key
+# hot, and the number of hottest keys that are looked after.
 SALTS = 32
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1000
 
 
 def fits(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no more than that."""
-    return len(df.take(limit + 1)) <= limit
+    return df.limit(limit + 1).count() <= limit
 
 
 def code_match(users: DataFrame, rules: DataFrame, code: str, label: str,
@@ -81,12 +86,14 @@ def attach_band(users: DataFrame, bands: DataFrame, metric: str, out: str,
     inside = F.expr(f"`{metric}` >= `{start}` AND `{metric}` {upper}")
     if _small(named, limit, rows):
         return users.join(F.broadcast(named), inside, how)
-    matched = _join_blocks(users, named, metric, start, end).filter(inside)
     if how == "inner":
-        return matched
-    in_a_band = matched.select(metric).distinct()
-    others = users.join(in_a_band.hint("merge"), metric, "left_anti")
-    return matched.unionByName(others, allowMissingColumns=True)
+        return _join_blocks(users, named, metric, start, end).filter(inside)
+    # Rows are numbered and written once, since two joins read them.
+    row = f"{out}_row"
+    numbered = stage(users.withColumn(row, F.monotonically_increasing_id()), "banded-rows")
+    matched = _join_blocks(numbered, named, metric, start, end).filter(inside)
+    others = numbered.join(matched.select(row).distinct(), row, "left_anti")
+    return matched.unionByName(others, allowMissingColumns=True).drop(row)
 
 
 def _small(df: DataFrame, limit: int, rows: int | None) -> bool:
@@ -106,23 +113,33 @@ def lookup(facts: DataFrame, dimension: DataFrame, keys: list[str],
 
 
 def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
-                how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Equi join that cuts every key's facts into ``salts`` parts.
-
-    The salt is a hash of the row, not a random number: a task that runs again
-    after a lost executor puts its rows in the same place. The hint is there
-    since Catalyst cannot foresee how far the copies grow and might broadcast.
+                how: str = "inner", salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi join by a shuffle that cuts the facts of hot keys into ``salts`` parts.
+
+    Keys are counted, combined before the shuffle, and only the dimension rows of hot
+    ones are copied. The salt is a hash of the row and of its partition, not a random
+    number: equal rows are spread too, and a task that runs again after a lost
+    executor puts its rows in the same place. Keys beyond the HOT_KEYS hottest are
+    joined like all others, so the result does not depend on these limits.
     """
-    salted = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    copies = dimension.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = (facts.groupBy(*keys).agg(F.count("*").alias("_n"))
+           .filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(HOT_KEYS)
+           .drop("_n").withColumn("_hot", F.lit(True)))
+    found = F.broadcast(hot)  # at most HOT_KEYS rows
+    salt = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts))
+    salted = facts.join(found, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), salt.cast("int")).otherwise(0)).drop("_hot")
+    copies = dimension.join(found, keys, "left").withColumn("_salt", F.explode(
+        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+        .otherwise(F.array(F.lit(0))))).drop("_hot")
     return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
-# A band is covered by aligned blocks of 16^0 .. 16^7 integers: at most 30 per
-# size, 240 in all, however wide it is. A value then lies in one block per size.
+# Integers are counted from the smallest, so that negative ones have blocks too. A band
+# is covered by aligned blocks of 16^0 .. 16^7 integers: at most 30 per size, 240 in
+# all, however wide it is. A value then lies in one block per size.
 _SIZES = range(8)
+_LEAST = 2 ** 31
 
 
 def _join_blocks(users: DataFrame, bands: DataFrame, metric: str, start: str,
@@ -131,10 +148,11 @@ def _join_blocks(users: DataFrame, bands: DataFrame, metric: str, start: str,
     covered = _cover(bands, start, end)
     # Users are placed only at the sizes in use, usually two or three.
     used = sorted(row["_size"] for row in covered.select("_size").distinct().collect())
-    placed = (users.filter((F.col(metric) >= 0) & (F.col(metric) < 2.0 ** 31))
-              .withColumn("_size", F.explode(F.array(*map(F.lit, used))))
+    placed = (users.filter((F.col(metric) >= -float(_LEAST)) & (F.col(metric) < float(_LEAST)))
+              .withColumn("_size", F.explode(F.array(*map(F.lit, used)).cast("array<int>")))
               .withColumn("_block", F.expr(
-                  f"CAST(floor(`{metric}`) AS BIGINT) DIV shiftleft(1L, 4 * _size)")))
+                  f"(CAST(floor(`{metric}`) AS BIGINT) + {_LEAST}) "
+                  "DIV shiftleft(1L, 4 * _size)")))
     return salted_join(placed, covered, ["_size", "_block"]).drop("_size", "_block")
 
 
@@ -145,13 +163,15 @@ def _cover(bands: DataFrame, start: str, end: str) -> DataFrame:
         return f"IF({first} <= {last}, sequence({first}, {last}), CAST(array() AS ARRAY<BIGINT>))"
 
     sized = (bands.withColumn("_size", F.explode(F.array(*map(F.lit, _SIZES))))
-             .withColumn("_w", F.expr("shiftleft(1L, 4 * _size)")))
+             .withColumn("_w", F.expr("shiftleft(1L, 4 * _size)"))
+             .withColumn("_from", F.expr(f"`{start}` + {_LEAST}L"))
+             .withColumn("_to", F.expr(f"`{end}` + {_LEAST}L")))
     spans = sized.selectExpr(
         *bands.columns, "_size",
-        f"(`{start}` + _w - 1) DIV _w AS _first",
-        f"(`{end}` + 1L) DIV _w - 1 AS _last",
-        f"(`{start}` + 16 * _w - 1) DIV (16 * _w) * 16 AS _inner_first",
-        f"(`{end}` + 1L) DIV (16 * _w) * 16 - 1 AS _inner_last")
+        "(_from + _w - 1) DIV _w AS _first",
+        "(_to + 1L) DIV _w - 1 AS _last",
+        "(_from + 16 * _w - 1) DIV (16 * _w) * 16 AS _inner_first",
+        "(_to + 1L) DIV (16 * _w) * 16 - 1 AS _inner_last")
     blocks = (f"IF(_size = {_SIZES[-1]} OR _inner_first > _inner_last, "
               f"{run('_first', '_last')}, concat({run('_first', '_inner_first - 1')}, "
               f"{run('_inner_last + 1', '_last')}))")

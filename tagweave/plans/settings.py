@@ -34,7 +34,7 @@ class Settings:
     recommender_blocks: int = 10
     model_root: str | None = None
     retrain: bool = False
-    try_all_iterations: bool = False
+    try_all_iterations: bool = True
     skip_unscored: bool = False
 
     def as_of(self, entity: str) -> AsOf:

@@ -7,15 +7,18 @@ Level 4 rows are tags, ``selectTable=<table>;selectField=<a>|<b>``; their level
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.functions.columns import range_bounds
+from tagweave.operators.match import attach_band
 from tagweave.sources.schemas import TAXONOMY, conform, require
 
+# A closed range of integers, for taxonomies of any size.
+RANGE = r"[ \t]*([0-9]+)[ \t]*-[ \t]*([0-9]+)[ \t]*"
 # Rows of a taxonomy that is kept on the driver.
 LITERAL_RULES = 10_000
 
@@ -70,10 +73,16 @@ class Taxonomy:
         return parse_source_rule(tag_id, row.rule if row else None)
 
     def code_rules(self, tag_id: int) -> Rules:
-        """(name, rule) of a code tag."""
+        """(name, rule) of a code tag. A code with two names raises: it would give
+        one user two rows."""
         if self._rows is None:
-            return Rules(self._values(tag_id))
+            values = self._values(tag_id)
+            _refuse(tag_id, "duplicate code(s)", [r.rule for r in values.groupBy("rule").count()
+                                                  .filter("count > 1").take(3)])
+            return Rules(values)
         values = [(r.name, r.rule) for r in self._literal_values(tag_id)]
+        seen = Counter(rule for _, rule in values)
+        _refuse(tag_id, "duplicate code(s)", [rule for rule, n in seen.items() if n > 1])
         return Rules(_literals(self._frame.sparkSession, values, ("name", "rule")),
                      len(values))
 
@@ -81,28 +90,41 @@ class Taxonomy:
         """(name, start, end) of a range tag.
 
         A malformed range raises. So do overlapping ranges, since they would give
-        one user two values, unless ``allow_overlap``; a taxonomy too large to be
-        kept is not checked for overlap.
+        one user two values, unless ``allow_overlap``.
         """
         if self._rows is None:
+            part = lambda i: F.expr(
+                f"try_cast(regexp_extract(rule, r'{RANGE}', {i}) AS INT)")
             bands = self._values(tag_id).select(
-                "name", "rule", range_bounds(F.col("rule")).alias("bounds")).select(
-                "name", "rule", "bounds.start", "bounds.end")
-            broken = bands.filter("start IS NULL OR end IS NULL OR start > end").take(3)
-            _refuse(tag_id, "malformed", [r.rule for r in broken])
-            return Rules(bands.drop("rule"))
+                "name", "rule", part(1).alias("start"), part(2).alias("end"))
+            whole = F.coalesce(F.col("rule").rlike(f"^{RANGE}$"), F.lit(False))
+            broken = bands.filter(~whole | F.col("start").isNull() | F.col("end").isNull()
+                                  | (F.col("start") > F.col("end"))).take(3)
+            _refuse(tag_id, "malformed range(s)", [r.rule for r in broken])
+            bands = bands.drop("rule")
+            if not allow_overlap:
+                # Two bands overlap just if the start of one lies in the other.
+                starts = bands.select(F.col("start").alias("at"),
+                                      F.monotonically_increasing_id().alias("row"))
+                met = attach_band(starts, bands, "at", "held", limit=-1)
+                twice = met.groupBy("row", "at").count().filter("count > 1").take(3)
+                _refuse(tag_id, "overlapping range(s)", [f"several hold {r.at}" for r in twice])
+            return Rules(bands)
         values = [(r.name, *_bounds(tag_id, r.rule)) for r in self._literal_values(tag_id)]
         spans = sorted(values, key=lambda v: v[1:])
         if not allow_overlap:
-            _refuse(tag_id, "overlapping", [
+            _refuse(tag_id, "overlapping range(s)", [
                 f"{a[1]}-{a[2]} and {b[1]}-{b[2]}" for a, b in zip(spans, spans[1:])
                 if b[1] <= a[2]])
         return Rules(_literals(self._frame.sparkSession, values,
                                ("name", "start", "end")), len(values))
 
     def _values(self, tag_id: int) -> DataFrame:
-        return (self._frame.filter("level = 5").where(F.col("pid") == tag_id)
-                .select("name", "rule"))
+        values = (self._frame.filter("level = 5").where(F.col("pid") == tag_id)
+                  .select("name", "rule"))
+        if values.isEmpty():
+            raise ValueError(f"tag {tag_id} has no values in the taxonomy")
+        return values
 
     def _literal_values(self, tag_id: int) -> list:
         values = [r for r in self._rows if (r.level, r.pid) == (5, tag_id)]
@@ -112,16 +134,16 @@ class Taxonomy:
 
 
 def _bounds(tag_id: int, rule: str | None) -> tuple[int, int]:
-    found = re.fullmatch(r"\s*(\d+)\s*-\s*(\d+)\s*", rule or "")
+    found = re.fullmatch(RANGE, rule or "", re.ASCII)
     bounds = tuple(map(int, found.groups())) if found else (1, 0)
     if not bounds[0] <= bounds[1] < 2 ** 31:
-        _refuse(tag_id, "malformed", [rule])
+        _refuse(tag_id, "malformed range(s)", [rule])
     return bounds
 
 
 def _refuse(tag_id: int, fault: str, rules: list) -> None:
     if rules:
-        raise ValueError(f"tag {tag_id} has {fault} range(s): {rules[:3]}")
+        raise ValueError(f"tag {tag_id} has {fault}: {rules[:3]}")
 
 
 def _literals(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:

@@ -65,19 +65,37 @@ def test_many_bands_agree_with_brute_force(spark, rows, seed):
     draw = random.Random(seed)
     bands = []
     for i in range(60):
-        start = draw.choice([draw.randrange(50), draw.randrange(5000),
-                             draw.randrange(2 ** 31 - 1)])
+        start = draw.choice([draw.randrange(50), draw.randrange(5000), -draw.randrange(80),
+                             -draw.randrange(2 ** 31), draw.randrange(2 ** 31 - 1)])
         end = min(2 ** 31 - 1, start + draw.choice([0, 3, 40, 700, 10 ** 6, 2 ** 30]))
         bands.append((f"b{i}", start, end))
     users = [(i, draw.choice([float(draw.randrange(60)), draw.random() * 5500,
                               draw.random() * 2 ** 31, float(draw.choice(bands)[2]),
-                              float(draw.choice(bands)[1]), -3.0]))
+                              float(draw.choice(bands)[1]), -3.0, -draw.random() * 90,
+                              -draw.random() * 2 ** 31]))
              for i in range(300)]
     expected = sorted((u, m, name) for u, m in users for name, lo, hi in bands
                       if lo <= m <= hi)
-    found = range_match(spark.createDataFrame(users, "userId bigint, m double"),
-                        spark.createDataFrame(bands, BANDS), "m", "band", limit=0)
-    assert rows(found) == expected
+    for limit in (256, 0):
+        for how in ("inner", "left"):
+            found = range_match(spark.createDataFrame(users, "userId bigint, m double"),
+                                spark.createDataFrame(bands, BANDS), "m", "band", how=how,
+                                limit=limit)
+            got = rows(found)
+            assert [r for r in got if r[2] is not None] == expected
+            bare = {u for u, _ in users} - {u for u, _, _ in expected}
+            assert [r[0] for r in got if r[2] is None] == (sorted(bare) if how == "left" else [])
+
+
+@pytest.mark.parametrize("limit", [256, 0], ids=["broadcast", "blocks"])
+def test_negative_values_meet_negative_bands(spark, rows, limit):
+    bands = spark.createDataFrame([("a", -10, -1), ("b", 0, 2), ("c", 3, 9)], BANDS)
+    users = spark.createDataFrame([(1, -5), (2, -1), (3, 0), (4, 3), (5, -2147483648)],
+                                  "userId bigint, m int")
+    assert rows(range_match(users, bands, "m", "band", limit=limit)) == [
+        (1, -5, "a"), (2, -1, "a"), (3, 0, "b"), (4, 3, "c")]
+    left = range_match(users, bands, "m", "band", how="left", limit=limit)
+    assert (5, -2147483648, None) in rows(left)
 
 
 def test_blocks_cover_a_band_exactly_once(spark):
@@ -85,24 +103,27 @@ def test_blocks_cover_a_band_exactly_once(spark):
     blocks = match._cover(bands, "start", "end").collect()
     numbers = [n for b in blocks
                for n in range(b._block * 16 ** b._size, (b._block + 1) * 16 ** b._size)]
-    assert sorted(numbers) == list(range(3, 70001))
+    assert sorted(n - 2 ** 31 for n in numbers) == list(range(3, 70001))
     assert len(blocks) <= 240
 
 
-def test_salting_spreads_a_hot_key_and_keeps_all_rows(spark):
+def test_salting_spreads_a_hot_key_and_keeps_all_rows(spark, rows):
     from pyspark.sql import functions as F
-    facts = spark.range(4000).withColumn("k", F.lit(1))
-    dim = spark.createDataFrame([(1, "hot"), (2, "cold")], "k int, name string")
-    joined = salted_join(facts, dim, ["k"], salts=8)
-    assert joined.count() == 4000
-    spread = (facts.withColumn("s", F.pmod(F.xxhash64("id", "k"), F.lit(8)))
-              .groupBy("s").count().collect())
-    assert len(spread) == 8 and max(r["count"] for r in spread) < 700
+    # Four fifths of the rows have one key, and all rows of it are equal.
+    facts = spark.range(0, 4000, numPartitions=16).select(
+        F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(1).alias("k"))
+    dim = spark.createDataFrame([(1, "hot"), (2, "cold"), (5, "cool")], "k long, name string")
+    joined = salted_join(facts, dim, ["k"], salts=8, hot_rows=1000)
+    assert rows(joined.groupBy("name").count()) == [("cool", 1), ("hot", 3200)]
+    assert salted_join(facts, dim, ["k"], "left", salts=8, hot_rows=1000).count() == 4000
+    parts = (facts.filter("k = 1").select(F.pmod(F.xxhash64("k", F.spark_partition_id()), F.lit(8))
+                                          .alias("s")).groupBy("s").count().collect())
+    assert len(parts) > 3
 
 
 def test_lookup_checks_the_size_before_it_broadcasts(spark):
     facts = spark.range(10).withColumnRenamed("id", "k")
     dim = spark.range(5).withColumnRenamed("id", "k")
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(match.lookup(facts, dim, ["k"], limit=5))
-    assert "strategy=broadcast" not in plan(match.lookup(facts, dim, ["k"], limit=4))
+    assert "strategy=merge" not in plan(match.lookup(facts, dim, ["k"], limit=5))
+    assert "strategy=merge" in plan(match.lookup(facts, dim, ["k"], limit=4))

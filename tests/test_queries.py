@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "customer events lineitem nation orders part region supplier".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-SQL = entry.oracle_sql()
+SQL = entry.retail_sql.sql(entry.RULE_TAGS)
 
 
 @pytest.fixture(scope="module")

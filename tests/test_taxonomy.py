@@ -29,22 +29,38 @@ def test_missing_and_empty_source_rules_name_the_tag(spark, limit):
 
 
 @pytest.mark.parametrize("limit", [10_000, 0], ids=["kept", "table"])
-@pytest.mark.parametrize("rule", ["5", "a-b", "9-1", "1-2-3", "1-99999999999", ""])
+@pytest.mark.parametrize("rule", ["5", "a-b", "9-1", "1-2-3", "1-99999999999", "", "+1-10",
+                                  "-1-10", None])
 def test_malformed_ranges_raise(spark, rule, limit):
     with pytest.raises(ValueError, match="malformed"):
         build(spark, [("x", rule)], limit=limit).band_rules(7)
 
 
-def test_overlapping_ranges_raise_unless_allowed(spark):
-    tags = build(spark, [("x", "0-9"), ("y", "9-12")])
-    with pytest.raises(ValueError, match="overlapping"):
-        tags.band_rules(7)
-    assert tags.band_rules(7, allow_overlap=True).rows == 2
+@pytest.mark.parametrize("limit", [10_000, 0], ids=["kept", "table"])
+def test_overlapping_ranges_raise_unless_allowed(spark, rows, limit):
+    for values in ([("x", "0-9"), ("y", "9-12")], [("x", "3-3"), ("x", "3-3")],
+                   [("x", "0-99"), ("y", "40-50"), ("z", "100-101")]):
+        tags = build(spark, values, limit=limit)
+        with pytest.raises(ValueError, match="tag 7 has overlapping"):
+            tags.band_rules(7)
+        assert tags.band_rules(7, allow_overlap=True).frame.count() == len(values)
+    apart = build(spark, [("x", " 0 - 9"), ("y", "10-12 ")], limit=limit)
+    assert rows(apart.band_rules(7).frame) == [("x", 0, 9), ("y", 10, 12)]
+
 
+@pytest.mark.parametrize("limit", [10_000, 0], ids=["kept", "table"])
+def test_a_code_with_two_names_raises(spark, limit):
+    tags = build(spark, [("x", "1"), ("y", "2"), ("z", "1")], limit=limit)
+    with pytest.raises(ValueError, match="tag 7 has duplicate"):
+        tags.code_rules(7)
 
-def test_a_tag_without_values_raises(spark):
-    with pytest.raises(ValueError, match="no values"):
-        build(spark, [("x", "1")]).code_rules(8)
+
+@pytest.mark.parametrize("limit", [10_000, 0], ids=["kept", "table"])
+def test_a_tag_without_values_raises(spark, limit):
+    tags = build(spark, [("x", "1")], limit=limit)
+    for ask in (tags.code_rules, tags.band_rules):
+        with pytest.raises(ValueError, match="no values"):
+            ask(8)
 
 
 def test_missing_taxonomy_columns_are_named(spark):
