@@ -19,7 +19,7 @@ from tagweave.functions import sql
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.match import code_match, range_match
 from tagweave.operators.staging import stage
-from tagweave.plans import jobs, mining, profile, repair, retail
+from tagweave.plans import checks, jobs, mining, profile, repair, retail
 from tagweave.plans.tags import BY_NAME, MODEL, TAGS, run_catalog_tag, run_tag
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
 
@@ -190,7 +190,9 @@ def sql_functions(spark, folder):
     _store(spark, folder).logs().createOrReplaceTempView("tbl_logs")
     return spark.sql("""
         SELECT userId, coalesce(productId, '') AS productId, hours.start AS hour_start,
-               hours.end AS hour_end, places.top1, coalesce(places.top2, -1) AS top2
+               hours.end AS hour_end, places.top1, coalesce(places.top2, -1) AS top2,
+               coalesce(places.top3, -1) AS top3, coalesce(places.top4, -1) AS top4,
+               coalesce(places.top5, -1) AS top5
         FROM (SELECT global_user_id AS userId, url_to_product(loc_url) AS productId,
                      rule_to_tuple(concat(hour(log_time), '-', hour(log_time) + 1)) AS hours,
                      string_to_product(concat_ws(',', global_user_id,
@@ -243,6 +245,78 @@ def shift_users(spark, folder):
     return repair.shift_users(_store(spark, folder).users().select("id", "lastLoginTime"))
 
 
+def shift_users_midnight(spark, folder):
+    return repair.shift_users(_store(spark, folder).users().select("id", "lastLoginTime"),
+                              to_midnight=True)
+
+
+def many_bands_signed(spark, folder):
+    """Bands on both sides of zero, more than are compared one by one."""
+    valued = metrics.order_metrics(_store(spark, folder).orders(), ORDERS_AS_OF,
+                                   ["unitPrice"])
+    centred = valued.withColumn("offset", F.col("unitPrice") - 250000)
+    bands = spark.range(-200, 200).select(
+        F.concat(F.lit("band "), F.col("id")).alias("name"),
+        (F.col("id") * 1500).alias("start"), (F.col("id") * 1500 + 1299).alias("end"))
+    return range_match(centred, bands, "offset", "band").select("userId", "offset", "band")
+
+
+def unit_price_half_open(spark, folder):
+    """The tag with bands stretched to the next integer."""
+    return run_tag(BY_NAME["unitPrice"], _store(spark, folder), retail.taxonomy(spark),
+                   ORDERS_AS_OF, half_open=True)
+
+
+def rfe_scores_lagged(spark, folder):
+    """Engagement of logs that lag behind the day counted to."""
+    store = _store(spark, folder)
+    logs = store.logs().withColumn("log_time", F.col("log_time") - F.expr("INTERVAL 1640 DAYS"))
+    valued = metrics.log_metrics(logs, LOGS_AS_OF, cluster.RFE_METRICS)
+    return mining.rfe_scores(valued, retail.settings(visit_lag_days=1640)).select(
+        "userId", *retail.RFE_BANDS)
+
+
+def rfm_tag_check(spark, folder):
+    return checks.score_clusters(_store(spark, folder), retail.settings(), "rfm")
+
+
+def rfe_tag_check(spark, folder):
+    return checks.score_clusters(_store(spark, folder), retail.settings(), "rfe")
+
+
+def psm_tag_check(spark, folder):
+    return checks.value_clusters(_store(spark, folder), retail.settings())
+
+
+def silhouette_check(spark, folder):
+    settings, store = retail.settings(), _store(spark, folder)
+    scored = stage(mining.rfe_scores(metrics.log_metrics(
+        store.logs(), LOGS_AS_OF, cluster.RFE_METRICS), settings), "rfe-scores")
+    return checks.silhouette_fault(scored, retail.RFE_BANDS, cluster.RFE_CLUSTERS)
+
+
+def _recommender(spark, folder):
+    ratings = stage(metrics.product_ratings(_store(spark, folder).logs()), "ratings")
+    return ratings, recommend.fit_recommender(ratings)
+
+
+def rmse_check(spark, folder):
+    return checks.error_fault(*_recommender(spark, folder))
+
+
+def bp_check(spark, folder):
+    return checks.recommender_faults(*_recommender(spark, folder))
+
+
+def bp_lists_check(spark, folder):
+    return checks.list_faults(_recommender(spark, folder)[1])
+
+
+def profile_full_check(spark, folder):
+    return checks.profile_faults(_store(spark, folder), retail.settings(),
+                                 retail.taxonomy(spark, True))
+
+
 RULE_TAGS = {
     "tag_gender": "gender", "tag_job": "job", "tag_marriage": "marriage",
     "tag_nationality": "nationality", "tag_political": "politicalFace",
@@ -268,7 +342,10 @@ def queries() -> dict[str, Query]:
              profile_left, profile_joined, range_gap_drop, half_open_bands, many_bands,
              code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
              sql_functions, repair_orders, repair_orders_midnight, shift_logs,
-             shift_logs_midnight, shift_users, rfm_silhouette, bp_error, profile_full]
+             shift_logs_midnight, shift_users, rfm_silhouette, bp_error, profile_full,
+             shift_users_midnight, many_bands_signed, unit_price_half_open,
+             rfe_scores_lagged, rfm_tag_check, rfe_tag_check, psm_tag_check,
+             silhouette_check, rmse_check, bp_check, bp_lists_check, profile_full_check]
     text = {} if text_queries is None else {
         **text_queries.queries(), "pipeline": corpus_pipeline.run}
     return {**{key: _tag(tag) for key, tag in {**RULE_TAGS, **MODEL_TAGS}.items()},

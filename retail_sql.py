@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tagweave.operators import cluster
 from tagweave.plans import retail, repair
 from tagweave.plans.tags import BY_NAME, CODE, LOGS, MODEL, ORDERS, TAGS, USERS
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF
@@ -328,8 +329,50 @@ WITH {SHOP_LOGS}, found AS (
   FROM shop_logs)
 SELECT user_id AS "userId", COALESCE(product, '') AS "productId", h AS hour_start,
        h + 1 AS hour_end, CAST(user_id AS INTEGER) AS top1,
-       COALESCE(CAST(product AS INTEGER), -1) AS top2
+       COALESCE(CAST(product AS INTEGER), -1) AS top2, -1 AS top3, -1 AS top4, -1 AS top5
 FROM found""",
+        "many_bands_signed": f"""
+WITH {order_ctes}, rules AS (
+  SELECT 'band ' || i AS name, i * 1500 AS lo, i * 1500 + 1299 AS hi FROM range(-200, 200) t(i))
+SELECT "userId", "unitPrice" - 250000 AS "offset", name AS band
+FROM order_metrics JOIN rules ON "unitPrice" - 250000 BETWEEN lo AND hi""",
+        "unit_price_half_open": f"""
+WITH {order_ctes}, rules(name, lo, hi) AS (VALUES {_values(_bands(retail.RULES['unitPrice']))})
+SELECT "userId", name AS "unitPriceRange", "unitPrice"
+FROM order_metrics JOIN rules ON "unitPrice" >= lo AND "unitPrice" < hi + 1""",
+        "rfe_scores_lagged": _score_sql(LOGS, ("visitDays", "viewCount", "pageCount"),
+                                        retail.RFE_BANDS),
+        "shift_users_midnight": f"""
+WITH {SHOP_USERS} SELECT id,
+       CAST(epoch(CAST(CAST(last_order AS DATE) + INTERVAL {repair.LOGIN_SHIFT} DAY AS TIMESTAMP))
+            AS BIGINT) AS "lastLoginTime" FROM shop_users""",
+        **{f"{name}_tag_check": f"""
+WITH scored AS ({_score_sql(entity, columns, bands)})
+SELECT count(*) AS users, least(CAST({k} AS BIGINT), count(DISTINCT ({', '.join(bands)}))) AS labels,
+       CAST(0 AS BIGINT) AS far, CAST(0 AS BIGINT) AS disordered, CAST(0 AS BIGINT) AS costlier FROM scored"""
+           for name, entity, columns, bands, k in (
+               ("rfm", ORDERS, cluster.RFM_METRICS, retail.RFM_BANDS, cluster.RFM_CLUSTERS),
+               ("rfe", LOGS, cluster.RFE_METRICS, retail.RFE_BANDS, cluster.RFE_CLUSTERS))},
+        "psm_tag_check": f"""
+WITH {order_ctes}
+SELECT count(*) AS users, least(CAST({cluster.PSM_CLUSTERS} AS BIGINT), count(DISTINCT "psmScore")) AS labels,
+       CAST(0 AS BIGINT) AS far, CAST(0 AS BIGINT) AS disordered, CAST(0 AS BIGINT) AS costlier FROM order_metrics""",
+        "silhouette_check": f"WITH {log_ctes} SELECT count(*) AS users, CAST(0 AS BIGINT) AS apart FROM log_metrics",
+        "rmse_check": f"WITH {SHOP_LOGS},{RATINGS} "
+                      "SELECT count(*) AS ratings, CAST(0 AS BIGINT) AS apart FROM ratings",
+        "bp_check": f"""
+WITH {SHOP_LOGS},{RATINGS}
+SELECT count(DISTINCT "userId") AS users, count(DISTINCT "productId") AS products, CAST(0 AS BIGINT) AS unsolved
+FROM ratings""",
+        "bp_lists_check": f"""
+WITH {SHOP_LOGS},{RATINGS}
+SELECT count(DISTINCT "userId") AS users, CAST(0 AS BIGINT) AS uneven, CAST(0 AS BIGINT) AS unlike, CAST(0 AS BIGINT) AS unsorted FROM ratings""",
+        "profile_full_check": f"""
+WITH profile AS ({_profile_sql("JOIN", covering)}),
+goods_users AS (WITH {goods} SELECT DISTINCT "userId" FROM user_goods),
+log_users AS (WITH {SHOP_LOGS},{RATINGS} SELECT DISTINCT "userId" FROM ratings)
+SELECT count(*) AS users, CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS twice
+FROM profile JOIN goods_users USING ("userId") JOIN log_users USING ("userId")""",
         "repair_orders": _repair_sql(0, False),
         "repair_orders_midnight": _repair_sql(3661, True),
         "shift_logs": f"""

@@ -95,31 +95,36 @@ def tag_metric(tag: Tag, source: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def attach_name(tag: Tag, valued: DataFrame, taxonomy: Taxonomy, metric: str,
-                out: str, how: str = "inner") -> DataFrame:
-    """``valued`` with the tag's name of its ``metric`` as one more column."""
+                out: str, how: str = "inner", half_open: bool = False) -> DataFrame:
+    """``valued`` with the tag's name of its ``metric`` as one more column.
+
+    ``half_open`` stretches the bands of a range tag to the next integer.
+    """
     if tag.match == CODE:
         rules = taxonomy.code_rules(tag.id)
         return attach_code(valued, rules.frame, metric, out, how, rows=rules.rows)
     rules = taxonomy.band_rules(tag.id)
-    return attach_band(valued, rules.frame, metric, out, how, rows=rules.rows)
+    return attach_band(valued, rules.frame, metric, out, how, half_open, rows=rules.rows)
 
 
-def tag_table(tag: Tag, valued: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+def tag_table(tag: Tag, valued: DataFrame, taxonomy: Taxonomy,
+              half_open: bool = False) -> DataFrame:
     """The tag's result table from a frame with userId and its metric."""
     named = attach_name(tag, valued.select("userId", tag.metric), taxonomy,
-                        tag.metric, "_name")
+                        tag.metric, "_name", half_open=half_open)
     columns = {"userId": "userId", "_name": tag.label}
     if tag.metric_label:
         columns[tag.metric] = tag.metric_label
     return named.select(*[F.col(c).alias(out) for c, out in columns.items()])
 
 
-def run_tag(tag: Tag, store, taxonomy: Taxonomy, as_of: AsOf = None) -> DataFrame:
+def run_tag(tag: Tag, store, taxonomy: Taxonomy, as_of: AsOf = None,
+            half_open: bool = False) -> DataFrame:
     """The tag as its taxonomy row directs: only the named fields of the named
     table are read."""
     rule = taxonomy.source_rule(tag.id)
     source = store.read(rule.table).select(*rule.fields)
-    return tag_table(tag, tag_metric(tag, source, as_of), taxonomy)
+    return tag_table(tag, tag_metric(tag, source, as_of), taxonomy, half_open)
 
 
 def run_catalog_tag(spark, tag: Tag, database: str | None = None,
