@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import ann, chat, decontaminate, linededup, neardup, packing, pii, ppm, suffixes, toxicity
+from tagweave.llm import ann, chat, decontaminate, linededup, neardup, oracles, packing, pii, ppm, suffixes, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -115,7 +115,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
-
-
-SQL: dict[str, str] = {}
+    return dict(oracles.SQL)
