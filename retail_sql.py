@@ -135,7 +135,7 @@ ratings AS (
          CAST(COUNT(*) AS INTEGER) AS rating
   FROM (SELECT user_id,
                CAST(NULLIF(regexp_extract(url, '^.+/product/(\d+)\.html.+$', 1), '')
-                    AS INTEGER) AS product FROM shop_logs)
+                    AS BIGINT) AS product FROM shop_logs)
   WHERE product IS NOT NULL GROUP BY 1, 2)"""
 
 _SOURCE = {

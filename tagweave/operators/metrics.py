@@ -223,7 +223,7 @@ def product_ratings(logs: DataFrame) -> DataFrame:
     return (_by_user(logs, "global_user_id")
             .filter(F.col("loc_url").contains("/product/"))
             .select("userId",
-                    product_id(F.col("loc_url")).cast("int").alias("productId"))
+                    product_id(F.col("loc_url")).cast("bigint").alias("productId"))
             .filter("productId IS NOT NULL")
             .groupBy("userId", "productId")
             .agg(F.count("*").cast("int").alias("rating")))

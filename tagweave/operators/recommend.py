@@ -3,56 +3,224 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tagweave.functions.columns import slots
 from tagweave.operators.match import lookup
-from tagweave.operators.staging import shared_folder, stage
+from tagweave.operators.staging import find_package, shared_folder, stage
 
 # The factorisation, and the number of products recommended.
 RANK, ITERATIONS, ALPHA, REGULARISATION = 10, 10, 1.0, 1.0
 TOP = ("top1", "top2", "top3", "top4", "top5")
 
 
+# Products whose factors one broadcast holds, and those compared with a batch of users.
+CHUNK, BLOCK = 100_000, 1024
+
+
+@dataclass(frozen=True)
+class Recommender:
+    """Factors of users and products, with the ids of the tables."""
+
+    users: DataFrame
+    items: DataFrame
+    regularisation: float = REGULARISATION
+
+    def save(self, path: str) -> None:
+        self.users.write.mode("overwrite").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str,
+             regularisation: float = REGULARISATION) -> Recommender:
+        return cls(spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"),
+                   regularisation)
+
+
+def dense_ids(values: DataFrame, column: str, out: str) -> DataFrame:
+    """Distinct values with integers from 0 without gaps; the factorisation needs 32 bits.
+
+    The first number of each partition follows from the partitions' row counts.
+    """
+    held = stage(values.select(column).distinct().withColumn("_part", F.spark_partition_id()),
+                 "ids")
+    counts = sorted(tuple(r) for r in held.groupBy("_part").count().collect())
+    begins = dict(zip((p for p, _ in counts), accumulate([0, *(n for _, n in counts)])))
+    first = F.create_map(*[F.lit(v) for pair in begins.items() for v in pair]) if begins else (
+        F.lit(None))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    return held.select(column, (F.get(first, F.col("_part")) if not begins else
+                                first[F.col("_part")] + place - 1).cast("int").alias(out))
+
+
 def fit_recommender(ratings: DataFrame, blocks: int = 10,
                     regularisation: float = REGULARISATION, seed: int = 31) -> ALSModel:
     """Factors of users and products from (userId, productId, rating).
 
     Raise ``blocks`` with the number of cores. The training checkpoints its
-    factors, hence the shared folder.
+    factors, hence the shared folder. Ids must fit 32 bits; ``fit_factors`` has no
+    such bound.
     """
     shared_folder(ratings.sparkSession)
     als = ALS(userCol="userId", itemCol="productId", ratingCol="rating",
               implicitPrefs=True, rank=RANK, maxIter=ITERATIONS, alpha=ALPHA,
               regParam=regularisation, coldStartStrategy="drop", seed=seed,
               numUserBlocks=blocks, numItemBlocks=blocks)
-    ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return als.fit(ratings)
-    finally:
-        ratings.unpersist()
+    return als.fit(ratings)
+
+
+def fit_factors(ratings: DataFrame, blocks: int = 10,
+                regularisation: float = REGULARISATION, seed: int = 31) -> Recommender:
+    """The factorisation over ids of any size; ``ratings`` should be staged."""
+    users = stage(dense_ids(ratings, "userId", "_user"), "user-ids")
+    items = stage(dense_ids(ratings, "productId", "_item"), "product-ids")
+    dense = stage(ratings.join(users, "userId").join(items, "productId").select(
+        F.col("_user").alias("userId"), F.col("_item").alias("productId"), "rating"), "ratings")
+    model = fit_recommender(dense, blocks, regularisation, seed)
+    return Recommender(
+        model.userFactors.join(users, F.col("id") == F.col("_user")).select(
+            F.col("userId").cast("bigint").alias("userId"), "features"),
+        model.itemFactors.join(items, F.col("id") == F.col("_item")).select(
+            F.col("productId").cast("bigint").alias("productId"), "features"), regularisation)
+
+
+def factors_of(model: ALSModel, regularisation: float = REGULARISATION) -> Recommender:
+    """A fitted model's factors as tables."""
+    named = lambda df, name: df.select(
+        F.col("id").cast("bigint").alias(name), "features")
+    return Recommender(named(model.userFactors, "userId"), named(model.itemFactors, "productId"),
+                       regularisation)
 
 
-def recommend(model: ALSModel, names: Sequence[str] = TOP) -> DataFrame:
+def with_new_users(fitted: Recommender, ratings: DataFrame) -> Recommender:
+    """Factors also of users who came after the fit, from the products' factors.
+
+    A user's factors solve the linear system that the last step of the factorisation
+    solves; its sums are aggregates by user. Users without a known product have none.
+    """
+    find_package(ratings.sparkSession)
+    new = ratings.withColumn("userId", F.col("userId").cast("bigint")).join(
+        fitted.users.select("userId"), "userId", "left_anti")
+    joined = new.join(fitted.items, "productId")
+    at = lambda i: F.col("features")[i].cast("double")
+    upper = [(i, j) for i in range(RANK) for j in range(i, RANK)]
+    whole = fitted.items.groupBy().agg(*[F.sum(at(i) * at(j)) for i, j in upper]).first()
+    pull = ALPHA * F.col("rating")
+    sums = joined.groupBy("userId").agg(
+        F.count("*").cast("double").alias("n"),
+        F.array(*[F.sum(pull * at(i) * at(j)) for i, j in upper]).alias("left"),
+        F.array(*[F.sum((1 + pull) * at(i)) for i in range(RANK)]).alias("right"))
+    base, weight = np.array([v or 0.0 for v in whole]), fitted.regularisation
+
+    def solve(batches):
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            left = batch.column("left").flatten().to_numpy().reshape(-1, len(upper))
+            right = batch.column("right").flatten().to_numpy().reshape(-1, RANK)
+            square = np.zeros((len(n), RANK, RANK))
+            for k, (i, j) in enumerate(upper):
+                square[:, i, j] = square[:, j, i] = left[:, k] + base[k]
+            square += np.eye(RANK) * (weight * n)[:, None, None]
+            found = np.linalg.solve(square, right[:, :, None])[:, :, 0].astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("userId"), pa.array(list(found), pa.list_(pa.float32()))],
+                names=["userId", "features"])
+
+    solved = sums.mapInArrow(solve, "userId bigint, features array<float>")
+    return Recommender(fitted.users.unionByName(solved), fitted.items, fitted.regularisation)
+
+
+def best_products(fitted: Recommender, count: int) -> DataFrame:
+    """(userId, productIds, ratings): the products with the largest inner products.
+
+    Exact without comparing all pairs: products come in order of their norm, and a
+    user is done once the norm of the next one times the user's own is below the
+    user's last place. Products are shipped CHUNK at a time, and further ones only
+    while a user is open. Equal ratings are in order of the product id.
+    """
+    find_package(fitted.items.sparkSession)
+    size = fitted.items.count()
+    norm = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    ranked = fitted.items.select("productId", "features", norm.alias("norm")).orderBy(
+        F.desc("norm"), "productId")
+    state = fitted.users.select(
+        "userId", "features", F.array().cast("array<bigint>").alias("productIds"),
+        F.array().cast("array<float>").alias("ratings"), F.lit(False).alias("done"))
+    for begin in range(0, max(size, 1), CHUNK):
+        rows = ranked.offset(begin).limit(CHUNK).collect()
+        ids = np.array([r["productId"] for r in rows], np.int64)
+        factors = np.array([r["features"] for r in rows], np.float32).reshape(len(rows), -1)
+        shipped = fitted.items.sparkSession.sparkContext.broadcast((ids, factors))
+        state = state.mapInArrow(_merge(shipped, count), state.schema.simpleString()[7:-1])
+        if begin + CHUNK < size:
+            state = stage(state, "best-products")
+            if state.filter("NOT done").isEmpty():
+                break
+    return state.select("userId", "productIds", "ratings")
+
+
+def _merge(shipped, count: int):
+    """Each batch of users against one chunk of products, block by block."""
+
+    def passes(batches):
+        ids, factors = shipped.value
+        norms = np.sqrt((factors.astype(float) ** 2).sum(axis=1)) * (1 + 1e-6)
+        for batch in batches:
+            users = np.array(batch.column("features").to_pylist(), np.float32).reshape(
+                batch.num_rows, -1)
+            own = np.sqrt((users.astype(float) ** 2).sum(axis=1))
+            held = [(np.array(i, np.int64), np.array(r, np.float32)) for i, r in zip(
+                batch.column("productIds").to_pylist(), batch.column("ratings").to_pylist())]
+            done = batch.column("done").to_numpy(zero_copy_only=False).copy()
+            for a in range(0, len(ids), BLOCK):
+                open_ = np.flatnonzero(~done)
+                last = np.array([held[k][1][-1] if len(held[k][1]) == count else -np.inf
+                                 for k in open_])
+                over = own[open_] * norms[a] < last
+                done[open_[over]] = True
+                open_ = open_[~over]
+                if not len(open_):
+                    break
+                scores = users[open_] @ factors[a:a + BLOCK].T
+                for k, row in zip(open_, scores):
+                    i, r = np.append(held[k][0], ids[a:a + BLOCK]), np.append(held[k][1], row)
+                    if len(r) > 4 * count:
+                        near = np.flatnonzero(r >= np.partition(r, -count)[-count])
+                        i, r = i[near], r[near]
+                    first = np.lexsort((i, -r))[:count]
+                    held[k] = (i[first], r[first])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("userId"), batch.column("features"),
+                 pa.array([i for i, _ in held], pa.list_(pa.int64())),
+                 pa.array([r for _, r in held], pa.list_(pa.float32())), pa.array(done)],
+                names=["userId", "features", "productIds", "ratings", "done"])
+
+    return passes
+
+
+def recommend(fitted: Recommender | ALSModel, names: Sequence[str] = TOP) -> DataFrame:
     """userId and one product id column per name, best first."""
-    best = model.recommendForAllUsers(len(names))
-    return best.select(F.col("userId").cast("bigint").alias("userId"),
-                       *slots(F.col("recommendations.productId"), names))
+    best = best_products(_tables(fitted), len(names))
+    return best.select("userId", *slots(F.col("productIds"), names))
 
 
-def recommendation_lists(model: ALSModel, count: int = len(TOP)) -> DataFrame:
+def recommendation_lists(fitted: Recommender | ALSModel, count: int = len(TOP)) -> DataFrame:
     """userId with the products and their strengths as comma-separated lists."""
-    best = model.recommendForAllUsers(count)
+    best = best_products(_tables(fitted), count)
     return best.select(
-        F.col("userId").cast("bigint").alias("userId"),
-        F.concat_ws(",", F.col("recommendations.productId").cast("array<string>"))
-        .alias("productIds"),
-        F.concat_ws(",", F.col("recommendations.rating").cast("array<string>"))
-        .alias("ratings"))
+        "userId", F.concat_ws(",", F.col("productIds").cast("array<string>")).alias("productIds"),
+        F.concat_ws(",", F.col("ratings").cast("array<string>")).alias("ratings"))
+
+
+def _tables(fitted: Recommender | ALSModel) -> Recommender:
+    return fitted if isinstance(fitted, Recommender) else factors_of(fitted)
 
 
 def name_products(recommended: DataFrame, products: DataFrame,

@@ -6,12 +6,24 @@ from the fact tables, and keeps column pruning, where a checkpoint does not.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Where the package lies.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the driver found it; a place that
+    a node lacks does no harm there."""
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
 def shared_folder(spark: SparkSession) -> str:

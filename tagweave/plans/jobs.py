@@ -1,10 +1,10 @@
-"""The 23 jobs by name: 22 tags, each with its own table, and the profile."""
+"""The jobs by name: 22 tags, each with its own table, the profile, and three repairs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tagweave.plans import mining, profile
+from tagweave.plans import mining, profile, repair
 from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (BY_NAME, MODEL, PREFERENCE_TABLE, PROFILE_TABLE, TAGS,
                                  run_tag, tag_table)
@@ -12,6 +12,10 @@ from tagweave.sources.taxonomy import Taxonomy
 
 TABLES = {**{tag.name: tag.table for tag in TAGS}, "bp": PREFERENCE_TABLE,
           "profile": PROFILE_TABLE}
+# Suffix of repaired tables.
+REPAIRED = "_new"
+REPAIRS = {"repair-orders": ("orders", repair.repair_orders),
+           "shift-logs": ("logs", repair.shift_logs), "shift-users": ("users", repair.shift_users)}
 
 
 def tag(name: str, store, taxonomy: Taxonomy, settings: Settings) -> DataFrame:
@@ -19,17 +23,24 @@ def tag(name: str, store, taxonomy: Taxonomy, settings: Settings) -> DataFrame:
     if name == "bp":
         return mining.preferences(store, settings)
     declared = BY_NAME[name]
+    half_open = name in settings.half_open
     if declared.entity == MODEL:
-        return tag_table(declared, mining.mined(name, store, settings), taxonomy)
-    return run_tag(declared, store, taxonomy, settings.as_of(declared.entity))
+        return tag_table(declared, mining.mined(name, store, settings), taxonomy, half_open)
+    return run_tag(declared, store, taxonomy, settings.as_of(declared.entity), half_open)
 
 
-def run(name: str, store, out, taxonomy: Taxonomy, settings: Settings,
-        sort_by: str | None = None) -> None:
+def run(name: str, store, out, taxonomy: Taxonomy | None, settings: Settings,
+        sort_by: str | None = None, how: str = "inner") -> None:
     """Compute one job and write its table; the profile joins the tables of the
-    tags written before."""
+    tags written before, ``how`` says whether users that lack some are kept. Repairs
+    write a table named like their source with ``_new``."""
+    if name in REPAIRS:
+        source, job = REPAIRS[name]
+        table = getattr(settings, source)
+        out.write(job(store.read(table), to_midnight=settings.to_midnight), table + REPAIRED)
+        return
     if name not in TABLES:
-        raise ValueError(f"no job {name!r}; there are {sorted(TABLES)}")
-    result = (profile.profile_from_tables(out) if name == "profile"
+        raise ValueError(f"no job {name!r}; there are {sorted([*TABLES, *REPAIRS])}")
+    result = (profile.profile_from_tables(out, how) if name == "profile"
               else tag(name, store, taxonomy, settings))
     out.write(result, TABLES[name], sort_by=sort_by)

@@ -8,17 +8,16 @@ over them once to fit and once to predict.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.staging import stage
 from tagweave.plans.settings import Settings
-from tagweave.sources.models import exists, load_or_fit
+from tagweave.sources.models import exists, load_or_fit, refuse_other, remember
 
 
-def _model(spark, settings: Settings, name: str, kind: type, fit):
-    return load_or_fit(spark, settings.model_path(name), kind, fit, settings.retrain)
+def _model(spark, settings: Settings, name: str, kind: type, fit, **about):
+    return load_or_fit(spark, settings.model_path(name), kind, fit, settings.retrain, about)
 
 
 def must_fit(spark, settings: Settings, name: str) -> bool:
@@ -50,10 +49,16 @@ def add_rfe(log_values: DataFrame, settings: Settings) -> DataFrame:
 
 def _add_score_clusters(scored: DataFrame, settings: Settings, name: str, bands,
                         k: int) -> DataFrame:
+    bare = scored.filter(" OR ".join(f"`{c}` IS NULL" for c in bands))
+    if settings.skip_unscored:
+        scored = scored.dropna(subset=list(bands))
+    elif not bare.isEmpty():
+        raise ValueError(f"{name}: some users' metrics lie in no score band; skip_unscored "
+                         "leaves them out")
     model = _model(scored.sparkSession, settings, name, PipelineModel,
                    lambda: cluster.fit_score_clusters(
-                       scored, list(bands), k, skip_nulls=settings.skip_unscored,
-                       try_all=settings.try_all_iterations))
+                       scored, list(bands), k, try_all=settings.try_all_iterations),
+                   columns=list(bands), bands=bands, k=k)
     return cluster.assign_scores(model, scored, bands, f"{name}Cluster").drop(*bands)
 
 
@@ -62,7 +67,8 @@ def add_psm(order_values: DataFrame, settings: Settings) -> DataFrame:
     model = _model(order_values.sparkSession, settings, "psm", PipelineModel,
                    lambda: cluster.fit_value_clusters(
                        order_values, "psmScore", cluster.PSM_CLUSTERS,
-                       try_all=settings.try_all_iterations))
+                       try_all=settings.try_all_iterations),
+                   columns=["psmScore"], k=cluster.PSM_CLUSTERS)
     return cluster.assign_values(model, order_values, "psmCluster")
 
 
@@ -75,19 +81,33 @@ def usg_votes(store, settings: Settings) -> DataFrame:
     if must_fit(spark, settings, "usg"):
         items = stage(items, "user-goods")
     model = _model(spark, settings, "usg", PipelineModel,
-                   lambda: shopping.fit_tree(shopping.training_rows(items)))
+                   lambda: shopping.fit_tree(shopping.training_rows(items)),
+                   coding=vars(settings.coding))
     predictions = shopping.predicted_codes(model, spark, settings.coding)
     return shopping.shopping_vote(items, predictions).withColumnRenamed("usg", "usgVote")
 
 
 def preferences(store, settings: Settings) -> DataFrame:
-    """(userId, top1..top5): the products recommended to each user."""
+    """(userId, top1..top5): the products recommended to each user.
+
+    Users who came after a stored model was fitted get factors from its products.
+    """
     logs = store.read(settings.logs)
-    model = _model(logs.sparkSession, settings, "bp", ALSModel,
-                   lambda: recommend.fit_recommender(
-                       stage(metrics.product_ratings(logs), "ratings"),
-                       settings.recommender_blocks, settings.regularisation))
-    return recommend.recommend(model)
+    spark, path = logs.sparkSession, settings.model_path("bp")
+    about = {"rank": recommend.RANK, "alpha": recommend.ALPHA,
+             "regularisation": settings.regularisation}
+    ratings = stage(metrics.product_ratings(logs), "ratings")
+    if must_fit(spark, settings, "bp"):
+        fitted = recommend.fit_factors(ratings, settings.recommender_blocks,
+                                       settings.regularisation)
+        if path:
+            fitted.save(path)
+            remember(spark, path, about)
+    else:
+        refuse_other(spark, path, about)
+        fitted = recommend.with_new_users(
+            recommend.Recommender.load(spark, path, settings.regularisation), ratings)
+    return recommend.recommend(fitted)
 
 
 def mined(name: str, store, settings: Settings) -> DataFrame:

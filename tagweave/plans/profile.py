@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -46,6 +46,17 @@ def check_unique(table: DataFrame, what: str) -> DataFrame:
     return table
 
 
+def check_all_unique(tables: list[DataFrame]) -> list[DataFrame]:
+    """``check_unique`` for all tables in one pass; the columns they show name them."""
+    named = [t.select("userId", F.lit(", ".join(t.columns[1:])).alias("_of")) for t in tables]
+    twice = reduce(DataFrame.unionAll, named).groupBy("userId", "_of").count().filter(
+        "count > 1").take(3)
+    if twice:
+        raise ValueError("several rows for user(s) " + "; ".join(
+            f"{r['userId']} in the table of {r['_of']}" for r in twice))
+    return tables
+
+
 def entity_metrics(store, settings: Settings, entity: str,
                    names: Iterable[str]) -> DataFrame:
     """Metrics of the users, the orders or the logs table."""
@@ -56,13 +67,15 @@ def entity_metrics(store, settings: Settings, entity: str,
 
 
 def name_all(valued: DataFrame, taxonomy: Taxonomy, tags: Iterable[Tag],
-             how: str = "inner", carry: Iterable[str] = ()) -> DataFrame:
+             how: str = "inner", carry: Iterable[str] = (),
+             half_open: Collection[str] = ()) -> DataFrame:
     """Replace the metrics of ``tags`` by their names, row by row: the rules come
     to the users, whose rows stay where they are."""
     tags = list(tags)
     named = valued
     for tag in tags:
-        named = attach_name(tag, named, taxonomy, tag.metric, f"_{tag.name}", how)
+        named = attach_name(tag, named, taxonomy, tag.metric, f"_{tag.name}", how,
+                            tag.name in half_open)
     return named.select("userId", *[F.col(f"_{tag.name}").alias(tag.profile_label)
                                     for tag in tags], *carry)
 
@@ -79,7 +92,7 @@ def rule_profile(store, taxonomy: Taxonomy, settings: Settings,
         entity_metrics(store, settings, entity,
                        [tag.metric for tag in tags if tag.entity == entity])
         for entity in (USERS, ORDERS, LOGS)], how)
-    return name_all(wide, taxonomy, tags, how)
+    return name_all(wide, taxonomy, tags, how, half_open=settings.half_open)
 
 
 def full_values(store, settings: Settings) -> dict[str, DataFrame]:
@@ -114,19 +127,19 @@ def full_values(store, settings: Settings) -> dict[str, DataFrame]:
 
 
 def full_profile(values: Mapping[str, DataFrame], taxonomy: Taxonomy,
-                 how: str = "inner") -> DataFrame:
+                 how: str = "inner", half_open: Collection[str] = ()) -> DataFrame:
     """The profile with all 22 tags from ``full_values``."""
     wide = assemble(values.values(), how)
-    named = name_all(wide, taxonomy, TAGS, how, carry=PREFERENCE_COLUMNS)
+    named = name_all(wide, taxonomy, TAGS, how, PREFERENCE_COLUMNS, half_open)
     return named.withColumnsRenamed(PREFERENCE_COLUMNS)
 
 
-def all_tag_tables(values: Mapping[str, DataFrame],
-                   taxonomy: Taxonomy) -> dict[str, DataFrame]:
+def all_tag_tables(values: Mapping[str, DataFrame], taxonomy: Taxonomy,
+                   half_open: Collection[str] = ()) -> dict[str, DataFrame]:
     """The 22 tag tables by table name."""
     holder = {column: frame for frame in values.values() for column in frame.columns
               if column != "userId"}
-    tables = {tag.table: tag_table(tag, holder[tag.metric], taxonomy)
+    tables = {tag.table: tag_table(tag, holder[tag.metric], taxonomy, tag.name in half_open)
               for tag in TAGS}
     tables[PREFERENCE_TABLE] = values["preferences"]
     return tables
@@ -136,9 +149,10 @@ def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
             how: str = "inner", sort_by: str | None = None) -> DataFrame:
     """Compute and write all tag tables, then the profile; return the profile."""
     values = full_values(store, settings)
-    for table, tagged in all_tag_tables(values, taxonomy).items():
+    for table, tagged in all_tag_tables(values, taxonomy, settings.half_open).items():
         out.write(tagged, table, sort_by=sort_by)
-    out.write(full_profile(values, taxonomy, how), PROFILE_TABLE, sort_by=sort_by)
+    out.write(full_profile(values, taxonomy, how, settings.half_open), PROFILE_TABLE,
+              sort_by=sort_by)
     return out.read(PROFILE_TABLE)
 
 
@@ -146,4 +160,4 @@ def profile_from_tables(out, how: str = "inner") -> DataFrame:
     """The profile again, joined from tag tables written earlier."""
     tables = {tag.name: out.read(tag.table) for tag in TAGS}
     tables["bp"] = out.read(PREFERENCE_TABLE)
-    return assemble(profile_parts(tables), how)
+    return assemble(check_all_unique(profile_parts(tables)), how)

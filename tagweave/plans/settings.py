@@ -17,7 +17,8 @@ class Settings:
     """``model_root`` is where models are kept; without one they are fitted anew.
 
     ``visit_lag_days`` moves the day that engagement counts visits to, for logs
-    that lag behind the other tables.
+    that lag behind the other tables. ``half_open`` names range tags whose bands are
+    stretched to the next integer; ``to_midnight`` drops the time of day in repairs.
     """
 
     users: str = "tbl_users"
@@ -36,6 +37,8 @@ class Settings:
     retrain: bool = False
     try_all_iterations: bool = True
     skip_unscored: bool = False
+    half_open: frozenset[str] = frozenset()
+    to_midnight: bool = False
 
     def as_of(self, entity: str) -> AsOf:
         return self.logs_as_of if entity == "logs" else self.orders_as_of

@@ -209,3 +209,91 @@ def test_recommender_round_trip(spark, ratings, tmp_path, rows):
     model = load_or_fit(spark, path, ALSModel, lambda: recommend.fit_recommender(ratings, 2))
     loaded = load_or_fit(spark, path, ALSModel, None)
     assert rows(recommend.recommend(model)) == rows(recommend.recommend(loaded))
+
+
+def exact(model, count):
+    best = model.recommendForAllUsers(count).collect()
+    return {r.userId: [(x.productId, round(x.rating, 5)) for x in r.recommendations] for r in best}
+
+
+def found(best):
+    return {r.userId: [(i, round(v, 5)) for i, v in zip(r.productIds, r.ratings)]
+            for r in best.collect()}
+
+
+@pytest.mark.parametrize("chunk,block", [(100_000, 1024), (5, 2)])
+def test_best_products_equal_all_pairs(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(recommend, "CHUNK", chunk)
+    monkeypatch.setattr(recommend, "BLOCK", block)
+    ratings = spark.range(3000).select(
+        (F.col("id") % 37).cast("int").alias("userId"),
+        (F.xxhash64("id") % 53 + 60).cast("int").alias("productId"),
+        (F.col("id") % 5 + 1).cast("int").alias("rating")).dropDuplicates(["userId", "productId"])
+    model = recommend.fit_recommender(ratings, blocks=2)
+    best = recommend.best_products(recommend.factors_of(model), 4)
+    assert found(best) == exact(model, 4)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_ids_beyond_32_bits(spark, ratings, rows):
+    wide = ratings.select((F.col("userId") + 3_000_000_000).alias("userId"),
+                          (F.col("productId") + 5_000_000_000).alias("productId"), "rating")
+    best = rows(recommend.recommend(recommend.fit_factors(wide, 2)))
+    assert [r[0] for r in best] == [3_000_000_000 + i for i in range(20)]
+    assert all(i >= 5_000_000_000 for r in best for i in r[1:])
+
+
+def test_users_after_the_fit_get_factors(spark, ratings):
+    fitted = recommend.fit_factors(ratings, 2)
+    early = recommend.Recommender(fitted.users.filter("userId < 10"), fitted.items)
+    late = recommend.with_new_users(early, ratings)
+    ours = {r.userId: r.features for r in late.users.collect()}
+    theirs = {r.userId: r.features for r in fitted.users.collect()}
+    assert ours.keys() == theirs.keys()
+    for user, factors in theirs.items():
+        assert ours[user] == pytest.approx(factors, abs=2e-3)
+
+
+def test_a_model_fitted_otherwise_is_refused(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    load_or_fit(spark, path, PipelineModel, lambda: score_model(spark), about={"k": 5, "bands": {
+        "a": [(1, None, 2)]}})
+    assert load_or_fit(spark, path, PipelineModel, None, about={"k": 5, "bands": {
+        "a": [(1, None, 2)]}})
+    with pytest.raises(ValueError, match="other k"):
+        load_or_fit(spark, path, PipelineModel, None, about={"k": 4, "bands": {
+            "a": [(1, None, 2)]}})
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_users_without_a_score_are_refused_or_left_out(spark, tmp_path, stored):
+    import dataclasses
+
+    from tagweave.plans import mining
+    from tagweave.plans.settings import Settings
+
+    names = "userId bigint, consumerDays int, orderCount int, monetary double"
+    whole = spark.createDataFrame([(i, i % 20 + 1, i * 5 + 1, i * 9000.0) for i in range(60)],
+                                  names)
+    holes = whole.union(spark.createDataFrame([(99, 5, 5, 9999.995)], names))
+    settings = Settings(model_root=str(tmp_path / "m") if stored else None)
+    if stored:
+        mining.add_rfm(whole, settings)
+    with pytest.raises(ValueError, match="no score band"):
+        mining.add_rfm(holes, settings)
+    left = mining.add_rfm(holes, dataclasses.replace(settings, skip_unscored=True))
+    assert left.count() == 60 and left.filter("rfmCluster IS NULL").count() == 0
+
+
+def test_all_iteration_limits_are_tried(spark, monkeypatch):
+    seen = []
+    plain = cluster.KMeans
+
+    def spy(**options):
+        seen.append(options["maxIter"])
+        return plain(**options)
+
+    monkeypatch.setattr(cluster, "KMeans", spy)
+    score_model(spark)
+    assert seen == [5, 10, 20]

@@ -137,6 +137,47 @@ def test_the_command_line(spark, tmp_path, rows):
         (3, "some", 2), (4, "none", 0)]
 
 
+def test_repairs_from_the_command_line(spark, tmp_path, rows):
+    source = FileTables(spark, str(tmp_path / "in"))
+    source.write(spark.createDataFrame([(1, 86400), (2, None)],
+                                       "id bigint, lastLoginTime bigint"), "tbl_users")
+    out = FileTables(spark, str(tmp_path / "out"))
+    main([f"--in=parquet:{tmp_path}/in", f"--out=parquet:{tmp_path}/out", "shift-users"])
+    assert rows(out.read("tbl_users_new")) == [(1, 86400 * 3068), (2, None)]
+
+
+def test_a_profile_that_keeps_users_without_some_tags(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(profile, "profile_from_tables", lambda out, how: asked.append(how)
+                        or spark.range(1))
+    source = FileTables(spark, str(tmp_path / "in"))
+    source.write(taxonomy_frame(spark, [(106, "gender", "selectTable=a;selectField=b",
+                                         [("x", "1")])]), "tbl_basic_tags")
+    for flags in ([], ["--left"]):
+        main([f"--in=parquet:{tmp_path}/in", f"--out=parquet:{tmp_path}/out", *flags, "profile"])
+    assert asked == ["inner", "left"]
+
+
+def test_a_user_twice_in_a_tag_table_is_refused(spark):
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "userId bigint, gender string")
+    two = spark.createDataFrame([(1, "c"), (1, "d")], "userId bigint, job string")
+    assert profile.check_all_unique([one, one]) == [one, one]
+    with pytest.raises(ValueError, match="1 in the table of job"):
+        profile.check_all_unique([one, two])
+
+
+def test_a_half_open_tag(spark, rows):
+    from tagweave.plans.tags import BY_NAME, tag_table
+    from tagweave.sources.taxonomy import Taxonomy
+
+    rules = Taxonomy(taxonomy_frame(spark, [(217, "unitPrice", "selectTable=a;selectField=b",
+                                             [("low", "0-999"), ("high", "1000-1999")])]))
+    valued = spark.createDataFrame([(1, 999.5), (2, 1000.0)], "userId bigint, unitPrice double")
+    assert rows(tag_table(BY_NAME["unitPrice"], valued, rules)) == [(2, "high", 1000.0)]
+    assert rows(tag_table(BY_NAME["unitPrice"], valued, rules, half_open=True)) == [
+        (1, "low", 999.5), (2, "high", 1000.0)]
+
+
 def test_places(spark):
     jdbc = place(spark, "jdbc:mysql://h/db", {"user": "u", "splits": {"t": ["id", 1, 9, 3]}})
     assert jdbc.read_options("t") == {
