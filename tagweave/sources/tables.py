@@ -9,6 +9,7 @@ predicate pushdown reach the source.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -40,8 +41,30 @@ class FileTables:
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               sort_by: str | None = None) -> None:
-        (_ordered(df, sort_by).write.format(self.format).options(**self.options)
-         .mode(mode).save(self.path(name)))
+        """An overwrite is written beside the table and takes its place when it is whole,
+        so it may read the table it replaces and no reader meets half of it."""
+        path, writer = self.path(name), _ordered(df, sort_by).write.format(
+            self.format).options(**self.options)
+        if mode != "overwrite":
+            writer.mode(mode).save(path)
+            return
+        jvm = self.spark._jvm
+        place = lambda text: jvm.org.apache.hadoop.fs.Path(text)
+        files = place(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(place(path)):
+            writer.mode("error").save(path)
+            return
+        version = uuid.uuid4().hex[:12]
+        fresh, old = f"{path}.new-{version}", f"{path}.old-{version}"
+        try:
+            writer.mode("error").save(fresh)
+        except Exception:
+            files.delete(place(fresh), True)
+            raise
+        if not files.rename(place(path), place(old)):
+            raise OSError(f"cannot replace {path}; the new table is {fresh}")
+        files.rename(place(fresh), place(path))
+        files.delete(place(old), True)
 
 
 @dataclass(frozen=True)
@@ -54,12 +77,19 @@ class Split:
     partitions: int
 
 
+def check_unsplit(name: str, rows: int, most: int) -> None:
+    """Raise if a table is too large to be read in one task."""
+    if rows > most:
+        raise ValueError(f"table {name} has {rows} rows and no split; one task would read them")
+
+
 @dataclass(frozen=True)
 class JdbcTables:
     """Tables of a relational database.
 
-    Without a ``Split`` Spark reads a table in one task, so every large table
-    should have one. Overwrite keeps the table's own DDL (TRUNCATE, INSERT).
+    Without a ``Split`` Spark reads a table in one task: one of more than
+    ``unsplit_rows`` rows is refused. Overwrite keeps the table's own DDL (TRUNCATE,
+    INSERT).
     """
 
     spark: SparkSession
@@ -69,6 +99,7 @@ class JdbcTables:
     fetch_size: int = 10_000
     batch_size: int = 10_000
     write_partitions: int = 32
+    unsplit_rows: int = 1_000_000
 
     def read_options(self, name: str) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name,
@@ -87,7 +118,15 @@ class JdbcTables:
                 "numPartitions": str(self.write_partitions)}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
+        table = self._load(self.read_options(name))
+        if name not in self.splits:
+            counted = {**self.read_options(name),
+                       "dbtable": f"(SELECT COUNT(*) AS n FROM {name}) counted"}
+            check_unsplit(name, int(self._load(counted).first()[0]), self.unsplit_rows)
+        return table
+
+    def _load(self, options: Mapping[str, str]) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**options).load()
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               sort_by: str | None = None) -> None:
@@ -100,7 +139,8 @@ class CatalogTables:
     """Tables of the session catalog, optionally inside one database.
 
     With ``versioned`` an overwrite writes a new table and then points a view
-    of the plain name at it, so a reader never meets a half-written tag.
+    of the plain name at it, so a reader never meets a half-written tag. An existing
+    plain table becomes the first version, the version before the last is dropped.
     """
 
     spark: SparkSession
@@ -117,14 +157,54 @@ class CatalogTables:
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               sort_by: str | None = None) -> None:
         writer = _ordered(df, sort_by).write.format(self.format)
-        if not (self.versioned and mode == "overwrite"):
+        if not self.versioned:
             writer.mode(mode).saveAsTable(self.qualified(name))
             return
+        kept = self._version(name)
+        if mode != "overwrite":
+            writer.mode(mode).saveAsTable(kept or self.qualified(name))
+            if kept is None:
+                self._point(name, self._renamed(name))
+            return
         version = self.qualified(f"{name}_{uuid.uuid4().hex[:12]}")
-        writer.mode("error").saveAsTable(version)
+        try:
+            writer.mode("error").saveAsTable(version)
+            if kept is None and self.spark.catalog.tableExists(self.qualified(name)):
+                kept = self._renamed(name)
+            self._point(name, version)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {version}")
+            raise
+        self._drop_others(name, {version, kept})
+
+    def _point(self, name: str, version: str) -> None:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.qualified(name)} AS SELECT * FROM {version}")
 
+    def _renamed(self, name: str) -> str:
+        """A plain table under the name of a version."""
+        version = self.qualified(f"{name}_{uuid.uuid4().hex[:12]}")
+        self.spark.sql(f"ALTER TABLE {self.qualified(name)} RENAME TO {version}")
+        return version
+
+    def _version(self, name: str) -> str | None:
+        """The table that the view of this name shows; None if it is no view."""
+        if not self.spark.catalog.tableExists(self.qualified(name)):
+            return None
+        about = {r["col_name"]: r["data_type"] for r in self.spark.sql(
+            f"DESCRIBE TABLE EXTENDED {self.qualified(name)}").collect()}
+        text = about.get("View Text") or ""
+        return text.rpartition(" FROM ")[2].strip() or None
+
+    def _drop_others(self, name: str, keep: set[str | None]) -> None:
+        """Drop older versions; the last one stays for those who still read it."""
+        shape = re.compile(re.escape(name.lower()) + "_[0-9a-f]{12}")
+        for row in self.spark.sql("SHOW TABLES" + (
+                f" IN `{self.database}`" if self.database else "")).collect():
+            table = self.qualified(row["tableName"])
+            if shape.fullmatch(row["tableName"].lower()) and table not in keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
 
 class FrameTables:
     """Named DataFrames already built in this session; writes are kept by name."""

@@ -3,7 +3,7 @@ import pytest
 from tagweave.operators.staging import shared_folder, stage
 from tagweave.sources.schemas import ORDERS, conform
 from tagweave.sources.tables import (CatalogTables, FileTables, FrameTables, JdbcTables,
-                                     Split)
+                                     Split, check_unsplit)
 
 
 @pytest.fixture
@@ -19,9 +19,37 @@ def test_file_tables(spark, tags, tmp_path, rows, form, options):
     assert rows(store.read("t", tags.schema)) == [(1, "a"), (2, "b")]
     store.write(tags, "t", mode="append")
     assert store.read("t", tags.schema).count() == 4
-    store.write(tags, "t", sort_by="userId")
-    assert [r.userId for r in store.read("t", tags.schema).collect()] in ([1, 2], [2, 1])
-    assert store.read("t", tags.schema).count() == 2
+    # An overwrite may be computed from the table it replaces.
+    kept = store.read("t", tags.schema).distinct()
+    store.write(kept, "t")
+    assert rows(store.read("t", tags.schema)) == [(1, "a"), (2, "b")]
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_sorted_tables_are_sorted_over_all_files(spark, tmp_path):
+    store = FileTables(spark, str(tmp_path))
+    numbers = spark.range(500, numPartitions=4).selectExpr("(id * 37) % 500 AS userId")
+    store.write(numbers, "t", sort_by="userId")
+    ranges = sorted(tuple(r) for r in store.read("t").groupBy("_metadata.file_path").agg(
+        {"userId": "min"}).collect())
+    files = [store.spark.read.parquet(path) for path, _ in ranges]
+    seen = [r.userId for f in files for r in f.collect()]
+    assert seen == list(range(500))
+
+
+def test_a_failed_overwrite_keeps_the_table(spark, tags, tmp_path, rows):
+    store = FileTables(spark, str(tmp_path))
+    store.write(tags, "t")
+    with pytest.raises(Exception, match="stop"):
+        store.write(tags.selectExpr("userId", "raise_error('stop') AS tag"), "t")
+    assert rows(store.read("t")) == [(1, "a"), (2, "b")]
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_large_table_without_a_split_is_refused():
+    check_unsplit("t", 10, 10)
+    with pytest.raises(ValueError, match="table t has 11 rows"):
+        check_unsplit("t", 11, 10)
 
 
 def test_jdbc_reads_are_split(spark):
@@ -58,6 +86,31 @@ def test_versioned_catalog_tables_swap_a_view(spark, tags, rows):
     store.write(store.read("tbl_a").filter("userId = 1"), "tbl_a")
     assert rows(store.read("tbl_a")) == [(1, "a")]
     assert before.count() == 2
+    store.write(tags, "tbl_a", mode="append")
+    assert store.read("tbl_a").count() == 3
+    for _ in range(3):
+        store.write(tags, "tbl_a")
+    versions = [t.name for t in spark.catalog.listTables("versions") if t.name != "tbl_a"]
+    assert len(versions) == 2
+
+
+def test_a_plain_table_becomes_the_first_version(spark, tags, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS plain")
+    CatalogTables(spark, "plain").write(tags, "tbl_a")
+    store = CatalogTables(spark, "plain", versioned=True)
+    store.write(tags.limit(0), "tbl_a", mode="append")
+    assert rows(store.read("tbl_a")) == [(1, "a"), (2, "b")]
+    CatalogTables(spark, "plain").write(tags, "tbl_b")
+    store.write(tags.filter("userId = 2"), "tbl_b")
+    assert rows(store.read("tbl_b")) == [(2, "b")]
+
+
+def test_a_failed_version_leaves_nothing(spark, tags):
+    spark.sql("CREATE DATABASE IF NOT EXISTS failing")
+    store = CatalogTables(spark, "failing", versioned=True)
+    with pytest.raises(Exception, match="stop"):
+        store.write(tags.selectExpr("userId", "raise_error('stop') AS tag"), "tbl_a")
+    assert spark.catalog.listTables("failing") == []
 
 
 def test_frame_tables(tags):
