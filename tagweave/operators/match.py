@@ -7,12 +7,16 @@ third of all users: keys with very many rows are counted first and carry a salt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.operators.staging import stage
 
 # Rows a code rule side may have to be broadcast.
 BROADCAST_CODES = 10_000
+# Rules that are written into an expression instead of being joined.
+EXPRESSED = 64
 # A range join compares every row with every band, so its bound is far lower.
 BROADCAST_BANDS = 256
 # Tasks one hot key is spread over in the shuffled joins, the rows that make a key
@@ -53,6 +57,23 @@ def range_match(users: DataFrame, bands: DataFrame, metric: str, label: str,
                         F.col("_name").alias(label))
 
 
+def code_name(code: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """The name of a code by few rules (name, code) with different codes; else NULL."""
+    pairs = [F.lit(v) for name, rule in rules if rule is not None for v in (rule, name)]
+    return F.try_element_at(F.create_map(*pairs), code.cast("string")) if pairs else F.lit(
+        None).cast("string")
+
+
+def band_name(metric: Column, bands: Sequence[tuple[str, int, int]],
+              half_open: bool = False) -> Column:
+    """The name of the band by few bands (name, start, end) that don't overlap; else NULL."""
+    named = F.lit(None).cast("string")
+    for name, start, end in bands:
+        upper = metric < end + 1 if half_open else metric <= end
+        named = F.when((metric >= start) & upper, name).otherwise(named)
+    return named
+
+
 def attach_code(users: DataFrame, rules: DataFrame, code: str, out: str,
                 how: str = "inner", limit: int = BROADCAST_CODES,
                 rows: int | None = None) -> DataFrame:

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators import metrics
-from tagweave.operators.match import attach_band, attach_code
+from tagweave.operators.match import (EXPRESSED, attach_band, attach_code, band_name,
+                                      code_name)
 from tagweave.operators.metrics import AsOf
 from tagweave.sources.tables import CatalogTables
 from tagweave.sources.taxonomy import Taxonomy
@@ -100,10 +101,16 @@ def attach_name(tag: Tag, valued: DataFrame, taxonomy: Taxonomy, metric: str,
 
     ``half_open`` stretches the bands of a range tag to the next integer.
     """
+    rules = taxonomy.code_rules(tag.id) if tag.match == CODE else taxonomy.band_rules(tag.id)
+    few = rules.values is not None and len(rules.values) <= EXPRESSED
+    if few and all(value[0] is not None for value in rules.values):
+        # Few checked rules are an expression: no join and no broadcast job.
+        name = (code_name(F.col(metric), rules.values) if tag.match == CODE
+                else band_name(F.col(metric), rules.values, half_open))
+        named = valued.withColumn(out, name)
+        return named.filter(F.col(out).isNotNull()) if how == "inner" else named
     if tag.match == CODE:
-        rules = taxonomy.code_rules(tag.id)
         return attach_code(valued, rules.frame, metric, out, how, rows=rules.rows)
-    rules = taxonomy.band_rules(tag.id)
     return attach_band(valued, rules.frame, metric, out, how, half_open, rows=rules.rows)
 
 

@@ -44,10 +44,14 @@ def parse_source_rule(tag_id: int, text: str | None) -> SourceRule:
 
 @dataclass(frozen=True)
 class Rules:
-    """The values of one tag as a frame, and its row count where that is known."""
+    """The values of one tag as a frame, and as rows where the driver has them."""
 
     frame: DataFrame
-    rows: int | None = None
+    values: tuple[tuple, ...] | None = None
+
+    @property
+    def rows(self) -> int | None:
+        return None if self.values is None else len(self.values)
 
 
 class Taxonomy:
@@ -84,7 +88,7 @@ class Taxonomy:
         seen = Counter(rule for _, rule in values)
         _refuse(tag_id, "duplicate code(s)", [rule for rule, n in seen.items() if n > 1])
         return Rules(_literals(self._frame.sparkSession, values, ("name", "rule")),
-                     len(values))
+                     tuple(values))
 
     def band_rules(self, tag_id: int, allow_overlap: bool = False) -> Rules:
         """(name, start, end) of a range tag.
@@ -116,8 +120,8 @@ class Taxonomy:
             _refuse(tag_id, "overlapping range(s)", [
                 f"{a[1]}-{a[2]} and {b[1]}-{b[2]}" for a, b in zip(spans, spans[1:])
                 if b[1] <= a[2]])
-        return Rules(_literals(self._frame.sparkSession, values,
-                               ("name", "start", "end")), len(values))
+        kept = None if allow_overlap else tuple(values)
+        return Rules(_literals(self._frame.sparkSession, values, ("name", "start", "end")), kept)
 
     def _values(self, tag_id: int) -> DataFrame:
         values = (self._frame.filter("level = 5").where(F.col("pid") == tag_id)

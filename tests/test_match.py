@@ -127,3 +127,20 @@ def test_lookup_checks_the_size_before_it_broadcasts(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=merge" not in plan(match.lookup(facts, dim, ["k"], limit=5))
     assert "strategy=merge" in plan(match.lookup(facts, dim, ["k"], limit=4))
+
+
+def test_few_rules_as_expressions_equal_the_join(spark, rows):
+    from pyspark.sql import functions as F
+
+    users = spark.createDataFrame([(i, float(m)) for i, m in enumerate(
+        [-11, -10, -1, -0.5, 0, 2, 2.5, 3, 9, 9.5, 10])] + [(99, None)], "userId bigint, m double")
+    bands = [("a", -10, -1), ("b", 0, 2), ("c", 3, 9)]
+    for half_open in (False, True):
+        joined = range_match(users, spark.createDataFrame(bands, BANDS), "m", "band", how="left",
+                             half_open=half_open)
+        assert rows(users.withColumn("band", match.band_name(F.col("m"), bands, half_open))) == (
+            rows(joined))
+    codes = [("x", "1"), ("y", "2"), ("z", None)]
+    named = spark.createDataFrame([(1,), (3,), (None,)], "c int").withColumn(
+        "name", match.code_name(F.col("c"), codes))
+    assert rows(named) == [(1, "x"), (3, None), (None, None)]

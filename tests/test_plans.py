@@ -9,7 +9,9 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-LAZY = sorted(set(entry.oracle_sql()) - set(entry.MODEL_TAGS) - {"product_name_lookup"})
+CHECKED = entry.retail_sql.sql(entry.RULE_TAGS)
+LAZY = sorted(name for name in set(CHECKED) - set(entry.MODEL_TAGS) - {"product_name_lookup"}
+              if not name.endswith("_check"))
 
 # The columns each tag may read, by table prefix.
 READS = {
@@ -44,6 +46,13 @@ def test_no_python_and_no_unchecked_products(spark, name):
         assert "BuildRight" in line and "_start" in line
 
 
+@pytest.mark.parametrize("name", ["profile_sql", "profile_left"])
+def test_few_rules_are_expressions(spark, name):
+    """No rule is joined, and none is broadcast."""
+    text = plan(entry.queries()[name](spark, FOLDER))
+    assert "BroadcastNestedLoopJoin" not in text and "LocalTableScan" not in text
+
+
 @pytest.mark.parametrize("name", sorted(READS))
 def test_only_needed_columns_are_read(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
