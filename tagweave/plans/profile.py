@@ -48,12 +48,13 @@ def check_unique(table: DataFrame, what: str) -> DataFrame:
 
 def check_all_unique(tables: list[DataFrame]) -> list[DataFrame]:
     """``check_unique`` for all tables in one pass; the columns they show name them."""
-    named = [t.select("userId", F.lit(", ".join(t.columns[1:])).alias("_of")) for t in tables]
+    named = [t.select("userId", F.lit(i).alias("_of")) for i, t in enumerate(tables)]
     twice = reduce(DataFrame.unionAll, named).groupBy("userId", "_of").count().filter(
         "count > 1").take(3)
     if twice:
         raise ValueError("several rows for user(s) " + "; ".join(
-            f"{r['userId']} in the table of {r['_of']}" for r in twice))
+            f"{r['userId']} in the table of {', '.join(tables[r['_of']].columns[1:])}"
+            for r in twice))
     return tables
 
 
