@@ -35,7 +35,11 @@ SIZE, GRAM = 50, 20
 #: Places of a string around its anchor; bytes around an anchor, with it.
 PLACES = SIZE - GRAM + 1
 AROUND = SIZE + PLACES - 1
-BUCKET_BYTES, BUCKETS_PER_SHARD = 8 << 20, 2
+BUCKET_BYTES, BUCKETS_PER_SHARD = 3 << 20, 4
+#: Bytes whose anchors are looked for at a time.
+SECTION = 1 << 19
+#: Surroundings whose suffixes are sorted at a time, if one anchor has no more.
+SORTED = 10_000
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -53,7 +57,7 @@ def _slide(x: np.ndarray, size: int, least) -> np.ndarray:
 def anchors(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places, hashes and rows of all anchors; every string of SIZE bytes in a row has one."""
     found = []
-    for a, b in sections(rows):
+    for a, b in sections(rows, SECTION):
         part, bounds = data[rows[a]:rows[b]], rows[a:b + 1] - rows[a]
         n = len(part) - GRAM + 1
         if len(part) < SIZE:
@@ -63,6 +67,8 @@ def anchors(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         hashes = span_hashes(part, at, at + GRAM)
         hashes[bounds[1:][row] < at + GRAM] = _NONE
         least = _slide(hashes, PLACES, np.minimum)
+        # Strings that cross rows count for nothing: anchors follow from a row's own text.
+        least[bounds[1:][row[:len(least)]] < at[:len(least)] + SIZE] = 0
         edge = np.zeros(PLACES - 1, np.uint64)
         most = _slide(np.concatenate([edge, least, edge]), PLACES, np.maximum)
         at = np.flatnonzero((most == hashes) & (hashes != _NONE))
@@ -152,8 +158,17 @@ def earliest(bodies: np.ndarray, left: np.ndarray, right: np.ndarray, anchor: np
     found = np.where(valid, ids[:, None], HIGHEST)
     _, of, kinds = np.unique(anchor, return_inverse=True, return_counts=True)
     several = np.flatnonzero(kinds[of] > 1)
-    if not len(several) or not n:
-        return found
+    several = several[np.argsort(of[several], kind="stable")]
+    edges = np.append(np.flatnonzero(np.diff(of[several], prepend=-1)), len(several))
+    a = 0
+    while a < len(several):  # whole anchors, about so many surroundings at a time
+        b = int(edges[np.searchsorted(edges, min(a + SORTED, len(several)))])
+        _sort_into(found, several[a:b], bodies, left, right, valid, ids)
+        a = b
+    return found
+
+
+def _sort_into(found, several, bodies, left, right, valid, ids) -> None:
     column = np.arange(AROUND)
     text = np.zeros((len(several), AROUND + 1), np.uint16)
     inside = (column >= PLACES - 1 - left[several, None]) & (
@@ -163,13 +178,11 @@ def earliest(bodies: np.ndarray, left: np.ndarray, right: np.ndarray, anchor: np
     wanted[:, :PLACES] = valid[several]
     text = text.ravel()
     order = sorted_suffixes(text, wanted.ravel(), SIZE)
-    if not len(order):
-        return found
-    new = np.append(True, common_prefixes(text, order, SIZE) < SIZE)
-    row, at = several[order // (AROUND + 1)], order % (AROUND + 1)
-    least = np.minimum.reduceat(ids[row], np.flatnonzero(new))
-    found[row, at] = least[np.cumsum(new) - 1]
-    return found
+    if len(order):
+        new = np.append(True, common_prefixes(text, order, SIZE) < SIZE)
+        row, at = several[order // (AROUND + 1)], order % (AROUND + 1)
+        least = np.minimum.reduceat(ids[row], np.flatnonzero(new))
+        found[row, at] = least[np.cumsum(new) - 1]
 
 
 class _Bucket:
@@ -203,8 +216,8 @@ class _Bucket:
         right = np.minimum(self.rows[row + 1] - at - GRAM, PLACES - 1).astype(np.uint8)
         column = np.arange(AROUND)
         bodies = np.zeros((len(mine), AROUND), np.uint8)
-        for a in range(0, len(mine), 20_000):
-            b = slice(a, a + 20_000)
+        for a in range(0, len(mine), 10_000):
+            b = slice(a, a + 10_000)
             inside = (column >= PLACES - 1 - left[b, None]) & (
                 column < PLACES - 1 + GRAM + right[b, None].astype(np.int64))
             where = np.clip(at[b, None] - (PLACES - 1) + column, 0, len(self.data) - 1)
@@ -323,24 +336,26 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         least = [unpacked(x, "<i8") for x in replies.column("least").to_pylist()[1:]]
         least = np.concatenate([np.zeros(0, np.int64), *least]).reshape(-1, PLACES)
         change = np.zeros(len(held.data) + 1, np.int32)
-        for a in range(0, len(at), 20_000):
-            b = slice(a, a + 20_000)
+        for a in range(0, len(at), 10_000):
+            b = slice(a, a + 10_000)
             which, offset = np.nonzero(least[place[b]] < held.ids[row[b], None])
             starts = at[b][which] - (PLACES - 1) + offset
             np.add.at(change, starts, 1)
             np.add.at(change, starts + SIZE, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        del change
         rows = held.rows
-        total = np.concatenate([[0], np.cumsum(gone)])
+        total = np.append(np.int32(0), np.cumsum(gone, dtype=np.int32))
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         inner = rows[1:-1][rows[1:-1] < len(gone)]
         begins[inner] = gone[inner]
-        spans = np.concatenate([[0], np.cumsum(begins)])
+        spans = np.append(np.int32(0), np.cumsum(begins, dtype=np.int32))
         kept = [held.data[a:b][~gone[a:b]].tobytes() for a, b in zip(rows, rows[1:])]
         return pa.table({
             "id": table.column("id"), "n_bytes": pa.array(np.diff(rows)),
-            "n_removed": pa.array(np.diff(total[rows])), "n_spans": pa.array(np.diff(spans[rows])),
+            "n_removed": pa.array(np.diff(total[rows]).astype(np.int64)),
+            "n_spans": pa.array(np.diff(spans[rows]).astype(np.int64)),
             "kept": pa.array(kept, pa.binary())})
 
     told = dealt.groupBy("bucket").applyInArrow(ask, _ASK).groupBy("shard").applyInArrow(
