@@ -10,11 +10,15 @@
 3. First each class is compared with the smallest of its band, so that a band of g
    members makes g - 1 candidates. The Jaccard similarity of a candidate is
    estimated from its registers by maximum likelihood; it is passed over only where
-   the threshold is less likely than the estimate by a factor of e^16. The others
+   the threshold is less likely than the estimate by a factor of e^12. The others
    are checked on their full sets.
-4. Links join classes to components. In bands that still hold several components,
-   the members of different ones are compared, in blocks of bounded size, sketch by
-   sketch inside a task; what passes is checked on full sets as well.
+4. Links join classes to components. In bands that still hold several components, all
+   others are compared with every member of the one with most members and with each
+   other, in blocks of bounded size and on full sets inside a task, which returns one
+   link at most for each member and component. Bands without a component of several
+   members are compared sketch by sketch, in blocks too, and what passes is checked
+   on full sets as well. So no link is lost, while rows between tasks grow with
+   members and not with pairs.
 """
 
 from __future__ import annotations
@@ -34,9 +38,10 @@ REGISTERS = BANDS * BAND_ROWS
 #: Scale of the registers: values fall by this factor from one step to the next.
 SPACING = 1.1
 #: Log likelihood by which the threshold may fall short of the best estimate.
-MARGIN = 16.0
-#: Members of a band that are compared with each other in one block.
-BLOCK = 1024
+MARGIN = 12.0
+#: Members of a band that are compared with each other in one block, and shingles of a
+#: component's members in one.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 #: Members that one copy of a band leader's text serves.
 SERVED = 2000
 LOWEST = -(1 << 63)
@@ -158,7 +163,15 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
         passes, f"a {kind}, b {kind}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, text) of all candidates, written once; there are too many to broadcast."""
+    wanted = members.select("node").distinct().hint("merge")
+    return staged(docs.select(F.struct("id", "h").alias("node"), "text")
+                  .join(wanted, "node", "left_semi")
+                  .groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold.
 
     The text of ``a`` comes once for every SERVED partners and is followed by theirs;
@@ -166,9 +179,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """
     copies = pairs.groupBy("a").agg((1 + F.floor(F.count("*") / SERVED)).cast("int")
                                     .alias("copies"))
-    texts = docs.select(F.struct("id", "h").alias("node"), "text")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = texts.join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
     first = (copies.join(texts, F.col("a") == F.col("node"))
              .select("a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
                      F.lit(0).alias("kind"), F.col("a").alias("b"), "text"))
@@ -189,10 +199,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 if kind == 0:
                     held = own
                     continue
-                both = np.concatenate([held, own])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                linked[k] = 100 * common >= rule.percent * (len(both) - common)
+                linked[k] = _linked(held, own, rule)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked))
 
@@ -200,21 +207,118 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return dealt.mapInArrow(passes, f"a {kind}, b {kind}")
 
 
-def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs in bands that hold several components, as far as sketches don't rule them out."""
+def _open_bands(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, node, part) of bands that hold several components, with the one that
+    has most members in the band (``major``) and how many those are (``majors``)."""
     placed = (members.join(labels.withColumnRenamed("component", "part"), "node", "left")
               .select("key", "node", F.coalesce("part", "node").alias("part")))
-    open_bands = (placed.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
-        .filter((F.col("size") > 2) & (F.col("low") != F.col("high")))
-        .select("key", (1 + F.floor(F.col("size") / BLOCK)).cast("int").alias("blocks")))
+    bands = (placed.groupBy("key", "part").agg(F.count("*").alias("n"))
+             .groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"),
+                                 F.count("*").alias("parts"), F.sum("n").alias("size"))
+             .filter((F.col("parts") > 1) & (F.col("size") > 2))
+             .select("key", "size", F.col("most.part").alias("major"),
+                     F.col("most.n").alias("majors")))
+    return placed.join(bands, "key")
+
+
+def _joining(open_: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame,
+             rule: Rule) -> DataFrame:
+    """Links (a, b) of members that lie in a band beside a component of several members.
+
+    The component's members and all that lie beside it are dealt to blocks once; the
+    latter also come to each block and are compared with what lies there. Full sets
+    are compared inside the task, most similar sketches first, until one of each
+    component known so far links; so rows grow with members, not with pairs.
+    """
+    strays = (open_.filter((F.col("majors") > 1) & (F.col("part") != F.col("major")))
+              .select("node", "part", F.col("major").alias("component")).distinct())
+    near = strays.select("component").distinct()
+    held = labels.join(near, "component").select(
+        "component", "node", F.col("component").alias("part")).unionByName(
+            strays.select("component", "node", "part"))
+    sizes = (held.join(classes.select("node", "n"), "node").groupBy("component")
+             .agg((1 + F.floor(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    known = held.join(sizes, "component").select(
+        "component", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+        F.lit(0).alias("kind"), "node", "part")
+    asked = strays.join(sizes, "component").select(
+        "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.lit(1).alias("kind"), "node", "part")
+    rows = known.unionByName(asked)
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (rows.join(classes.select("node", "n", "sketch"), "node").join(texts, "node")
+             .repartition(parts, "component", "block")
+             .sortWithinPartitions("component", "block", "kind")
+             .select(F.xxhash64("component", "block").alias("at"), "kind", "node", "n", "sketch",
+                     "text", F.xxhash64("part").alias("part")))
+
+    def passes(batches):
+        at, nodes, sizes_, registers, sets, parts_ = None, [], [], [], [], []
+        for batch in batches:
+            where, kind, n, part = (batch.column(c).to_numpy()
+                                    for c in ("at", "kind", "n", "part"))
+            names = batch.column("node").to_pylist()
+            own = flat(batch.column("sketch"))[0].reshape(-1, REGISTERS)
+            full = shingles(*flat(batch.column("text")), rule.words)
+            left, right = [], []
+            for k in range(len(n)):
+                if where[k] != at:
+                    at, nodes, sizes_, registers, sets, parts_ = where[k], [], [], [], [], []
+                if kind[k] == 0:
+                    nodes.append(names[k])
+                    sizes_.append(n[k])
+                    registers.append(own[k].copy())
+                    sets.append(full[k])
+                    parts_.append(part[k])
+                    continue
+                if isinstance(registers, list):
+                    registers, sizes_ = np.array(registers).reshape(-1, REGISTERS), np.array(sizes_)
+                    parts_ = np.array(parts_)
+                near = np.flatnonzero((100 * np.minimum(sizes_, n[k])
+                                       >= rule.percent * np.maximum(sizes_, n[k]))
+                                      & (parts_ != part[k]))
+                if not len(near):
+                    continue
+                near = near[plausible(np.broadcast_to(own[k], (len(near), REGISTERS)),
+                                      registers[near], np.full(len(near), n[k]), sizes_[near],
+                                      rule.percent)]
+                alike = (registers[near] == own[k]).sum(axis=1)
+                met = set()
+                for m in near[np.argsort(-alike, kind="stable")]:
+                    if parts_[m] not in met and _linked(sets[m], full[k], rule):
+                        met.add(parts_[m])
+                        left.append(nodes[m])
+                        right.append(names[k])
+            if left:
+                kind_ = batch.schema.field("node").type
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left, kind_), pa.array(right, kind_)], names=["a", "b"])
+
+    kind = classes.schema["node"].dataType.simpleString()
+    return dealt.mapInArrow(passes, f"a {kind}, b {kind}")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
+    both = np.concatenate([a, b])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= rule.percent * (len(both) - common)
+
+
+def _across(open_: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs in bands of which no component has several members, as far as sketches don't
+    rule them out, in blocks of bounded size. ``_joining`` compares in the other bands.
+    """
+    rest = open_.filter("majors = 1")
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select(
+        "key", (1 + F.floor(F.col("size") / BLOCK)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = (placed.join(open_bands, "key").withColumn("own", own)
+    rows = (rest.select("key", "node", "part").join(sizes, "key").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", F.least("own", "other").alias("i"),
                     F.greatest("own", "other").alias("j"), "own", "node", "part")
             .join(classes.select("node", "n", "sketch"), "node"))
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (rows.repartition(parts, "key", "i", "j")
              .select("key", "i", "j", "own", "node", F.xxhash64("part").alias("part"), "n",
                      "sketch")
@@ -259,7 +363,7 @@ def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rul
             if len(x):
                 yield pa.RecordBatch.from_arrays([x, y], names=["a", "b"])
 
-    kind = members.schema["node"].dataType.simpleString()
+    kind = classes.schema["node"].dataType.simpleString()
     found = dealt.mapInArrow(passes, f"a {kind}, b {kind}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -291,13 +395,17 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_
     first = (members.filter(F.col("a") != F.col("node"))
              .select("a", F.col("node").alias("b")).distinct())
     first = staged(_with_sketches(first, classes, rule), "candidates")
-    links = staged(_verified(first, given, rule), "links")
+    texts = _texts(given, members)
+    links = staged(_verified(first, texts, rule), "links")
 
     labels = components(links)
-    more = _across(members.filter("size > 2").select("key", "node"), labels, classes, rule)
-    more = staged(more.join(first, ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        labels = components(links.unionByName(_verified(more, given, rule)))
+    several = staged(members.filter("size > 2").select("key", "node"), "several")
+    open_ = staged(_open_bands(several, labels), "open-bands")
+    links = links.unionByName(staged(_joining(open_, labels, classes, texts, rule), "links"))
+    more = staged(_across(open_, classes, rule).join(first, ["a", "b"], "left_anti"),
+                  "candidates")
+    links = links.unionByName(staged(_verified(more, texts, rule), "links"))
+    labels = components(links)
 
     placed = classes.join(labels, "node", "left").select(
         "n", "s1", "s2", F.coalesce("component", "node")["id"].alias("component"))

@@ -68,6 +68,7 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
 def test_a_large_band_with_several_components(spark, monkeypatch):
     """Members that the first comparison leaves apart are compared in blocks."""
     monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 300)
     monkeypatch.setattr(neardup, "SERVED", 4)
     rng = random.Random(3)
     centre = [f"c{i}" for i in range(60)]
