@@ -310,3 +310,23 @@ def test_toxicity_without_classes(spark):
         model = toxicity.fit(docs, labels, F.lit(True))
         assert {r["score"] for r in toxicity.score(docs, model).collect()} == {base}
     assert toxicity.score(cases.frame(spark, []), model).collect() == []
+
+
+def test_toxicity_at_any_offset():
+    """A word saves alike wherever it lies in the grid of windows or in the text."""
+    rng = random.Random(4)
+    insults = [b"bumbleclot", b"wretch", b"scoundrelly"]
+    plain = " ".join(cases.prose(rng, 2000, 3000).split()).encode()
+    model = toxicity.Model(plain[:8000], b" " + b"  ".join(insults) + b" ", (), 0.5)
+    savings = toxicity._Savings(model)
+    fresh = plain[8000:]
+    for insult in insults:
+        found = []
+        for offset in [*range(1, 130), 391]:  # also as the last word
+            at = 90 + offset
+            text = fresh[:at] + b" " + insult + (b" " + fresh[at:480] if offset < 391 else b"")
+            found.append(savings(text))
+        most, total = (np.array([f[k] for f in found]) for k in (0, 1))
+        assert most.min() >= 2 and np.median(most) - most.min() <= 3
+        assert np.ptp(total) <= 1.2
+    assert savings(b"") == (0.0, 0.0, 0.0)
