@@ -329,4 +329,28 @@ def test_toxicity_at_any_offset():
         most, total = (np.array([f[k] for f in found]) for k in (0, 1))
         assert most.min() >= 2 and np.median(most) - most.min() <= 3
         assert np.ptp(total) <= 1.2
-    assert savings(b"") == (0.0, 0.0, 0.0)
+    assert not any(savings(b""))
+
+
+def test_toxicity_of_rare_insults(spark):
+    """Fifty insults in 2 % of the toxic rows each, short ones and a phrase among them."""
+    rng = random.Random(8)
+    insults = ["zub", "qix", "w11 w12"] + [
+        "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4))
+        for _ in range(47)]
+    rows, labels = [], []
+    for i in range(2400):
+        w = cases.prose(rng, 40, 3000).split()
+        if i % 6 == 0:
+            for k in rng.sample(range(40), 6):
+                w[k] = insults[i // 6 % 50]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 6 == 0)))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = cases.frame(spark, rows)
+    model = toxicity.fit(docs, marks, F.col("doc_id") < 1800)
+    assert all(f" {w} ".encode() in model.toxic + model.rare for w in insults)
+    held = [(r["doc_id"] % 6 == 0, r["score"] >= 0.7)
+            for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 1800]
+    assert sum(hit for toxic, hit in held if toxic) >= 90
+    assert sum(hit for toxic, hit in held if not toxic) <= 5
