@@ -29,8 +29,8 @@ from tagweave.llm.common import flat, small_batches
 
 #: Labelled documents of each class that the fit may use, chosen by a hash of the id.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 4000, 8000
-#: Windows of ordinary text that its dictionary is trained on.
-ORDINARY_WINDOWS = 20_000
+#: Windows of ordinary text that its dictionary is trained on, one of every so many bytes.
+ORDINARY_WINDOWS, STRETCH = 20_000, 1024
 #: zstd finds hardly any match in the last TAIL bytes of a window: a step leaves room for
 #: them and for the longest word with the blanks around it.
 WINDOW, STEP, TAIL, LEVEL = 64, 28, 8, 9
@@ -167,6 +167,17 @@ def _pieces(text: bytes, key: int) -> dict[bytes, int]:
     return found
 
 
+def _windows(text: bytes) -> list[bytes]:
+    """A window of every STRETCH bytes, at a place chosen by a hash of them."""
+    found = []
+    for i in range(0, len(text), STRETCH):
+        part = text[i:i + STRETCH]
+        places = max(1, len(text[i:i + STRETCH + WINDOW]) - WINDOW + 1)
+        at = i + zlib.crc32(part) % min(places, STRETCH)
+        found.append(text[at:at + WINDOW])
+    return found
+
+
 def _mixed(a: int, b: int) -> int:
     return (a * 0x9E3779B1 + b * 0x85EBCA77) & 0x7FFFFFFF
 
@@ -229,10 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_column: str = "
     def ordinary_windows(batches):
         for batch in batches:
             data, rows = flat(batch.column(0))
-            found = []
-            for k in range(len(rows) - 1):
-                text = data[rows[k]:rows[k + 1]].tobytes().lower()
-                found += [text[i:i + WINDOW] for i in range(0, len(text), 16 * WINDOW)]
+            found = [w for k in range(len(rows) - 1)
+                     for w in _windows(data[rows[k]:rows[k + 1]].tobytes().lower())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["piece"])
 
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n"))

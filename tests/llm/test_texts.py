@@ -354,3 +354,17 @@ def test_toxicity_of_rare_insults(spark):
             for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 1800]
     assert sum(hit for toxic, hit in held if toxic) >= 90
     assert sum(hit for toxic, hit in held if not toxic) <= 5
+
+
+def test_ordinary_windows_lie_anywhere():
+    """Short texts give more than their beginnings, long ones a window of every stretch."""
+    rng = random.Random(6)
+    starts = []
+    for _ in range(300):
+        text = rng.randbytes(rng.choice((400, 1000, 3000)))
+        found = toxicity._windows(text)
+        assert len(found) == -(-len(text) // 1024)
+        assert all(len(w) == 64 for w in found[:-1])
+        starts += [text.index(w) / len(text) for w in found]
+    assert np.histogram(starts, 5, (0, 1))[0].min() > 30
+    assert toxicity._windows(b"short") == [b"short"] and toxicity._windows(b"") == []
