@@ -16,10 +16,13 @@ from tagweave.llm.common import staged
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression distance does not call toxic.
 
-    The model is fitted on the labelled documents of the stage's own input.
+    The model is fitted on the labelled documents of the stage's own input. All stay
+    if those show nothing to tell toxic documents by.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels, queries.training_fold("doc_id"))
+    if not model.weights:
+        return docs
     scored = toxicity.score(docs.select(F.struct("*").alias("row"), F.col("text")), model)
     return scored.filter(F.col("score") < queries.TOXIC).select("row.*")
 

@@ -50,6 +50,15 @@ def test_stages_keep_clean_documents(spark, folder):
         assert sorted(map(tuple, stage(spark, docs, folder).collect())) == rows
 
 
+def test_toxic_labels_alone_drop_nothing(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, 1) for i in range(101)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/other/labels.parquet")
+    kept = corpus_pipeline.toxic(spark, docs, f"{tmp_path}/other")
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()))
+
+
 def test_names():
     assert [s for s, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "near duplicates", "decontamination", "packing"]
