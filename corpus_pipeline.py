@@ -36,15 +36,18 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, the one with the smallest doc_id.
 
-    Shingles have five words. Rows without words are no duplicates of each other.
+    Of rows with that id, or without one, the smallest hash of the text decides, then any
+    stays. Shingles have five words. Rows without words are no duplicates of each other.
     """
-    found = neardup.near_duplicates(docs)
-    kept = found.filter("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")).distinct()
+    rows = staged(docs.select(F.struct("*").alias("row")).withColumn(
+        "number", F.monotonically_increasing_id()), "numbered")
+    found = neardup.near_duplicates(rows.select("number", "row.text"), id_column="number")
     text = F.coalesce(F.col("row.text"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row")).withColumn("own_h", F.xxhash64(text))
-    same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("own_h") == F.col("kept_h"))
-    return rows.join(kept, same, "left_semi").select("row.*")
+    order = rows.select("number", F.struct("row.doc_id", F.xxhash64(text), "number").alias("o"))
+    kept = (found.select(F.col("doc_id").alias("number"), "component_id").join(order, "number")
+            .groupBy("component_id").agg(F.min("o").alias("o"))
+            .select(F.col("o.number").alias("number")))
+    return rows.join(kept, "number", "left_semi").select("row.*")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The pipeline: each stage's contract on awkward rows, and the registered queries."""
 
 import os
+import random
 
 import pytest
 
@@ -59,6 +60,21 @@ def test_toxic_labels_alone_drop_nothing(spark, folder, tmp_path):
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()))
 
 
+def test_one_row_of_each_group_stays(spark, folder):
+    """Also where ids repeat, belong to two groups, or are null."""
+    rng = random.Random(3)
+    one, two, three, four = (cases.prose(rng, 60, 5000) for _ in range(4))
+    given = [(7, one), (7, one), (7, one + " end"), (9, one), (7, two), (8, two),
+             (None, three), (None, three + " end"), (None, four), (3, four), (5, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given], COLUMNS)
+    kept = [(r["doc_id"], r["text"]) for r in
+            corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
+    assert len(kept) == 6 and kept.count((5, "")) == 2
+    assert sum(t in (one, one + " end") and i == 7 for i, t in kept) == 1
+    assert (7, two) in kept and (None, four) in kept
+    assert sum(t in (three, three + " end") for _, t in kept) == 1
+
+
 def test_names():
     assert [s for s, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "near duplicates", "decontamination", "packing"]
