@@ -73,5 +73,72 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 LEFT JOIN sizes USING (doc_id)"""
 
+#: Rows whose components are all finite numbers, as integers.
+WHOLE = """
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+HARD_NEGATIVES = f"""
+WITH v AS (
+    SELECT vec_id, e, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM ({WHOLE}) WHERE label IS NOT NULL),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+           list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id
+                           ORDER BY score DESC, other))::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+def _nearest(books: str) -> str:
+    """Index and squared distance of each part's nearest entry."""
+    return f"""
+    SELECT vec_id, part, e, min_by(entry, (d, entry)) AS entry, min(d) AS d FROM (
+        SELECT p.vec_id, p.part, p.e, b.entry, list_sum(list_transform(
+                   list_zip(p.e, b.e), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS d
+        FROM parts AS p JOIN {books} AS b USING (part))
+    GROUP BY vec_id, part, e"""
+
+
+def _moved(books: str, near: str) -> str:
+    """Entries as the floored means of their parts; unused ones stay."""
+    return f"""
+    SELECT part, entry, coalesce(m.e, b.e) AS e FROM {books} AS b LEFT JOIN (
+        SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY place) AS e FROM (
+            SELECT part, entry, place, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                SELECT part, entry, unnest(e) AS x, generate_subscripts(e, 1) AS place
+                FROM {near}) GROUP BY part, entry, place)
+        GROUP BY part, entry) AS m USING (part, entry)"""
+
+
+VECTOR_CODES = f"""
+WITH v AS ({WHOLE}),
+parts AS (SELECT vec_id, part, list_slice(e, part * w + 1, part * w + w) AS e
+          FROM (SELECT vec_id, e, len(e) // 16 AS w, unnest(range(16)) AS part FROM v)),
+b0 AS (SELECT part, entry, e FROM parts JOIN (
+           SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v
+           ORDER BY vec_id LIMIT 64) USING (vec_id)),
+n0 AS ({_nearest("b0")}), b1 AS ({_moved("b0", "n0")}),
+n1 AS ({_nearest("b1")}), b2 AS ({_moved("b1", "n1")}),
+n2 AS ({_nearest("b2")}),
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+           sum(d)::BIGINT AS error FROM n2 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b2)
+           AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)"""
+
 SQL = {"op3_line_dedup": LINE_DEDUP, "op4_setsketch_neardup": NEAR_DUPLICATES,
-       "op7_wu_manber": BENCHMARK}
+       "op7_wu_manber": BENCHMARK, "op11_certified_negatives": HARD_NEGATIVES,
+       "op13_walsh_codes": VECTOR_CODES}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.llm import ann, chat, decontaminate, linededup, neardup, oracles, packing, pii, ppm, suffixes, toxicity
+from tagweave.llm import (ann, chat, decontaminate, hardnegatives, linededup, neardup, oracles,
+                          packing, pieces, pii, ppm, suffixes, toxicity, vectorcodes)
 
 
 def tokenizer_path(name: str) -> str:
@@ -107,10 +108,34 @@ def op10_compression_toxicity(spark, folder):
         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op11_certified_negatives(spark, folder):
+    vectors = _table(spark, folder, "embeddings")
+    shifted = vectors.withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")))
+    return hardnegatives.hard_negatives(shifted, lambda row_id: row_id % 100 == 0)
+
+
+def op12_piece_agenda(spark, folder):
+    model = tokenizer_path("piece_bpe_32k.model")
+    coded = pieces.encode_texts(_table(spark, folder, "documents"), model, keep=["doc_id"])
+    return pieces.decode_texts(coded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_walsh_codes(spark, folder):
+    coded = vectorcodes.compress(_table(spark, folder, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda i: F.lower(F.lpad(F.hex(i), 2, "0"))), "")
+    return coded.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error",
+                        "codebooks_sha256")
+
+
 def queries() -> dict:
     named = [op1_chat_windows, op2_vector_packing, op3_line_dedup, op4_setsketch_neardup,
              op5_suffix_repeats, op6_ppm_scores, op7_wu_manber, op8_weak_supervision_pii,
-             op9_inverted_multi_index, op10_compression_toxicity]
+             op9_inverted_multi_index, op10_compression_toxicity,
+             op11_certified_negatives, op12_piece_agenda, op13_walsh_codes]
     return {query.__name__: query for query in named}
 
 
