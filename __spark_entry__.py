@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,18 +17,21 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 import retail_sql
 from tagweave.functions import sql
-from tagweave.operators import cluster, metrics, recommend, shopping
+from tagweave.operators import cluster, metrics, recommend, shopping, states
 from tagweave.operators.match import code_match, range_match
-from tagweave.operators.staging import stage
+from tagweave.operators.staging import stage, stage_path, staged_database
 from tagweave.plans import checks, jobs, mining, profile, repair, retail
 from tagweave.plans.tags import BY_NAME, MODEL, TAGS, run_catalog_tag, run_tag
 from tagweave.sources.starschema import LOGS_AS_OF, ORDERS_AS_OF, StarSchema
+from tagweave.sources.tables import Buckets, CatalogTables, FileTables
+from tagweave.sources.versions import VersionedFiles
 
-try:  # the text operators may be absent
+# The text operators may be absent; if they are there, an import error is one.
+corpus_pipeline = text_queries = None
+HERE = os.path.dirname(os.path.abspath(__file__))
+if os.path.exists(f"{HERE}/corpus_pipeline.py") and os.path.exists(f"{HERE}/tagweave/llm/queries.py"):
     import corpus_pipeline
     from tagweave.llm import queries as text_queries
-except ImportError:
-    corpus_pipeline = text_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 SMOKE = "/root/testdata/sf0.001"
@@ -178,16 +182,49 @@ def metadata_scan(spark, folder):
 
 
 def gender_from_catalog(spark, folder):
-    """Taxonomy and users as tables of the session catalog."""
-    retail.taxonomy_rows(spark).createOrReplaceTempView("tbl_basic_tags")
-    _store(spark, folder).users().createOrReplaceTempView("tbl_users")
-    return run_catalog_tag(spark, BY_NAME["gender"])
+    """Taxonomy, users and the tag as tables of a catalog database."""
+    tables = CatalogTables(spark, staged_database(spark, "shop"))
+    tables.write(retail.taxonomy_rows(spark), "tbl_basic_tags")
+    tables.write(_store(spark, folder).users(), "tbl_users")
+    tables.write(run_catalog_tag(spark, BY_NAME["gender"], tables.database), "tbl_gender_tag")
+    return tables.read("tbl_gender_tag")
+
+
+def profile_from_buckets(spark, folder):
+    """The profile joined from catalog tables that are bucketed by user."""
+    tables = CatalogTables(spark, staged_database(spark, "tags"), buckets=Buckets("userId", 8))
+    for name, tagged in profile.rule_tag_tables(
+            _store(spark, folder), retail.taxonomy(spark, True), retail.settings()).items():
+        tables.write(tagged, name)
+    return profile.profile_from_tables(tables, models=False)
+
+
+def tag_sinks(spark, folder):
+    """One tag through every kind of table: overwritten, appended to and read again."""
+    tagged = _tag("consumeCycle")(spark, folder)
+    odd, even = (tagged.filter(F.col("userId") % 2 == rest) for rest in (1, 0))
+    root, catalog = stage_path(spark, "sinks"), staged_database(spark, "sinks")
+    stores = {"parquet": FileTables(spark, f"{root}/parquet"),
+              "json": FileTables(spark, f"{root}/json", "json"),
+              "csv": FileTables(spark, f"{root}/csv", "csv", options={"header": "true"}),
+              "versions": VersionedFiles(spark, f"{root}/versions"),
+              "catalog": CatalogTables(spark, catalog),
+              "views": CatalogTables(spark, catalog, versioned=True)}
+    found = []
+    for kind, store in stores.items():
+        table = f"tbl_{kind}"
+        store.write(tagged, table)
+        store.write(odd, table, sort_by="userId")
+        store.write(even, table, mode="append")
+        again = store.read(table) if isinstance(store, CatalogTables) else store.read(
+            table, tagged.schema)
+        found.append(again.select(F.lit(kind).alias("sink"), *tagged.columns))
+    return reduce(DataFrame.unionByName, found)
 
 
 def sql_functions(spark, folder):
     """The SQL functions over all visits."""
     sql.register(spark)
-    _store(spark, folder).logs().createOrReplaceTempView("tbl_logs")
     return spark.sql("""
         SELECT userId, coalesce(productId, '') AS productId, hours.start AS hour_start,
                hours.end AS hour_end, places.top1, coalesce(places.top2, -1) AS top2,
@@ -197,7 +234,52 @@ def sql_functions(spark, folder):
                      rule_to_tuple(concat(hour(log_time), '-', hour(log_time) + 1)) AS hours,
                      string_to_product(concat_ws(',', global_user_id,
                                                  url_to_product(loc_url))) AS places
-              FROM tbl_logs)""")
+              FROM {logs})""", logs=_store(spark, folder).logs())
+
+
+def _by_day(spark, facts, batches, kept, as_of):
+    """Metrics from a state that takes one batch of facts after the other."""
+    store = VersionedFiles(spark, stage_path(spark, "states"))
+    for name, condition in batches.items():
+        state = states.add_day(store, "state", facts.filter(condition), name, kept)
+    return states.metrics_of(state, kept, as_of)
+
+
+ORDER_BATCHES = {"1": "finishTime < 800000000", "2": "finishTime BETWEEN 800000000 AND 899999999",
+                 "3": "finishTime >= 900000000"}
+LOG_BATCHES = {"1": "log_time < DATE'2024-01-20'", "2": "log_time >= DATE'2024-01-20'"}
+
+
+def order_metrics_by_day(spark, folder):
+    """Order metrics merged from three spans of days."""
+    valued = _by_day(spark, _store(spark, folder).orders(), ORDER_BATCHES, states.ORDERS_KEPT,
+                     ORDERS_AS_OF)
+    return valued.select(*[F.col(c).cast("double").alias(c) if c in ("maxOrder", "monetary") else c
+                           for c in valued.columns])
+
+
+def log_metrics_by_day(spark, folder):
+    """Log metrics merged from two spans of days."""
+    return _by_day(spark, _store(spark, folder).logs(), LOG_BATCHES, states.LOGS_KEPT, LOGS_AS_OF)
+
+
+def page_sketch_check(spark, folder):
+    """Users, and those whose sketched number of pages is off by over 8 % and one."""
+    logs = _store(spark, folder).logs()
+    sketched = _by_day(spark, logs, LOG_BATCHES, states.LOGS_SKETCHED, LOGS_AS_OF)
+    exact = metrics.log_metrics(logs, LOGS_AS_OF, ["pageCount"]).withColumnRenamed(
+        "pageCount", "exact")
+    far = F.abs(F.col("pageCount") - F.col("exact")) > 1 + 0.08 * F.col("exact")
+    return sketched.join(exact, "userId").groupBy().agg(
+        F.count("*").alias("users"), F.sum(far.cast("long")).alias("far"))
+
+
+def returned_goods(spark, folder):
+    """Goods of returned orders: a key filter before the join, large orders split."""
+    store = _store(spark, folder)
+    returned = store.orders().filter(F.col("orderStatus") == metrics.RETURNED)
+    return (metrics.sold_goods(store.goods(), returned, retail.CODING.features(), True, 7)
+            .groupBy("userId", "color", "product", "label").agg(F.count("*").alias("goods")))
 
 
 def rfm_silhouette(spark, folder):
@@ -288,6 +370,10 @@ def psm_tag_check(spark, folder):
     return checks.value_clusters(_store(spark, folder), retail.settings())
 
 
+def psm_coreset_check(spark, folder):
+    return checks.coreset_fault(_store(spark, folder), retail.settings())
+
+
 def silhouette_check(spark, folder):
     settings, store = retail.settings(), _store(spark, folder)
     scored = stage(mining.rfe_scores(metrics.log_metrics(
@@ -295,21 +381,30 @@ def silhouette_check(spark, folder):
     return checks.silhouette_fault(scored, retail.RFE_BANDS, cluster.RFE_CLUSTERS)
 
 
-def _recommender(spark, folder):
-    ratings = stage(metrics.product_ratings(_store(spark, folder).logs()), "ratings")
-    return ratings, recommend.fit_recommender(ratings)
+def _ratings(spark, folder):
+    return stage(metrics.product_ratings(_store(spark, folder).logs()), "ratings")
 
 
 def rmse_check(spark, folder):
-    return checks.error_fault(*_recommender(spark, folder))
+    ratings = _ratings(spark, folder)
+    return checks.error_fault(ratings, recommend.fit_recommender(ratings))
 
 
 def bp_check(spark, folder):
-    return checks.recommender_faults(*_recommender(spark, folder))
+    ratings = _ratings(spark, folder)
+    return checks.recommender_faults(ratings, recommend.fit_factors(ratings))
 
 
 def bp_lists_check(spark, folder):
-    return checks.list_faults(_recommender(spark, folder)[1])
+    return checks.list_faults(recommend.fit_factors(_ratings(spark, folder)))
+
+
+def bp_best_check(spark, folder):
+    return checks.best_faults(recommend.fit_factors(_ratings(spark, folder)))
+
+
+def bp_fold_in_check(spark, folder):
+    return checks.fold_in_faults(_ratings(spark, folder))
 
 
 def profile_full_check(spark, folder):
@@ -340,12 +435,14 @@ def queries() -> dict[str, Query]:
     named = [rfm_scores, rfe_scores, psm_scores, user_goods, click_ratings,
              order_metrics, log_metrics, product_name_lookup, profile_sql,
              profile_left, profile_joined, range_gap_drop, half_open_bands, many_bands,
-             code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog,
+             code_unmatched_drop, nation_names, metadata_scan, gender_from_catalog, profile_from_buckets, tag_sinks,
+             order_metrics_by_day, log_metrics_by_day, page_sketch_check, returned_goods,
              sql_functions, repair_orders, repair_orders_midnight, shift_logs,
              shift_logs_midnight, shift_users, rfm_silhouette, bp_error, profile_full,
              shift_users_midnight, many_bands_signed, unit_price_half_open,
-             rfe_scores_lagged, rfm_tag_check, rfe_tag_check, psm_tag_check,
-             silhouette_check, rmse_check, bp_check, bp_lists_check, profile_full_check]
+             rfe_scores_lagged, rfm_tag_check, rfe_tag_check, psm_tag_check, psm_coreset_check,
+             silhouette_check, rmse_check, bp_check, bp_lists_check, profile_full_check,
+             bp_best_check, bp_fold_in_check]
     text = {} if text_queries is None else {
         **text_queries.queries(), "pipeline": corpus_pipeline.run}
     return {**{key: _tag(tag) for key, tag in {**RULE_TAGS, **MODEL_TAGS}.items()},

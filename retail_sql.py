@@ -200,7 +200,7 @@ def _in(words) -> str:
     return "(" + ", ".join(_text(w) for w in words) + ")"
 
 
-def _goods_sql() -> str:
+def _goods_sql(where: str = "") -> str:
     coding = retail.CODING
 
     def code(column, words):
@@ -214,7 +214,7 @@ user_goods AS (
          CASE WHEN colour IN {_in(coding.female_colours)}
                 OR kind IN {_in(coding.female_types)} THEN 1 ELSE 0 END AS label,
          COUNT(*) AS goods
-  FROM shop_goods g JOIN shop_orders o ON o.sn = g.sn GROUP BY 1, 2, 3, 4)"""
+  FROM shop_goods g JOIN shop_orders o ON o.sn = g.sn {where} GROUP BY 1, 2, 3, 4)"""
 
 
 def _repair_sql(seconds: int, midnight: bool) -> str:
@@ -262,6 +262,12 @@ def sql(rule_tags: dict[str, str]) -> dict[str, str]:
         "psm_scores": f'WITH {order_ctes} SELECT "userId", "psmScore" FROM order_metrics',
         "order_metrics": f"WITH {order_ctes} SELECT * FROM order_metrics",
         "log_metrics": f"WITH {log_ctes} SELECT * FROM log_metrics",
+        "order_metrics_by_day": f"WITH {order_ctes} SELECT * FROM order_metrics",
+        "log_metrics_by_day": f"WITH {log_ctes} SELECT * FROM log_metrics",
+        "page_sketch_check": f"WITH {log_ctes} SELECT count(*) AS users, CAST(0 AS BIGINT) AS far "
+                             "FROM log_metrics",
+        "returned_goods": f"WITH {SHOP_ORDERS},{SHOP_GOODS},"
+                          f"{_goods_sql('WHERE o.status = 0')} SELECT * FROM user_goods",
         "user_goods": f"WITH {goods} SELECT * FROM user_goods",
         # The tree learns the labelling rule without error, so the rule votes.
         "usg_vote": f"""
@@ -287,6 +293,10 @@ named AS (
 SELECT * FROM named WHERE {' AND '.join(f'{name} IS NOT NULL' for name in tops)}""",
         "profile_sql": _profile_sql("JOIN", covering),
         "profile_joined": _profile_sql("JOIN", covering),
+        "profile_from_buckets": _profile_sql("JOIN", covering),
+        "tag_sinks": f"""
+SELECT * FROM (VALUES ('parquet'), ('json'), ('csv'), ('versions'), ('catalog'), ('views'))
+    AS s(sink) CROSS JOIN ({_tag_sql('consumeCycle', retail.RULES['consumeCycle'])})""",
         "profile_left": _profile_sql("LEFT JOIN", retail.RULES),
         "range_gap_drop": f"""
 WITH {order_ctes}, rules(name, lo, hi) AS (VALUES {_values(GAP_BANDS)})
@@ -357,6 +367,8 @@ SELECT count(*) AS users, least(CAST({k} AS BIGINT), count(DISTINCT ({', '.join(
 WITH {order_ctes}
 SELECT count(*) AS users, least(CAST({cluster.PSM_CLUSTERS} AS BIGINT), count(DISTINCT "psmScore")) AS labels,
        CAST(0 AS BIGINT) AS far, CAST(0 AS BIGINT) AS disordered, CAST(0 AS BIGINT) AS costlier FROM order_metrics""",
+        "psm_coreset_check": f"WITH {order_ctes} SELECT count(*) AS users, CAST(0 AS BIGINT) AS lost, "
+                             "CAST(0 AS BIGINT) AS costlier FROM order_metrics",
         "silhouette_check": f"WITH {log_ctes} SELECT count(*) AS users, CAST(0 AS BIGINT) AS apart FROM log_metrics",
         "rmse_check": f"WITH {SHOP_LOGS},{RATINGS} "
                       "SELECT count(*) AS ratings, CAST(0 AS BIGINT) AS apart FROM ratings",
@@ -364,6 +376,16 @@ SELECT count(*) AS users, least(CAST({cluster.PSM_CLUSTERS} AS BIGINT), count(DI
 WITH {SHOP_LOGS},{RATINGS}
 SELECT count(DISTINCT "userId") AS users, count(DISTINCT "productId") AS products, CAST(0 AS BIGINT) AS unsolved
 FROM ratings""",
+        "bp_best_check": f"""
+WITH {SHOP_LOGS},{RATINGS}
+SELECT count(DISTINCT "userId") FILTER ("userId" % 100 = 0) AS users, CAST(0 AS BIGINT) AS missed,
+       CAST(0 AS BIGINT) AS misstated FROM ratings""",
+        "bp_fold_in_check": f"""
+WITH {SHOP_LOGS},{RATINGS}
+SELECT count(DISTINCT "userId") AS users, count(DISTINCT "productId") AS products,
+       count(DISTINCT "userId") FILTER ("userId" % 5 = 0)
+           + count(DISTINCT "productId") FILTER ("productId" % 5 = 0) AS late,
+       CAST(0 AS BIGINT) AS unsolved_users, CAST(0 AS BIGINT) AS unsolved_products FROM ratings""",
         "bp_lists_check": f"""
 WITH {SHOP_LOGS},{RATINGS}
 SELECT count(DISTINCT "userId") AS users, CAST(0 AS BIGINT) AS uneven, CAST(0 AS BIGINT) AS unlike, CAST(0 AS BIGINT) AS unsorted FROM ratings""",

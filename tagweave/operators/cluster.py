@@ -14,7 +14,7 @@ from math import prod
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, MinMaxScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -27,6 +27,9 @@ RFM_CLUSTERS, RFE_CLUSTERS, PSM_CLUSTERS = 5, 4, 5
 MAX_ITERATIONS = (5, 10, 20)
 SEED = 31
 
+# Cells of a coreset by count and by width.
+QUANTILES, WIDTHS = 2_000, 20_000
+
 # Different scores one task holds while k-means runs.
 VALUES_PER_TASK = 200_000
 
@@ -96,19 +99,48 @@ def fit_score_clusters(scored: DataFrame, columns: Sequence[str], k: int,
     return fit_clusters(points, columns, k, **options)
 
 
-def fit_value_clusters(scored: DataFrame, column: str, k: int,
-                       partitions: int | None = None, **options) -> PipelineModel:
+def fit_value_clusters(scored: DataFrame, column: str, k: int, partitions: int | None = None,
+                       condensed: bool = False, **options) -> PipelineModel:
     """Clusters of one continuous score, counted by value.
 
-    The layout follows from the values alone, since k-means starts differ by it.
+    The layout follows from the values alone, since k-means starts differ by it. With
+    ``condensed`` they are fitted on a ``coreset``, whose size is bounded.
     """
-    counted = stage(scored.groupBy(column).agg(
+    counted = stage(coreset(scored, column) if condensed else scored.groupBy(column).agg(
         F.count("*").cast("double").alias("weight")), "value-counts")
     partitions = partitions or 1 + counted.count() // VALUES_PER_TASK
     points = counted.repartition(partitions, column).sortWithinPartitions(column)
     return fit_clusters(points, [column], k, **options)
 
 
+def coreset(scored: DataFrame, column: str) -> DataFrame:
+    """Weighted points in place of all scores, for fitting clusters of one score.
+
+    Scores are cut at QUANTILES quantiles and, independently, into WIDTHS cells of equal
+    width; scores of one cell become their mean with their number as ``weight``. What a
+    clustering's cost loses is the spread within cells, which is narrow where scores are
+    dense by the one cut and where they are far apart by the other. At most the sum of both
+    numbers of points, however many users there are. Means are sums of decimals, so
+    the points don't depend on the partitioning.
+    """
+    held = scored.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
+    cuts = sorted(set(held.approxQuantile(
+        "x", [i / QUANTILES for i in range(QUANTILES + 1)], 0.25 / QUANTILES)))
+    if not cuts:
+        return scored.select(column, F.lit(1.0).alias("weight")).limit(0)
+    low, high = held.agg(F.min("x"), F.max("x")).first()
+    width = (high - low) / WIDTHS or 1.0
+    placed = held.withColumns({
+        "run": F.floor((F.col("x") - F.lit(low)) / F.lit(width)), "quantile": F.lit(0)})
+    if len(cuts) > 2:
+        placed = Bucketizer(splits=[-float("inf"), *cuts[1:-1], float("inf")], inputCol="x",
+                            outputCol="cell").transform(placed).withColumn("quantile", F.col("cell"))
+    exact = F.sum(F.col("x").cast("decimal(28,14)")) / F.count("*")
+    return placed.groupBy("run", "quantile").agg(
+        exact.cast("double").alias(column), F.count("*").cast("double").alias("weight")).select(
+            column, "weight")
+
+
 def ordinals(model: PipelineModel) -> dict[int, int]:
     """Cluster index -> rank by the sum of its centre, 0 for the largest.
 

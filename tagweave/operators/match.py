@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tagweave.operators import sweep
 from tagweave.operators.staging import stage
 
 # Rows a code rule side may have to be broadcast.
@@ -95,8 +96,8 @@ def attach_band(users: DataFrame, bands: DataFrame, metric: str, out: str,
                 limit: int = BROADCAST_BANDS, rows: int | None = None) -> DataFrame:
     """``users`` with one more column ``out`` for the name of their band.
 
-    Helper columns stay. Bands too many to compare with each user are found by
-    blocks of integers instead.
+    Helper columns stay. Bands too many to compare with each user are met in one sorted
+    sweep over both, or, if they overlap, by blocks of integers.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"a band match is inner or left, not {how!r}")
@@ -107,11 +108,14 @@ def attach_band(users: DataFrame, bands: DataFrame, metric: str, out: str,
     inside = F.expr(f"`{metric}` >= `{start}` AND `{metric}` {upper}")
     if _small(named, limit, rows):
         return users.join(F.broadcast(named), inside, how)
+    rows = stage(users, "banded-rows")
+    if not sweep.overlapping(named, start, end):
+        return sweep.attach_last(rows, named, metric, out, start, end, inside, how)
+    # Rows of several bands: blocks of integers that bands and values share.
     if how == "inner":
-        return _join_blocks(users, named, metric, start, end).filter(inside)
-    # Rows are numbered and written once, since two joins read them.
+        return _join_blocks(rows, named, metric, start, end).filter(inside)
     row = f"{out}_row"
-    numbered = stage(users.withColumn(row, F.monotonically_increasing_id()), "banded-rows")
+    numbered = stage(rows.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
     matched = _join_blocks(numbered, named, metric, start, end).filter(inside)
     others = numbered.join(matched.select(row).distinct(), row, "left_anti")
     return matched.unionByName(others, allowMissingColumns=True).drop(row)
@@ -134,18 +138,21 @@ def lookup(facts: DataFrame, dimension: DataFrame, keys: list[str],
 
 
 def salted_join(facts: DataFrame, dimension: DataFrame, keys: list[str],
-                how: str = "inner", salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                how: str = "inner", salts: int = SALTS, hot_rows: int = HOT_ROWS,
+                hot: DataFrame | None = None) -> DataFrame:
     """Equi join by a shuffle that cuts the facts of hot keys into ``salts`` parts.
 
     Keys are counted, combined before the shuffle, and only the dimension rows of hot
     ones are copied. The salt is a hash of the row and of its partition, not a random
     number: equal rows are spread too, and a task that runs again after a lost
     executor puts its rows in the same place. Keys beyond the HOT_KEYS hottest are
-    joined like all others, so the result does not depend on these limits.
+    joined like all others, so the result does not depend on these limits. ``hot`` has
+    the keys and their ``_n`` rows where the caller counts them otherwise.
     """
-    hot = (facts.groupBy(*keys).agg(F.count("*").alias("_n"))
-           .filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(HOT_KEYS)
-           .drop("_n").withColumn("_hot", F.lit(True)))
+    if hot is None:
+        hot = (facts.groupBy(*keys).agg(F.count("*").alias("_n"))
+               .filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys))
+    hot = hot.limit(HOT_KEYS).drop("_n").withColumn("_hot", F.lit(True))
     found = F.broadcast(hot)  # at most HOT_KEYS rows
     salt = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts))
     salted = facts.join(found, keys, "left").withColumn(

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.functions.columns import (as_of_date, birth_number, days_since,
                                         from_epoch, product_id)
+from tagweave.operators.keys import hot_keys, possible_matches
+from tagweave.operators.match import salted_join
 from tagweave.sources.schemas import GOODS, LOGS, ORDERS, USERS, conform
 
 AsOf = dt.date | str | None
@@ -229,16 +231,22 @@ def product_ratings(logs: DataFrame) -> DataFrame:
             .agg(F.count("*").cast("int").alias("rating")))
 
 
-def sold_goods(goods: DataFrame, orders: DataFrame,
-               columns: Mapping[str, Column]) -> DataFrame:
+def sold_goods(goods: DataFrame, orders: DataFrame, columns: Mapping[str, Column],
+               few_orders: bool = False, hot_items: int | None = None) -> DataFrame:
     """userId and the given columns for each item of an order.
 
-    Both sides of the join are facts, so neither is broadcast; adaptive execution
-    splits an order that holds very many items. Only the short coded columns
-    leave the join.
+    Both sides of the join are facts, so neither is broadcast, and only the short coded
+    columns leave it. Adaptive execution splits an order that holds very many
+    items; with ``hot_items`` orders of that many are counted and split beforehand. With
+    ``few_orders`` items of other orders are mostly dropped before the shuffle.
     """
     items = conform(goods, GOODS).select(
         "cOrderSn", *[c.alias(name) for name, c in columns.items()])
     owners = _by_user(conform(orders, ORDERS), "memberId").select(
         "userId", F.col("orderSn").alias("cOrderSn"))
-    return items.join(owners, "cOrderSn").select("userId", *columns)
+    if few_orders:
+        items = possible_matches(items, "cOrderSn", owners, "cOrderSn")
+    if hot_items is None:
+        return items.join(owners, "cOrderSn").select("userId", *columns)
+    return salted_join(items, owners, ["cOrderSn"], hot=hot_keys(
+        items, ["cOrderSn"], hot_items)).select("userId", *columns)

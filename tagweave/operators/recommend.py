@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tagweave.functions.columns import slots
 from tagweave.operators.match import lookup
@@ -21,8 +22,10 @@ RANK, ITERATIONS, ALPHA, REGULARISATION = 10, 10, 1.0, 1.0
 TOP = ("top1", "top2", "top3", "top4", "top5")
 
 
-# Products whose factors one broadcast holds, and those compared with a batch of users.
-CHUNK, BLOCK = 100_000, 1024
+# Products of a band, which one task holds, and users compared with them at a time.
+BAND, BLOCK = 16_384, 256
+# Parts that a band's users are dealt to.
+SPREAD = 32
 
 
 @dataclass(frozen=True)
@@ -99,25 +102,68 @@ def factors_of(model: ALSModel, regularisation: float = REGULARISATION) -> Recom
                        regularisation)
 
 
-def with_new_users(fitted: Recommender, ratings: DataFrame) -> Recommender:
-    """Factors also of users who came after the fit, from the products' factors.
+def with_new_rows(fitted: Recommender, ratings: DataFrame, rounds: int = 10,
+                  settled: float = 1e-3) -> Recommender:
+    """Factors also of users and products that came after the fit.
 
-    A user's factors solve the linear system that the last step of the factorisation
-    solves; its sums are aggregates by user. Users without a known product have none.
+    New products are solved from the users' factors and new users from the products',
+    in turn, until no new user's factors move by more than ``settled`` of their length or
+    for ``rounds`` at most; factors of the fit stay. Each is the linear system that a step
+    of the factorisation solves, its sums are aggregates. Rows that are joined to no
+    known row by any chain of ratings have no factors.
     """
     find_package(ratings.sparkSession)
-    new = ratings.withColumn("userId", F.col("userId").cast("bigint")).join(
-        fitted.users.select("userId"), "userId", "left_anti")
-    joined = new.join(fitted.items, "productId")
+    ratings = ratings.withColumns({c: F.col(c).cast("bigint") for c in ("userId", "productId")})
+    by_user = ratings.join(fitted.users.select("userId"), "userId", "left_anti")
+    by_item = ratings.join(fitted.items.select("productId"), "productId", "left_anti")
+    no_users, no_items = by_user.isEmpty(), by_item.isEmpty()
+    users, items = fitted.users, fitted.items
+    if no_users and no_items:
+        return fitted
+    if not no_users and not no_items:
+        by_user, by_item = stage(by_user, "of-new-users"), stage(by_item, "of-new-products")
+    before = None
+    for _ in range(rounds):
+        if not no_users:
+            new = stage(_solved(by_user, items, "userId", "productId", fitted.regularisation),
+                        "new-users")
+            users = fitted.users.unionByName(new)
+        if not no_items:
+            items = fitted.items.unionByName(stage(_solved(
+                by_item, users, "productId", "userId", fitted.regularisation), "new-products"))
+        if no_users or no_items:
+            break
+        if before is not None and _still(before, new, settled):
+            # Users last, so that they answer to the products as they are now.
+            users = fitted.users.unionByName(stage(_solved(
+                by_user, items, "userId", "productId", fitted.regularisation), "new-users"))
+            break
+        before = new
+    return Recommender(users, items, fitted.regularisation)
+
+
+def _still(before: DataFrame, after: DataFrame, settled: float) -> bool:
+    """Whether all rows were there before and hardly moved."""
+    size = lambda c: F.sqrt(F.aggregate(
+        c, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    old = before.select("userId", F.col("features").alias("old"))
+    moved = size(F.zip_with("features", "old", lambda x, y: x - y))
+    return after.join(old, "userId", "left").filter(
+        F.col("old").isNull() | (moved > settled * size(F.col("features")))).isEmpty()
+
+
+def _solved(ratings: DataFrame, fixed: DataFrame, key: str, other: str,
+            regularisation: float) -> DataFrame:
+    """(key, features) for each key of ``ratings`` by the factors of ``other``."""
     at = lambda i: F.col("features")[i].cast("double")
     upper = [(i, j) for i in range(RANK) for j in range(i, RANK)]
-    whole = fitted.items.groupBy().agg(*[F.sum(at(i) * at(j)) for i, j in upper]).first()
+    whole = fixed.groupBy().agg(*[F.sum(at(i) * at(j)) for i, j in upper]).first()
     pull = ALPHA * F.col("rating")
-    sums = joined.groupBy("userId").agg(
+    sums = ratings.join(fixed, other).groupBy(key).agg(
         F.count("*").cast("double").alias("n"),
         F.array(*[F.sum(pull * at(i) * at(j)) for i, j in upper]).alias("left"),
         F.array(*[F.sum((1 + pull) * at(i)) for i in range(RANK)]).alias("right"))
-    base, weight = np.array([v or 0.0 for v in whole]), fitted.regularisation
+    base = np.array([v or 0.0 for v in whole])
 
     def solve(batches):
         for batch in batches:
@@ -127,80 +173,140 @@ def with_new_users(fitted: Recommender, ratings: DataFrame) -> Recommender:
             square = np.zeros((len(n), RANK, RANK))
             for k, (i, j) in enumerate(upper):
                 square[:, i, j] = square[:, j, i] = left[:, k] + base[k]
-            square += np.eye(RANK) * (weight * n)[:, None, None]
+            square += np.eye(RANK) * (regularisation * n)[:, None, None]
             found = np.linalg.solve(square, right[:, :, None])[:, :, 0].astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("userId"), pa.array(list(found), pa.list_(pa.float32()))],
-                names=["userId", "features"])
+                [batch.column(key), pa.array(list(found), pa.list_(pa.float32()))],
+                names=[key, "features"])
 
-    solved = sums.mapInArrow(solve, "userId bigint, features array<float>")
-    return Recommender(fitted.users.unionByName(solved), fitted.items, fitted.regularisation)
+    return sums.mapInArrow(solve, f"{key} bigint, features array<float>")
 
 
 def best_products(fitted: Recommender, count: int) -> DataFrame:
     """(userId, productIds, ratings): the products with the largest inner products.
 
-    Exact without comparing all pairs: products come in order of their norm, and a
-    user is done once the norm of the next one times the user's own is below the
-    user's last place. Products are shipped CHUNK at a time, and further ones only
-    while a user is open. Equal ratings are in order of the product id.
+    Exact without comparing all pairs. Products are sorted once, by the length of their
+    factors, and cut into bands of about BAND; no product of a band is worth more to a
+    user than the band's largest length times the user's own. Users go to the first
+    band, then to the next 2, 4, 8, as long as that bound reaches their last place; each
+    round they meet the bands in tasks and take their best so far along. Equal
+    ratings are in order of the product id.
     """
-    find_package(fitted.items.sparkSession)
+    spark = fitted.items.sparkSession
+    find_package(spark)
+    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     size = fitted.items.count()
-    norm = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    ranked = fitted.items.select("productId", "features", norm.alias("norm")).orderBy(
-        F.desc("norm"), "productId")
-    state = fitted.users.select(
-        "userId", "features", F.array().cast("array<bigint>").alias("productIds"),
-        F.array().cast("array<float>").alias("ratings"), F.lit(False).alias("done"))
-    for begin in range(0, max(size, 1), CHUNK):
-        rows = ranked.offset(begin).limit(CHUNK).collect()
-        ids = np.array([r["productId"] for r in rows], np.int64)
-        factors = np.array([r["features"] for r in rows], np.float32).reshape(len(rows), -1)
-        shipped = fitted.items.sparkSession.sparkContext.broadcast((ids, factors))
-        state = state.mapInArrow(_merge(shipped, count), state.schema.simpleString()[7:-1])
-        if begin + CHUNK < size:
-            state = stage(state, "best-products")
-            if state.filter("NOT done").isEmpty():
+    sorted_items = (fitted.items.select("productId", "features", length.alias("length"))
+                    .repartitionByRange(max(1, -(-size // BAND)), F.desc("length"), "productId"))
+    items = stage(sorted_items.withColumn("band", F.spark_partition_id()), "bands")
+    # Sampled bounds may leave a partition empty: bands are numbered by what they hold.
+    tops = items.groupBy("band").agg(F.max("length").alias("length")).orderBy("band").collect()
+    state = fitted.users.select("userId", "features", length.alias("length"),
+                                F.array().cast(_BEST).alias("best"))
+    ended, done, step = [], 0, 1
+    while done < len(tops):
+        bands = tops[done:done + step]
+        state = stage(_round(state, items, bands, count), "best-products")
+        done, step = done + step, 2 * step
+        if done < len(tops):
+            open_ = _reaches(F.lit(float(tops[done]["length"])), count)
+            ended.append(state.filter(~open_))
+            state = state.filter(open_)
+            if state.isEmpty():
                 break
-    return state.select("userId", "productIds", "ratings")
-
-
-def _merge(shipped, count: int):
-    """Each batch of users against one chunk of products, block by block."""
+    found = F.col("best")
+    return reduce(DataFrame.unionAll, [state, *ended]).select(
+        "userId", F.transform(found, lambda x: x["productId"]).alias("productIds"),
+        F.transform(found, lambda x: -x["less"]).alias("ratings"))
+
+
+# A user's best so far; the natural order of its entries is theirs.
+_BEST = "array<struct<less:float,productId:bigint>>"
+_MET = "userId bigint, features array<float>, band int, part int, kind int, id bigint"
+
+
+def _reaches(top: Column, count: int) -> Column:
+    """Whether products as long as ``top`` may have a place among the user's best; with
+    some room for the rounding of ratings."""
+    last = -F.get(F.col("best"), F.lit(count - 1))["less"].cast("double")
+    return (F.size("best") < count) | (F.col("length") * top * (1 + 1e-5) >= last)
+
+
+def _round(state: DataFrame, items: DataFrame, bands: list, count: int) -> DataFrame:
+    """The users' best after they have met ``bands``, the longest products first."""
+    names = [r["band"] for r in bands]
+    offered = F.arrays_zip(_numbers([r["length"] for r in bands]).alias("top"),
+                           _numbers(names).cast("array<int>").alias("band"))
+    reached = F.transform(F.filter(offered, lambda x: _reaches(x["top"], count)),
+                          lambda x: x["band"])
+    asked = state.select("userId", "features", F.explode(reached).alias("band"),
+                         F.pmod(F.xxhash64("userId"), F.lit(SPREAD)).cast("int").alias("part"),
+                         F.lit(1).alias("kind"), F.col("userId").alias("id"))
+    held = items.filter(F.col("band").between(names[0], names[-1])).select(
+        F.col("productId").alias("userId"), "features", "band",
+        F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"), F.lit(0).alias("kind"),
+        F.col("productId").alias("id"))
+    met = (held.unionByName(asked).repartition("band", "part")
+           .sortWithinPartitions("band", "part", "kind", "id")
+           .mapInArrow(_compare(count), f"userId bigint, best {_BEST}"))
+    # What a user had and what the bands gave: a list for each band at most.
+    lists = state.select("userId", "features", "length", "best").unionByName(
+        met, allowMissingColumns=True)
+    return lists.groupBy("userId").agg(
+        F.max("features").alias("features"), F.max("length").alias("length"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, count).alias("best"))
+
+
+def _numbers(values: list) -> Column:
+    """A long list of numbers as one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<double>")
+
+
+def _compare(count: int):
+    """Bands of products and then the users that meet them, batch by batch."""
+
+    def matrix(batch):
+        return batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
 
     def passes(batches):
-        ids, factors = shipped.value
-        norms = np.sqrt((factors.astype(float) ** 2).sum(axis=1)) * (1 + 1e-6)
+        at, parts, held = None, [], None
         for batch in batches:
-            users = np.array(batch.column("features").to_pylist(), np.float32).reshape(
-                batch.num_rows, -1)
-            own = np.sqrt((users.astype(float) ** 2).sum(axis=1))
-            held = [(np.array(i, np.int64), np.array(r, np.float32)) for i, r in zip(
-                batch.column("productIds").to_pylist(), batch.column("ratings").to_pylist())]
-            done = batch.column("done").to_numpy(zero_copy_only=False).copy()
-            for a in range(0, len(ids), BLOCK):
-                open_ = np.flatnonzero(~done)
-                last = np.array([held[k][1][-1] if len(held[k][1]) == count else -np.inf
-                                 for k in open_])
-                over = own[open_] * norms[a] < last
-                done[open_[over]] = True
-                open_ = open_[~over]
-                if not len(open_):
-                    break
-                scores = users[open_] @ factors[a:a + BLOCK].T
-                for k, row in zip(open_, scores):
-                    i, r = np.append(held[k][0], ids[a:a + BLOCK]), np.append(held[k][1], row)
-                    if len(r) > 4 * count:
-                        near = np.flatnonzero(r >= np.partition(r, -count)[-count])
-                        i, r = i[near], r[near]
-                    first = np.lexsort((i, -r))[:count]
-                    held[k] = (i[first], r[first])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("userId"), batch.column("features"),
-                 pa.array([i for i, _ in held], pa.list_(pa.int64())),
-                 pa.array([r for _, r in held], pa.list_(pa.float32())), pa.array(done)],
-                names=["userId", "features", "productIds", "ratings", "done"])
+            place = batch.column("band").to_numpy() * SPREAD + batch.column("part").to_numpy()
+            kind = batch.column("kind").to_numpy()
+            edges = (np.flatnonzero((np.diff(place) != 0) | (np.diff(kind) != 0)) + 1).tolist()
+            for a, b in zip([0, *edges], [*edges, len(place)]):
+                if a == b:
+                    continue
+                rows = batch.slice(a, b - a)
+                if at != place[a]:
+                    at, parts, held = place[a], [], None
+                if kind[a] == 0:
+                    parts.append(rows)
+                    continue
+                if held is None:
+                    held = (np.concatenate([r.column("id").to_numpy() for r in parts]),
+                            np.concatenate([matrix(r) for r in parts]).T)
+                    parts = []
+                for k in range(0, rows.num_rows, BLOCK):
+                    yield _best_of(rows.slice(k, BLOCK), *held, count)
+
+    def _best_of(users, ids, factors, count):
+        scores = matrix(users) @ factors
+        take = min(count, len(ids))
+        least = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take]
+        row, column = np.nonzero(scores >= least[:, None])
+        # Products come by id, so of equal scores the first ones stay.
+        score = scores[row, column]
+        order = np.lexsort((column, -score, row))
+        row, column, score = row[order], column[order], score[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < take
+        entries = pa.StructArray.from_arrays(
+            [pa.array(-score[first], pa.float32()), pa.array(ids[column[first]])],
+            names=["less", "productId"])
+        bounds = np.searchsorted(row[first], np.arange(users.num_rows + 1)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [users.column("userId"), pa.ListArray.from_arrays(pa.array(bounds), entries)],
+            names=["userId", "best"])
 
     return passes
 

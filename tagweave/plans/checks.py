@@ -103,6 +103,29 @@ def value_clusters(store, settings: Settings) -> DataFrame:
     return cluster_faults(tagged, model, ["psmScore"], "group", points, cluster.PSM_CLUSTERS)
 
 
+def coreset_fault(store, settings: Settings) -> DataFrame:
+    """Users, whether the coreset's weights are theirs, and whether clusters fitted on it
+    cost over 1 % more, on all users, than clusters fitted on all scores."""
+    orders = store.read(settings.orders)
+    valued = stage(metrics.order_metrics(orders, settings.orders_as_of, ["psmScore"]), "psm")
+    counted = stage(valued.groupBy("psmScore").agg(F.count("*").cast("double").alias("weight")),
+                    "points")
+    costs = []
+    for condensed in (False, True):
+        model = cluster.fit_value_clusters(valued, "psmScore", cluster.PSM_CLUSTERS,
+                                           condensed=condensed)
+        # On the unscaled score, since each model has a scaler of its own.
+        centres = [float(c[0]) for c in model.stages[-1].clusterCenters()]
+        low, high = (float(model.stages[1].originalMin[0]), float(model.stages[1].originalMax[0]))
+        at = [low + c * (high - low) for c in centres]
+        costs.append(counted.agg(F.sum(F.col("weight") * F.array_min(F.array(*[
+            (F.col("psmScore") - c) * (F.col("psmScore") - c) for c in at])))).first()[0])
+    weights = cluster.coreset(valued, "psmScore").agg(F.sum("weight")).first()[0]
+    return valued.groupBy().agg(
+        F.count("*").alias("users"), (F.count("psmScore") != F.lit(weights)).cast("long").alias("lost"),
+        F.lit(int(costs[1] > 1.01 * costs[0])).cast("long").alias("costlier"))
+
+
 def silhouette_fault(scored: DataFrame, bands, k: int) -> DataFrame:
     """Users, and whether the evaluator differs from the weighted silhouette of squared
     distances computed from sums of each cluster."""
@@ -144,22 +167,23 @@ def error_fault(ratings: DataFrame, model: ALSModel) -> DataFrame:
         (F.abs(F.sqrt(F.avg(miss * miss)) - reported) > 1e-6).cast("long").alias("apart"))
 
 
-def recommender_faults(ratings: DataFrame, model: ALSModel) -> DataFrame:
-    """Users and products with factors, users whose factors don't solve their equations.
+def _unsolved(ratings: DataFrame, keyed: DataFrame, fixed: DataFrame, key: str, other: str,
+              allowed: float) -> DataFrame:
+    """Rows of ``keyed``, and how many don't solve their equations over ``fixed``.
 
-    The last step of the factorisation solves, for each user, a linear system over the
-    products' factors; what is left of it must vanish against its right side.
+    A step of the factorisation solves, for each of them, a linear system over the
+    others' factors; what is left of it must vanish against its right side.
     """
-    width = model.rank
-    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x"))
-    items = model.itemFactors.select(F.col("id").alias("productId"), F.col("features").alias("y"))
+    width = recommend.RANK
+    own = keyed.select(key, F.col("features").alias("x"))
+    others = fixed.select(other, F.col("features").alias("y"))
     at = lambda c, i: F.col(c)[i].cast("double")
-    square = items.groupBy().agg(*[F.sum(at("y", i) * at("y", j)).alias(f"q{i}_{j}")
-                                   for i in range(width) for j in range(i, width)]).first()
-    both = ratings.join(users, "userId").join(items, "productId")
+    square = others.groupBy().agg(*[F.sum(at("y", i) * at("y", j)).alias(f"q{i}_{j}")
+                                    for i in range(width) for j in range(i, width)]).first()
+    both = ratings.join(own, key).join(others, other)
     dot = sum((at("x", i) * at("y", i) for i in range(width)), F.lit(0.0))
     pull = recommend.ALPHA * F.col("rating")
-    summed = both.groupBy("userId").agg(
+    summed = both.groupBy(key).agg(
         F.first("x").alias("x"), F.count("*").alias("n"),
         *[F.sum((pull * dot - (1 + pull)) * at("y", i)).alias(f"g{i}") for i in range(width)],
         *[F.sum((1 + pull) * at("y", i)).alias(f"b{i}") for i in range(width)])
@@ -167,16 +191,41 @@ def recommender_faults(ratings: DataFrame, model: ALSModel) -> DataFrame:
                 F.lit(0.0)) + F.col(f"g{i}")
             + recommend.REGULARISATION * F.col("n") * at("x", i) for i in range(width)]
     size = lambda parts: F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
-    off = size(left) > 1e-2 * size([F.col(f"b{i}") for i in range(width)])
-    return summed.groupBy().agg(F.count("*").alias("users"), F.sum(off.cast("int")).alias("unsolved")
-                                ).select("users", F.lit(items.count()).cast("long").alias("products"),
-                                         "unsolved")
+    off = size(left) > allowed * size([F.col(f"b{i}") for i in range(width)])
+    return summed.groupBy().agg(F.count("*").alias("rows"),
+                                F.coalesce(F.sum(off.cast("int")), F.lit(0)).alias("unsolved"))
+
+
+def recommender_faults(ratings: DataFrame, fitted: recommend.Recommender) -> DataFrame:
+    """Users and products with factors, users whose factors don't solve their equations,
+    which the last step of the fit does."""
+    found = _unsolved(ratings, fitted.users, fitted.items, "userId", "productId", 1e-2)
+    return found.select(F.col("rows").alias("users"),
+                        F.lit(fitted.items.count()).cast("long").alias("products"), "unsolved")
 
 
-def list_faults(model: ALSModel) -> DataFrame:
+def fold_in_faults(ratings: DataFrame) -> DataFrame:
+    """A fit without a fifth of the users and of the products, who come later: users and
+    products with factors then, and the later ones that don't solve their equations."""
+    late = lambda c: F.col(c) % 5 == 0
+    early = stage(ratings.filter(~late("userId") & ~late("productId")), "early-ratings")
+    fitted = recommend.fit_factors(early)
+    whole = recommend.with_new_rows(fitted, ratings)
+    new_users = whole.users.join(fitted.users.select("userId"), "userId", "left_anti")
+    new_items = whole.items.join(fitted.items.select("productId"), "productId", "left_anti")
+    of_users = _unsolved(ratings, new_users, whole.items, "userId", "productId", 1e-2).first()
+    of_items = _unsolved(ratings, new_items, whole.users, "productId", "userId", 1e-2).first()
+    counts = {"users": whole.users.count(), "products": whole.items.count(),
+              "late": of_users["rows"] + of_items["rows"], "unsolved_users": of_users["unsolved"],
+              "unsolved_products": of_items["unsolved"]}
+    return ratings.sparkSession.range(1).select(
+        *[F.lit(v).cast("long").alias(n) for n, v in counts.items()])
+
+
+def list_faults(fitted: recommend.Recommender) -> DataFrame:
     """Users, lists of unequal or wrong length, lists that begin with another product."""
-    tops = recommend.recommend(model)
-    lists = recommend.recommendation_lists(model)
+    tops = recommend.recommend(fitted)
+    lists = recommend.recommendation_lists(fitted)
     ids, strengths = (F.split(c, ",") for c in ("productIds", "ratings"))
     falling = F.array_sort(F.transform(strengths, lambda v: -v.cast("float")))
     return lists.join(tops, "userId").groupBy().agg(
@@ -188,6 +237,35 @@ def list_faults(model: ALSModel) -> DataFrame:
         .alias("unsorted"))
 
 
+#: Blocks of products that users are compared with apart.
+BLOCKS = 64
+
+
+def best_faults(fitted: recommend.Recommender, every: int = 100) -> DataFrame:
+    """Users whose id is a multiple of ``every``, compared with all products: those with a
+    product that is worth more than the last of their five and not among them, and those
+    with a stated rating that is not their product's."""
+    best = stage(recommend.best_products(fitted, len(recommend.TOP)), "best")
+    asked = (fitted.users.join(best, "userId").filter(F.col("userId") % every == 0)
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))))
+    products = fitted.items.select("productId", F.col("features").alias("y"), F.pmod(
+        F.xxhash64("productId"), F.lit(BLOCKS)).cast("int").alias("block"))
+    worth = F.aggregate(F.zip_with("features", "y", lambda a, b: a.cast("double") * b),
+                        F.lit(0.0), lambda s, x: s + x)
+    place = F.array_position("productIds", F.col("productId")).cast("int")
+    room = 1e-5 * (1 + F.abs(F.col("worth")))
+    stated = F.get(F.col("ratings"), F.col("place") - 1)
+    met = asked.join(products, "block").select(
+        "userId", "ratings", worth.alias("worth"), place.alias("place"))
+    return met.groupBy("userId").agg(
+        F.max(((F.col("place") == 0) & (F.col("worth") > F.array_min("ratings") + room))
+              .cast("int")).alias("missed"),
+        F.max(((F.col("place") > 0) & (F.abs(F.col("worth") - stated) > room)).cast("int"))
+        .alias("misstated")).groupBy().agg(
+            F.count("*").alias("users"), F.coalesce(F.sum("missed"), F.lit(0)).alias("missed"),
+            F.coalesce(F.sum("misstated"), F.lit(0)).alias("misstated"))
+
+
 def profile_faults(store, settings: Settings, taxonomy) -> DataFrame:
     """Users of the full profile, rows that its tag tables don't give, and the reverse,
     and users with several rows."""

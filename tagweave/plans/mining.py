@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagweave.operators import cluster, metrics, recommend, shopping
 from tagweave.operators.staging import stage
 from tagweave.plans.settings import Settings
-from tagweave.sources.models import exists, load_or_fit, refuse_other, remember
+from tagweave.sources.models import exists, keep, load_or_fit, refuse_other
 
 
 def _model(spark, settings: Settings, name: str, kind: type, fit, **about):
@@ -67,6 +67,7 @@ def add_psm(order_values: DataFrame, settings: Settings) -> DataFrame:
     model = _model(order_values.sparkSession, settings, "psm", PipelineModel,
                    lambda: cluster.fit_value_clusters(
                        order_values, "psmScore", cluster.PSM_CLUSTERS,
+                       condensed=settings.condensed_scores,
                        try_all=settings.try_all_iterations),
                    columns=["psmScore"], k=cluster.PSM_CLUSTERS)
     return cluster.assign_values(model, order_values, "psmCluster")
@@ -90,7 +91,7 @@ def usg_votes(store, settings: Settings) -> DataFrame:
 def preferences(store, settings: Settings) -> DataFrame:
     """(userId, top1..top5): the products recommended to each user.
 
-    Users who came after a stored model was fitted get factors from its products.
+    Users and products that came after a stored model was fitted get factors from its.
     """
     logs = store.read(settings.logs)
     spark, path = logs.sparkSession, settings.model_path("bp")
@@ -101,11 +102,10 @@ def preferences(store, settings: Settings) -> DataFrame:
         fitted = recommend.fit_factors(ratings, settings.recommender_blocks,
                                        settings.regularisation)
         if path:
-            fitted.save(path)
-            remember(spark, path, about)
+            keep(spark, path, lambda: fitted.save(path), about)
     else:
         refuse_other(spark, path, about)
-        fitted = recommend.with_new_users(
+        fitted = recommend.with_new_rows(
             recommend.Recommender.load(spark, path, settings.regularisation), ratings)
     return recommend.recommend(fitted)
 

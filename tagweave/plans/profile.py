@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators import cluster, metrics
-from tagweave.operators.staging import stage
+from tagweave.operators.staging import stage, staged_run
 from tagweave.plans import mining
 from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (LOGS, MODEL, ORDERS, PREFERENCE_COLUMNS,
@@ -46,11 +46,19 @@ def check_unique(table: DataFrame, what: str) -> DataFrame:
     return table
 
 
-def check_all_unique(tables: list[DataFrame]) -> list[DataFrame]:
-    """``check_unique`` for all tables in one pass; the columns they show name them."""
+def check_all_unique(tables: list[DataFrame], bucketed: bool = False) -> list[DataFrame]:
+    """``check_unique`` for all tables in one pass; the columns they show name them.
+
+    Tables bucketed by user are counted one by one, where they lie.
+    """
     named = [t.select("userId", F.lit(i).alias("_of")) for i, t in enumerate(tables)]
-    twice = reduce(DataFrame.unionAll, named).groupBy("userId", "_of").count().filter(
-        "count > 1").take(3)
+    if bucketed:
+        counted = reduce(DataFrame.unionAll, [
+            t.groupBy("userId").agg(F.count("*").alias("count"), F.first("_of").alias("_of"))
+            for t in named])
+    else:
+        counted = reduce(DataFrame.unionAll, named).groupBy("userId", "_of").count()
+    twice = counted.filter("count > 1").take(3)
     if twice:
         raise ValueError("several rows for user(s) " + "; ".join(
             f"{r['userId']} in the table of {', '.join(tables[r['_of']].columns[1:])}"
@@ -86,13 +94,14 @@ def rule_profile(store, taxonomy: Taxonomy, settings: Settings,
     """The profile without the model tags, as one lazy query over the inputs.
 
     Users, orders and logs are each reduced to user rows before they meet; the
-    aggregates leave them partitioned by user, so the joins move no facts.
+    aggregates leave them partitioned by user, so the joins move no facts. A users
+    table with a repeated id is refused, for which its ids are counted.
     """
     tags = [tag for tag in TAGS if tag.entity != MODEL]
-    wide = assemble([
-        entity_metrics(store, settings, entity,
-                       [tag.metric for tag in tags if tag.entity == entity])
-        for entity in (USERS, ORDERS, LOGS)], how)
+    valued = {entity: entity_metrics(store, settings, entity, [
+        tag.metric for tag in tags if tag.entity == entity]) for entity in (USERS, ORDERS, LOGS)}
+    check_unique(valued[USERS], settings.users)
+    wide = assemble(valued.values(), how)
     return name_all(wide, taxonomy, tags, how, half_open=settings.half_open)
 
 
@@ -148,17 +157,40 @@ def all_tag_tables(values: Mapping[str, DataFrame], taxonomy: Taxonomy,
 
 def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
             how: str = "inner", sort_by: str | None = None) -> DataFrame:
-    """Compute and write all tag tables, then the profile; return the profile."""
-    values = full_values(store, settings)
-    for table, tagged in all_tag_tables(values, taxonomy, settings.half_open).items():
-        out.write(tagged, table, sort_by=sort_by)
-    out.write(full_profile(values, taxonomy, how, settings.half_open), PROFILE_TABLE,
-              sort_by=sort_by)
+    """Compute and write all tag tables, then the profile; return the profile as written.
+
+    What is staged on the way is removed at the end.
+    """
+    with staged_run(taxonomy.spark):
+        values = full_values(store, settings)
+        for table, tagged in all_tag_tables(values, taxonomy, settings.half_open).items():
+            out.write(tagged, table, sort_by=sort_by)
+        out.write(full_profile(values, taxonomy, how, settings.half_open), PROFILE_TABLE,
+                  sort_by=sort_by)
     return out.read(PROFILE_TABLE)
 
 
-def profile_from_tables(out, how: str = "inner") -> DataFrame:
-    """The profile again, joined from tag tables written earlier."""
-    tables = {tag.name: out.read(tag.table) for tag in TAGS}
-    tables["bp"] = out.read(PREFERENCE_TABLE)
-    return assemble(check_all_unique(profile_parts(tables)), how)
+def rule_tag_tables(store, taxonomy: Taxonomy, settings: Settings) -> dict[str, DataFrame]:
+    """The tag tables that need no model, by table name, from shared staged metrics."""
+    tags = [tag for tag in TAGS if tag.entity != MODEL]
+    valued = {entity: stage(entity_metrics(store, settings, entity, [
+        tag.metric for tag in tags if tag.entity == entity]), f"{entity}-metrics")
+        for entity in (USERS, ORDERS, LOGS)}
+    return {tag.table: tag_table(tag, valued[tag.entity], taxonomy,
+                                 tag.name in settings.half_open) for tag in tags}
+
+
+def profile_from_tables(out, how: str = "inner", models: bool = True) -> DataFrame:
+    """The profile again, joined from tag tables written earlier.
+
+    Tables that ``out`` has bucketed by user are checked and joined without a shuffle.
+    Without ``models`` the tags that need one are left out.
+    """
+    tables = {tag.name: out.read(tag.table) for tag in TAGS if models or tag.entity != MODEL}
+    if models:
+        tables["bp"] = out.read(PREFERENCE_TABLE)
+    held = getattr(out, "buckets", None)
+    bucketed = held is not None and held.column == "userId"
+    parts = check_all_unique(profile_parts(tables), bucketed)
+    # Merged where they lie: a broadcast would ship whole tables.
+    return assemble([parts[0], *[p.hint("merge") for p in parts[1:]]] if bucketed else parts, how)

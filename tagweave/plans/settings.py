@@ -19,6 +19,7 @@ class Settings:
     ``visit_lag_days`` moves the day that engagement counts visits to, for logs
     that lag behind the other tables. ``half_open`` names range tags whose bands are
     stretched to the next integer; ``to_midnight`` drops the time of day in repairs.
+    ``condensed_scores`` fits price sensitivity on weighted points of bounded number.
     """
 
     users: str = "tbl_users"
@@ -39,6 +40,7 @@ class Settings:
     skip_unscored: bool = False
     half_open: frozenset[str] = frozenset()
     to_midnight: bool = False
+    condensed_scores: bool = False
 
     def as_of(self, entity: str) -> AsOf:
         return self.logs_as_of if entity == "logs" else self.orders_as_of

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+from tagweave.operators.staging import remove
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -25,10 +27,19 @@ def remember(spark: SparkSession, path: str, about: dict) -> None:
         _about(path))
 
 
+def keep(spark: SparkSession, path: str, save: Callable[[], None], about: dict) -> None:
+    """Store a model and then its note. A model without one is refused later, so
+    one that was half written, or replaced in part, is never taken."""
+    remove(spark, _about(path))
+    save()
+    remember(spark, path, about)
+
+
 def refuse_other(spark: SparkSession, path: str, about: dict) -> None:
-    """Raise if the model at ``path`` was fitted with anything else."""
+    """Raise if the model at ``path`` was fitted with anything else, or has no note."""
     if not exists(spark, _about(path)):
-        return
+        raise ValueError(f"the model at {path} has no note of what it was fitted with; retrain "
+                         "it or name another folder")
     kept = json.loads(spark.read.text(_about(path)).first()["value"])
     wanted = json.loads(json.dumps(about, sort_keys=True, default=str))
     differing = sorted(k for k in {*kept, *wanted} if kept.get(k) != wanted.get(k))
@@ -47,6 +58,5 @@ def load_or_fit(spark: SparkSession, path: str | None, kind: type,
         return kind.load(path)
     model = fit()
     if path:
-        model.write().overwrite().save(path)
-        remember(spark, path, about or {})
+        keep(spark, path, lambda: model.write().overwrite().save(path), about or {})
     return model

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,7 +64,10 @@ class FileTables:
             raise
         if not files.rename(place(path), place(old)):
             raise OSError(f"cannot replace {path}; the new table is {fresh}")
-        files.rename(place(fresh), place(path))
+        if not files.rename(place(fresh), place(path)):
+            if not files.rename(place(old), place(path)):
+                raise OSError(f"cannot replace {path}; the old table is {old}")
+            raise OSError(f"cannot replace {path}; it is as it was, the new table is {fresh}")
         files.delete(place(old), True)
 
 
@@ -80,16 +84,42 @@ class Split:
 def check_unsplit(name: str, rows: int, most: int) -> None:
     """Raise if a table is too large to be read in one task."""
     if rows > most:
-        raise ValueError(f"table {name} has {rows} rows and no split; one task would read them")
+        raise ValueError(f"table {name} has {rows} rows, no split and no key to cut it by; "
+                         "one task would read them")
+
+
+def quantile_query(table: str, column: str, parts: int) -> str:
+    """SQL for the last key of each of ``parts`` equal runs of a table's rows."""
+    return (f"(SELECT MAX({column}) AS bound FROM (SELECT {column}, NTILE({parts}) OVER "
+            f"(ORDER BY {column}) AS run FROM {table} WHERE {column} IS NOT NULL) runs "
+            "GROUP BY run) bounds")
+
+
+def range_predicates(column: str, bounds: Iterable) -> list[str]:
+    """Conditions of which each row meets just one, cut after the given keys.
+
+    Rows without a key meet the first. Equal bounds, which a frequent key gives, are one.
+    """
+    def literal(value) -> str:
+        if isinstance(value, (int, float, Decimal)):
+            return str(value)
+        return "'" + str(value).replace("'", "''") + "'"
+
+    cuts = [literal(b) for b in sorted(set(bounds))][:-1]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} <= {cuts[0]} OR {column} IS NULL", *between, f"{column} > {cuts[-1]}"]
 
 
 @dataclass(frozen=True)
 class JdbcTables:
     """Tables of a relational database.
 
-    Without a ``Split`` Spark reads a table in one task: one of more than
-    ``unsplit_rows`` rows is refused. Overwrite keeps the table's own DDL (TRUNCATE,
-    INSERT).
+    Without a ``Split`` Spark reads a table in one task. One of more than ``unsplit_rows``
+    rows is cut by its column in ``keys`` at the quantiles that the database finds, so
+    that tasks read equal shares whatever the keys are; without such a column it is
+    refused. Overwrite keeps the table's own DDL (TRUNCATE, INSERT).
     """
 
     spark: SparkSession
@@ -100,6 +130,7 @@ class JdbcTables:
     batch_size: int = 10_000
     write_partitions: int = 32
     unsplit_rows: int = 1_000_000
+    keys: Mapping[str, str] = field(default_factory=dict)
 
     def read_options(self, name: str) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name,
@@ -118,12 +149,27 @@ class JdbcTables:
                 "numPartitions": str(self.write_partitions)}
 
     def read(self, name: str) -> DataFrame:
-        table = self._load(self.read_options(name))
-        if name not in self.splits:
-            counted = {**self.read_options(name),
-                       "dbtable": f"(SELECT COUNT(*) AS n FROM {name}) counted"}
-            check_unsplit(name, int(self._load(counted).first()[0]), self.unsplit_rows)
-        return table
+        if name in self.splits:
+            return self._load(self.read_options(name))
+        predicates = self.cut(name, self._one(f"(SELECT COUNT(*) AS n FROM {name}) counted"))
+        if not predicates:
+            return self._load(self.read_options(name))
+        properties = {**self.properties, "fetchsize": str(self.fetch_size)}
+        return self.spark.read.jdbc(self.url, name, predicates=predicates, properties=properties)
+
+    def cut(self, name: str, rows: int) -> list[str]:
+        """Conditions for reads of at most about ``unsplit_rows`` rows; none for one read."""
+        if rows <= self.unsplit_rows:
+            return []
+        if name not in self.keys:
+            check_unsplit(name, rows, self.unsplit_rows)
+        column, parts = self.keys[name], -(-rows // self.unsplit_rows)
+        found = self._load({**self.read_options(name),
+                            "dbtable": quantile_query(name, column, parts)}).collect()
+        return range_predicates(column, [r[0] for r in found if r[0] is not None])
+
+    def _one(self, query: str) -> int:
+        return int(self._load({**self.read_options("one"), "dbtable": query}).first()[0])
 
     def _load(self, options: Mapping[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(**options).load()
@@ -134,10 +180,24 @@ class JdbcTables:
          .options(**self.write_options(name)).mode(mode).save())
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How tables are dealt to files: rows of one key are in one of ``count`` buckets.
+
+    Tables with the same buckets are joined and grouped by the key where they lie.
+    ``count`` should give files of some 100 MB of the largest table.
+    """
+
+    column: str
+    count: int
+
+
 @dataclass(frozen=True)
 class CatalogTables:
     """Tables of the session catalog, optionally inside one database.
 
+    With ``buckets`` tables that have the bucket column are written by it, one file
+    for each bucket, sorted within; ``sort_by`` may name no other column then.
     With ``versioned`` an overwrite writes a new table and then points a view
     of the plain name at it, so a reader never meets a half-written tag. An existing
     plain table becomes the first version, the version before the last is dropped.
@@ -147,6 +207,7 @@ class CatalogTables:
     database: str | None = None
     format: str = "parquet"
     versioned: bool = False
+    buckets: Buckets | None = None
 
     def qualified(self, name: str) -> str:
         return f"`{self.database}`.`{name}`" if self.database else f"`{name}`"
@@ -156,7 +217,7 @@ class CatalogTables:
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               sort_by: str | None = None) -> None:
-        writer = _ordered(df, sort_by).write.format(self.format)
+        writer = self._writer(df, sort_by).format(self.format)
         if not self.versioned:
             writer.mode(mode).saveAsTable(self.qualified(name))
             return
@@ -177,6 +238,16 @@ class CatalogTables:
             raise
         self._drop_others(name, {version, kept})
 
+    def _writer(self, df: DataFrame, sort_by: str | None):
+        held = self.buckets
+        if held is None or held.column not in df.columns:
+            return _ordered(df, sort_by).write
+        if sort_by not in (None, held.column):
+            raise ValueError(f"tables are bucketed and sorted by {held.column}, not {sort_by}")
+        # Spark places rows by the hash that it cuts buckets with: a task writes one file.
+        return (df.repartition(held.count, held.column).write
+                .bucketBy(held.count, held.column).sortBy(held.column))
+
     def _point(self, name: str, version: str) -> None:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.qualified(name)} AS SELECT * FROM {version}")

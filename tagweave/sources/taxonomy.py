@@ -68,6 +68,10 @@ class Taxonomy:
         rows = self._frame.filter("level IN (4, 5)").take(limit + 1)
         self._rows = rows if len(rows) <= limit else None
 
+    @property
+    def spark(self) -> SparkSession:
+        return self._frame.sparkSession
+
     def source_rule(self, tag_id: int) -> SourceRule:
         if self._rows is None:
             row = (self._frame.filter("level = 4").where(F.col("id") == tag_id)
@@ -101,7 +105,7 @@ class Taxonomy:
                 f"try_cast(regexp_extract(rule, r'{RANGE}', {i}) AS INT)")
             bands = self._values(tag_id).select(
                 "name", "rule", part(1).alias("start"), part(2).alias("end"))
-            whole = F.coalesce(F.col("rule").rlike(f"^{RANGE}$"), F.lit(False))
+            whole = F.coalesce(F.col("rule").rlike(rf"\A{RANGE}\z"), F.lit(False))
             broken = bands.filter(~whole | F.col("start").isNull() | F.col("end").isNull()
                                   | (F.col("start") > F.col("end"))).take(3)
             _refuse(tag_id, "malformed range(s)", [r.rule for r in broken])

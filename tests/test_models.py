@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tagweave.operators import cluster, recommend, shopping
 from tagweave.operators.shopping import GoodsCoding
+from tagweave.plans import checks
 from tagweave.sources.models import exists, load_or_fit
 
 BANDS = {"r_score": [(None, 1, 1), (2, 2, 2), (3, None, 3)],
@@ -221,9 +222,9 @@ def found(best):
             for r in best.collect()}
 
 
-@pytest.mark.parametrize("chunk,block", [(100_000, 1024), (5, 2)])
-def test_best_products_equal_all_pairs(spark, monkeypatch, chunk, block):
-    monkeypatch.setattr(recommend, "CHUNK", chunk)
+@pytest.mark.parametrize("band,block", [(16_384, 256), (5, 2)])
+def test_best_products_equal_all_pairs(spark, monkeypatch, band, block):
+    monkeypatch.setattr(recommend, "BAND", band)
     monkeypatch.setattr(recommend, "BLOCK", block)
     ratings = spark.range(3000).select(
         (F.col("id") % 37).cast("int").alias("userId"),
@@ -244,15 +245,81 @@ def test_ids_beyond_32_bits(spark, ratings, rows):
     assert all(i >= 5_000_000_000 for r in best for i in r[1:])
 
 
+def test_equal_ratings_are_in_order_of_the_product(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "BAND", 4)
+    one = [0.5] * recommend.RANK
+    items = spark.createDataFrame([(i, [x * (1 + i % 2) for x in one]) for i in range(30, 0, -1)],
+                                  "productId bigint, features array<float>")
+    users = spark.createDataFrame([(1, one), (2, [0.0] * recommend.RANK),
+                                   (3, [-x for x in one])], "userId bigint, features array<float>")
+    best = recommend.best_products(recommend.Recommender(users, items), 5)
+    assert {r.userId: r.productIds for r in best.collect()} == {
+        1: [1, 3, 5, 7, 9], 2: [1, 2, 3, 4, 5], 3: [2, 4, 6, 8, 10]}
+    assert recommend.best_products(recommend.Recommender(users, items.limit(0)), 5).select(
+        "productIds").distinct().collect() == [([],)]
+
+
+def test_bands_that_no_user_reaches_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "BAND", 4)
+    rounds = []
+    plain = recommend._round
+    monkeypatch.setattr(recommend, "_round", lambda s, i, bands, c: rounds.append(len(bands))
+                        or plain(s, i, bands, c))
+    items = spark.createDataFrame(
+        [(i, [1.0 / (i + 1) ** 2] + [0.0] * (recommend.RANK - 1)) for i in range(64)],
+        "productId bigint, features array<float>")
+    users = spark.createDataFrame([(1, [1.0] * recommend.RANK)], "userId bigint, features array<float>")
+    best = recommend.best_products(recommend.Recommender(users, items), 3)
+    assert best.first()["productIds"] == [0, 1, 2]
+    assert sum(rounds) < 8
+
+
+def same_factors(ours, theirs, key):
+    ours = {r[key]: r.features for r in ours.collect()}
+    theirs = {r[key]: r.features for r in theirs.collect()}
+    assert ours.keys() == theirs.keys()
+    for name, factors in theirs.items():
+        assert ours[name] == pytest.approx(factors, abs=2e-3)
+
+
 def test_users_after_the_fit_get_factors(spark, ratings):
     fitted = recommend.fit_factors(ratings, 2)
     early = recommend.Recommender(fitted.users.filter("userId < 10"), fitted.items)
-    late = recommend.with_new_users(early, ratings)
-    ours = {r.userId: r.features for r in late.users.collect()}
-    theirs = {r.userId: r.features for r in fitted.users.collect()}
-    assert ours.keys() == theirs.keys()
-    for user, factors in theirs.items():
-        assert ours[user] == pytest.approx(factors, abs=2e-3)
+    late = recommend.with_new_rows(early, ratings)
+    same_factors(late.users, fitted.users, "userId")
+    assert late.items is early.items
+
+
+def test_products_after_the_fit_get_factors(spark, ratings):
+    fitted = recommend.fit_factors(ratings, 2)
+    early = recommend.Recommender(fitted.users, fitted.items.filter("productId < 9"))
+    late = recommend.with_new_rows(early, ratings)
+    assert late.users is early.users and late.items.count() == 13
+    both = recommend.Recommender(fitted.users.filter("userId < 15"),
+                                 fitted.items.filter("productId < 9"))
+    late = recommend.with_new_rows(both, ratings)
+    assert (late.users.count(), late.items.count()) == (20, 13)
+    # Users are solved last and so answer to the products as they are.
+    found = checks._unsolved(ratings, late.users.filter("userId >= 15"), late.items, "userId",
+                             "productId", 1e-4).first()
+    assert (found["rows"], found["unsolved"]) == (5, 0)
+
+
+def test_ratings_that_reach_no_known_row_give_no_factors(spark, ratings):
+    fitted = recommend.fit_factors(ratings, 2)
+    apart = spark.createDataFrame([(901, 801, 2)], "userId int, productId int, rating int")
+    late = recommend.with_new_rows(fitted, ratings.union(apart))
+    assert (late.users.count(), late.items.count()) == (20, 13)
+    assert recommend.with_new_rows(fitted, ratings) is fitted
+
+
+def test_a_model_without_a_note_is_refused(spark, tmp_path):
+    path = str(tmp_path / "model")
+    score_model(spark).write().save(path)
+    with pytest.raises(ValueError, match="no note"):
+        load_or_fit(spark, path, PipelineModel, None)
+    load_or_fit(spark, path, PipelineModel, lambda: score_model(spark), retrain=True)
+    assert load_or_fit(spark, path, PipelineModel, None)
 
 
 def test_a_model_fitted_otherwise_is_refused(spark, tmp_path):
@@ -297,3 +364,27 @@ def test_all_iteration_limits_are_tried(spark, monkeypatch):
     monkeypatch.setattr(cluster, "KMeans", spy)
     score_model(spark)
     assert seen == [5, 10, 20]
+
+
+def test_a_coreset_costs_little(spark):
+    values = spark.range(20_000).select(
+        (F.pow(F.rand(3), 4) * 3 + F.col("id") % 3).alias("s")).union(
+            spark.sql("SELECT 40.0D UNION ALL SELECT NULL"))
+    points = cluster.coreset(values, "s")
+    kept = points.agg(F.sum("weight"), F.sum(F.col("weight") * F.col("s")), F.count("*")).first()
+    assert kept[0] == 20_001 and kept[2] <= cluster.QUANTILES + cluster.WIDTHS
+    assert kept[1] == pytest.approx(values.agg(F.sum("s")).first()[0])
+    again = cluster.coreset(values.repartition(7), "s")
+    assert points.select("weight").exceptAll(again.select("weight")).count() < 0.2 * kept[2]
+
+    def cost(condensed):
+        model = cluster.fit_value_clusters(values.na.drop(), "s", 5, condensed=condensed)
+        low, high = (float(model.stages[1].originalMin[0]), float(model.stages[1].originalMax[0]))
+        at = [low + float(c[0]) * (high - low) for c in model.stages[-1].clusterCenters()]
+        return values.agg(F.sum(F.array_min(F.array(*[F.pow(F.col("s") - c, 2) for c in at])))
+                          ).first()[0]
+
+    assert cost(True) <= 1.01 * cost(False)
+    one = cluster.coreset(spark.range(5).select(F.lit(2.5).alias("s")), "s")
+    assert [tuple(r) for r in one.collect()] == [(2.5, 5.0)]
+    assert cluster.coreset(values.limit(0), "s").count() == 0

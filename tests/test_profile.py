@@ -9,7 +9,7 @@ from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (BY_NAME, CODE, PREFERENCE_TABLE, PROFILE_TABLE, TAGS,
                                  run_catalog_tag, run_tag)
 from tagweave.sources.starschema import StarSchema
-from tagweave.sources.tables import CatalogTables, FileTables, FrameTables
+from tagweave.sources.tables import Buckets, CatalogTables, FileTables, FrameTables
 from tagweave.sources.taxonomy import Taxonomy, taxonomy_frame
 
 FOLDER = "/root/testdata/sf0.001"
@@ -105,10 +105,39 @@ def test_run_all(spark, tmp_path, rows):
                                                   "top4", "top5"]
     # Joined again from the written tables, and computed again with kept models.
     assert rows(profile.profile_from_tables(out)) == kept
+    assert not list((tmp_path.parent).glob("**/run-*"))
+    # The same from catalog tables bucketed by user, which no join or check moves.
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed_tags")
+    bucketed = CatalogTables(spark, "bucketed_tags", buckets=Buckets("userId", 4))
+    for tag in TAGS:
+        bucketed.write(out.read(tag.table), tag.table)
+    bucketed.write(out.read(PREFERENCE_TABLE), PREFERENCE_TABLE)
+    joined = profile.profile_from_tables(bucketed)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 21
+    assert rows(joined) == kept
+    bucketed.write(out.read(TAGS[0].table).limit(1), TAGS[0].table, mode="append")
+    with pytest.raises(ValueError, match=f"several rows .* in the table of {TAGS[0].label}"):
+        profile.profile_from_tables(bucketed)
     again = profile.full_profile(profile.full_values(store, settings), taxonomy)
     assert rows(again) == kept
 
 
+@needs_data
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_users_table_with_repeated_ids_is_refused(spark, how):
+    class Repeated(StarSchema):
+        def users(self):
+            return super().users().unionAll(super().users().filter("id < 4"))
+
+        def read(self, name):
+            return self.users() if name == "tbl_users" else super().read(name)
+
+    with pytest.raises(ValueError, match="tbl_users has several rows"):
+        profile.rule_profile(Repeated(spark, FOLDER), retail.taxonomy(spark, True),
+                             retail.settings(), how)
+
+
 @needs_data
 def test_the_profile_aggregates_orders_once(spark):
     plan = profile.rule_profile(

@@ -30,7 +30,7 @@ def test_missing_and_empty_source_rules_name_the_tag(spark, limit):
 
 @pytest.mark.parametrize("limit", [10_000, 0], ids=["kept", "table"])
 @pytest.mark.parametrize("rule", ["5", "a-b", "9-1", "1-2-3", "1-99999999999", "", "+1-10",
-                                  "-1-10", None])
+                                  "-1-10", None, "1-10\n", "\n1-10", "1-\n10"])
 def test_malformed_ranges_raise(spark, rule, limit):
     with pytest.raises(ValueError, match="malformed"):
         build(spark, [("x", rule)], limit=limit).band_rules(7)
