@@ -23,16 +23,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tagweave.llm.common import flat, small_batches, span_hashes
+from tagweave.llm.common import flat, sections, small_batches, span_hashes
 
 #: Symbols of a segment up to which segments are encoded side by side.
 SHORT = 48
 #: Bytes of one Arrow batch: the larger, the fewer segments are met again.
-BATCH_BYTES = 8 << 20
-#: Bytes of segments that the library checks at a time.
-CHECKED = 1 << 16
+BATCH_BYTES = 6 << 20
+#: Bytes of segments that the library checks at a time, ids that it decodes.
+CHECKED, DECODED = 1 << 16, 1 << 18
 MARK = "▁"
 #: The rank of no merge; a place within a segment fits below it.
 _NEVER = np.int64(1) << 50
@@ -245,8 +245,10 @@ def _spread(where: np.ndarray, inside: np.ndarray, outside: np.ndarray) -> np.nd
 def _taken(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The spans' values end to end."""
     ends = np.cumsum(lengths)
-    return data[np.arange(ends[-1] if len(ends) else 0)
-                + np.repeat(starts - (ends - lengths), lengths)]
+    kind = np.int32 if len(data) < 1 << 30 and len(ends) and ends[-1] < 1 << 30 else np.int64
+    at = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    at += np.arange(len(at), dtype=kind)
+    return data[at]
 
 
 def encode_rows(held: Vocabulary, data: np.ndarray, rows: np.ndarray
@@ -282,21 +284,26 @@ def encode_rows(held: Vocabulary, data: np.ndarray, rows: np.ndarray
 
 
 def encode_texts(docs: DataFrame, model: str, text_column: str = "text", out: str = "ids",
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, decoded: str | None = None) -> DataFrame:
     """``docs`` with one more column, the token ids of each whole text.
 
     A null text counts as empty, an empty one has no ids; malformed UTF-8 becomes
     U+FFFD. No begin or end ids. The columns ``keep``, by default all, stay as they are, one
-    named like ``out`` is replaced; an empty table stays empty.
+    named like ``out`` is replaced; an empty table stays empty. With ``decoded`` a column
+    of that name has the text that the library makes of the ids.
     """
-    _batches(docs.sparkSession)
     text = F.make_valid_utf8(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")))
     prefixed = F.when(F.length(text) > 0, F.concat(F.lit(" "), F.replace(
         text, F.lit(MARK), F.lit(" ")))).otherwise(F.lit(""))
-    others = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
-    row = F.struct(*[F.col(f"`{c}`") for c in others])
-    return _with_arrow(docs.select(row.alias("row"), prefixed.alias("given")), others, out,
-                       "array<int>", _encoder(model))
+
+    def made(given: pa.Array) -> list[pa.Array]:
+        held = vocabulary(model)
+        ids, bounds = encode_rows(held, *flat(given))
+        found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+        return [found, _decoded(held, ids, bounds)] if decoded else [found]
+
+    return _with_arrow(docs, prefixed, docs.columns if keep is None else keep,
+                       {out: "array<int>"} | ({decoded: "string"} if decoded else {}), made)
 
 
 def decode_texts(coded: DataFrame, model: str, ids_column: str = "ids",
@@ -305,47 +312,42 @@ def decode_texts(coded: DataFrame, model: str, ids_column: str = "ids",
 
     Null ids give the empty text.
     """
-    _batches(coded.sparkSession)
-    others = [c for c in coded.columns if c.lower() != out.lower()]
-    row = F.struct(*[F.col(f"`{c}`") for c in others])
     given = F.coalesce(F.col(f"`{ids_column}`").cast("array<int>"), F.array().cast("array<int>"))
-    return _with_arrow(coded.select(row.alias("row"), given.alias("given")), others, out,
-                       "string", _decoder(model))
 
+    def made(given: pa.Array) -> list[pa.Array]:
+        bounds = np.r_[0, np.cumsum(given.value_lengths().to_numpy())].astype(np.int64)
+        return [_decoded(vocabulary(model), given.flatten().to_numpy(), bounds)]
+
+    return _with_arrow(coded, given, coded.columns, {out: "string"}, made)
 
-def _batches(spark: SparkSession) -> None:
-    small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
+def _decoded(held: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Texts of rows of ids, some rows at a time."""
+    texts = []
+    for a, b in sections(bounds, DECODED):
+        rows = [ids[x:y].tolist() for x, y in zip(bounds[a:b], bounds[a + 1:b + 1])]
+        texts.append(pa.array(held.library.decode(rows, num_threads=1), pa.string()))
+    return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
-def _with_arrow(df: DataFrame, others: list[str], out: str, kind: str, made) -> DataFrame:
-    """The columns of ``row`` and what ``made`` gives for each batch of ``given``."""
-    schema = f"{df.schema.simpleString()[7:-1].rpartition(',given:')[0]}, made {kind}"
+
+def _with_arrow(df: DataFrame, given: Column, keep: list[str], out: dict[str, str],
+                made) -> DataFrame:
+    """The columns ``keep`` and new ones that ``made`` gives for each batch of ``given``."""
+    small_batches(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    others = [c for c in keep if c.lower() not in {name.lower() for name in out}]
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    both = df.select(row.alias("row"), given.alias("given"))
+    schema = both.schema.simpleString()[7:-1].rpartition(",given:")[0]
+    names = [f"made{k}" for k in range(len(out))]
 
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), made(batch.column("given"))], names=["row", "made"])
+                [batch.column("row"), *made(batch.column("given"))], names=["row", *names])
 
-    done = df.mapInArrow(passes, schema)
+    done = both.mapInArrow(passes, ", ".join([schema, *[
+        f"{name} {kind}" for name, kind in zip(names, out.values())]]))
     return done.select(*[F.col("row").getField(c).alias(c) for c in others],
-                       F.col("made").alias(out))
-
-
-def _encoder(model: str):
-    def made(given: pa.Array) -> pa.Array:
-        held = vocabulary(model)
-        data, rows = flat(given)
-        ids, bounds = encode_rows(held, data, rows)
-        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
-
-    return made
-
-
-def _decoder(model: str):
-    def made(given: pa.Array) -> pa.Array:
-        return pa.array(vocabulary(model).library.decode(given.to_pylist(), num_threads=1)
-                        if len(given) else [], pa.string())
-
-    return made
+                       *[F.col(name).alias(shown) for name, shown in zip(names, out)])

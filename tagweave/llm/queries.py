@@ -117,8 +117,8 @@ def op11_certified_negatives(spark, folder):
 
 def op12_piece_agenda(spark, folder):
     model = tokenizer_path("piece_bpe_32k.model")
-    coded = pieces.encode_texts(_table(spark, folder, "documents"), model, keep=["doc_id"])
-    return pieces.decode_texts(coded, model).select(
+    return pieces.encode_texts(_table(spark, folder, "documents"), model, keep=["doc_id"],
+                               decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
