@@ -1,9 +1,12 @@
 """Nearest neighbours by inner product, with an inverted multi-index.
 
 The halves of a vector are quantised by a codebook each, fitted on a bounded sample;
-the pair of nearest centroids is the vector's cell. A query scores both halves'
-centroids and walks through pairs of them in order of their sum, with a heap, until
-the visited cells hold enough entries. Those are ranked by the exact inner product.
+the pair of nearest centroids is the vector's cell. A centroid's score for a query is
+their inner product plus a share of what its vectors reach beyond it: half of the
+query's length times their mean distance from the centroid, so that cells of long
+vectors come as early as their vectors deserve. A query walks through pairs of
+centroids in order of the summed scores, with a heap, until the visited cells hold
+enough entries. Those, and no others, are ranked by the exact inner product.
 
 Entries are dealt to tasks by their first centroid, in blocks of bounded size, and a
 query goes to the blocks with cells that it visits. Equal vectors form one entry
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,10 @@ from tagweave.llm.common import small_batches, staged
 
 #: Vectors that the codebooks are fitted on, chosen by hash; centroids of each half.
 SAMPLE, CENTROIDS, ROUNDS = 20_000, 64, 12
-#: Share of all entries, and their least number, that a query ranks.
-VISIT, LEAST = 0.45, 2000
-#: Entries in one block.
-BLOCK = 4096
+#: Share of all entries that a query ranks; share of its reach that a cell's score has.
+VISIT, REACH = 0.5, 0.5
+#: Bytes of a block's vectors; scores that a task holds at a time.
+BLOCK_BYTES, HELD = 16 << 20, 1 << 20
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -53,6 +57,14 @@ def codebook(points: np.ndarray, size: int) -> np.ndarray:
     return centres
 
 
+def reach(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Root of the mean squared distance of each centroid's points; 0 without points."""
+    near = _nearest(points, centres)
+    far = ((points - centres[near]) ** 2).sum(axis=1)
+    counts = np.bincount(near, minlength=len(centres))
+    return np.sqrt(np.bincount(near, far, len(centres)) / np.maximum(counts, 1))
+
+
 def visited(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int
             ) -> list[tuple[int, int]]:
     """Cells in order of the summed scores of their halves, until they hold enough.
@@ -79,16 +91,17 @@ def visited(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: i
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """(id, vector) rows that take part: all components finite, not all zero.
 
-    Only vectors of the most frequent length do (of equal ones, the longest).
+    Vectors of several lengths are filled with zeros to the longest, which changes no
+    inner product.
     """
     plain = vectors.select(F.col(id_column).cast("long").alias("id"),
                            F.col(vector_column).cast("array<double>").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = plain.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & ~bad
                         & F.exists("vector", lambda x: x != 0))
-    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), F.desc("size")).limit(1).collect()
-    return good.filter(F.size("vector") == (sizes[0]["size"] if sizes else 0))
+    size = good.agg(F.max(F.size("vector"))).first()[0] or 0
+    return good.select("id", F.concat("vector", F.array_repeat(
+        F.lit(0.0), F.lit(size) - F.size("vector"))).alias("vector"))
 
 
 def _matrix(column) -> np.ndarray:
@@ -123,7 +136,9 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     half = (sample.shape[1] + 1) // 2
-    books = codebook(sample[:, :half], CENTROIDS), codebook(sample[:, half:], CENTROIDS)
+    halves = sample[:, :half], sample[:, half:]
+    books = tuple(codebook(part, CENTROIDS) for part in halves)
+    reaches = tuple(REACH * reach(part, book) for part, book in zip(halves, books))
 
     def placed(batches):
         for batch in batches:
@@ -139,8 +154,8 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20
     counts = np.zeros((len(books[0]), len(books[1])), np.int64)
     for r in cells.groupBy("i", "j").agg(F.count("*").alias("n")).collect():  # of bounded size
         counts[r["i"], r["j"]] = r["n"]
-    wanted = max(LEAST, int(visit * counts.sum()))
-    blocks = 1 + counts.sum(axis=1) // BLOCK
+    wanted = max(k + 1, ceil(visit * counts.sum()))
+    blocks = 1 + counts.sum(axis=1) * 8 * sample.shape[1] // BLOCK_BYTES
 
     def walked(batches):
         for batch in batches:
@@ -148,7 +163,9 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20
             m = _matrix(batch.column("vector"))
             for name, q in zip(batch.column("id").to_pylist(), m):
                 by_row: dict[int, list[int]] = {}
-                for i, j in visited(books[0] @ q[:half], books[1] @ q[half:], counts, wanted):
+                scores = [book @ part + np.linalg.norm(part) * far for book, part, far in zip(
+                    books, (q[:half], q[half:]), reaches)]
+                for i, j in visited(*scores, counts, wanted):
                     by_row.setdefault(i, []).append(j)
                 rows += [(i, b, 1, [name], q, js) for i, js in by_row.items()
                          for b in range(int(blocks[i]))]
@@ -162,7 +179,7 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (stored.unionByName(asked).repartition(parts, "i", "block")
              .sortWithinPartitions("i", "block", "kind"))
-    best = dealt.mapInArrow(_ranked(k, counts.shape[1]),
+    best = dealt.mapInArrow(_ranked(k),
                             "query_id long, ids array<long>, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.select("query_id", F.explode("ids").alias("vec_id"), "score")
@@ -179,14 +196,43 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["i", "block", "kind", "ids", "vector", "js"])
 
 
-def _ranked(k: int, columns: int):
+class Block:
+    """Entries of one first centroid, by their second one."""
+
+    def __init__(self, table: pa.Table):
+        column = table.column("js").combine_chunks().flatten().to_numpy()
+        order = np.argsort(column, kind="stable")
+        self.matrix = _matrix(table.column("vector").combine_chunks())[order]
+        ids = table.column("ids").to_pylist()
+        self.ids = [ids[i] for i in order]
+        self.first = np.array([x[0] for x in self.ids])
+        self.columns, begins = np.unique(column[order], return_index=True)
+        self.bounds = np.append(begins, len(order))
+
+    def scores(self, queries: np.ndarray, visits: list[list[int]]) -> tuple[np.ndarray, int]:
+        """Inner products with the entries of the cells that each query visits, minus infinity
+        elsewhere; and how many were computed."""
+        found, products = np.full((len(queries), len(self.ids)), -np.inf), 0
+        of = np.repeat(np.arange(len(visits)), [len(js) for js in visits])
+        js = np.concatenate([np.asarray(js, np.int64) for js in visits])
+        order = np.argsort(js, kind="stable")
+        of, js = of[order], js[order]
+        for j, a, b in zip(self.columns, self.bounds, self.bounds[1:]):
+            mine = of[np.searchsorted(js, j):np.searchsorted(js, j, "right")]
+            if len(mine):
+                found[mine, a:b] = queries[mine] @ self.matrix[a:b].T
+                products += len(mine) * (b - a)
+        return found, products
+
+
+def _ranked(k: int):
     """Per query and block the best entries among the cells that the query visits."""
 
     def passes(batches):
-        at, held, entry = None, [], None
+        at, held, block = None, [], None
         for batch in batches:
-            i, block, kind = (batch.column(n).to_numpy() for n in ("i", "block", "kind"))
-            where = i.astype(np.int64) << 32 | block
+            i, where_block, kind = (batch.column(n).to_numpy() for n in ("i", "block", "kind"))
+            where = i.astype(np.int64) << 32 | where_block
             edges = np.flatnonzero((np.diff(where) != 0) | (np.diff(kind) != 0)) + 1
             found = []
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(where)]):
@@ -194,30 +240,17 @@ def _ranked(k: int, columns: int):
                     continue
                 part = batch.slice(a, b - a)
                 if at != where[a]:
-                    at, held, entry = where[a], [], None
+                    at, held, block = where[a], [], None
                 if kind[a] == 0:
                     held.append(part)
                     continue
-                if not held:
+                if not held and block is None:
                     continue
-                if entry is None:
-                    table = pa.Table.from_batches(held).combine_chunks()
-                    entry = (_matrix(table.column("vector").combine_chunks()),
-                             table.column("js").combine_chunks().flatten().to_numpy(),
-                             table.column("ids").to_pylist())
-                matrix, column, ids = entry
-                first = np.array([x[0] for x in ids])
-                scores = _matrix(part.column("vector")) @ matrix.T
-                for row, js, name in zip(scores, part.column("js").to_pylist(),
-                                         part.column("ids").to_pylist()):
-                    mine = np.zeros(columns, bool)
-                    mine[js] = True
-                    near = np.flatnonzero(mine[column])
-                    if len(near) > k + 1:
-                        least = np.partition(row[near], -(k + 1))[-(k + 1)]
-                        near = near[row[near] >= least]
-                    near = near[np.lexsort((first[near], -row[near]))][:k + 1]
-                    found += [(name[0], ids[e], float(row[e])) for e in near]
+                if block is None:
+                    block, held = Block(pa.Table.from_batches(held)), []
+                step = max(1, HELD // len(block.ids))
+                for c in range(0, part.num_rows, step):
+                    found += _best(block, part.slice(c, step), k)
             if found:
                 names, lists, scores = zip(*found)
                 yield pa.RecordBatch.from_arrays(
@@ -225,3 +258,16 @@ def _ranked(k: int, columns: int):
                      pa.array(scores)], names=["query_id", "ids", "score"])
 
     return passes
+
+
+def _best(block: Block, queries: pa.RecordBatch, k: int) -> list[tuple]:
+    scores, _ = block.scores(_matrix(queries.column("vector")), queries.column("js").to_pylist())
+    found = []
+    for row, name in zip(scores, queries.column("ids").to_pylist()):
+        near = np.flatnonzero(row > -np.inf)
+        if len(near) > k + 1:
+            least = np.partition(row[near], -(k + 1))[-(k + 1)]
+            near = near[row[near] >= least]
+        near = near[np.lexsort((block.first[near], -row[near]))][:k + 1]
+        found += [(name[0], block.ids[e], float(row[e])) for e in near]
+    return found
