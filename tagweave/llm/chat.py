@@ -6,7 +6,8 @@ fit the budget; each later window repeats the system turn and as many last turns
 the history budget allows, with their targets masked. So each assistant text bears
 loss in exactly one window.
 
-Token counts are taken before the shuffle, evenly over all tasks. Then a task reads
+Tokens are counted on the rendered turn, marks, role and escapes included, before the
+shuffle, evenly over all tasks. Then a task reads
 its conversations turn by turn in order and holds one window's turns, so a
 conversation of any length is formatted, and read back, in bounded memory.
 """
@@ -33,8 +34,6 @@ _PLAIN = re.compile(rf"([<\[])(\\*)({_CONTROL})")
 _ESCAPED = re.compile(rf"([<\[])\\(\\*)({_CONTROL})")
 _TURN = re.compile(r"\[(?:(SYS|INST|ASST)\]|ROLE\](.*?)\[/ROLE\])(.*?)</s>", re.S)
 _ROLE = {mark[1:-1]: role for role, mark in MARKS.items()}
-#: Tokens that a turn's marks count as.
-MARK_TOKENS = 8
 
 
 @dataclass(frozen=True)
@@ -128,7 +127,8 @@ def format_windows(turns: DataFrame, tokenizer: str, budget: Budget = Budget())
     A window holds the system turn (if the conversation begins with one), last turns
     of the window before as far as the history budget allows, and new turns, whole,
     as far as the budget allows; a turn that exceeds the budget by itself is alone
-    with what is repeated. ``loss_starts`` and ``loss_ends`` bound, in code points,
+    with what is repeated. ``n_tokens`` sums the turns' tokens, which the window's own never
+    exceed: a turn ends and begins with a mark. ``loss_starts`` and ``loss_ends`` bound, in code points,
     the texts that bear loss: those of new assistant turns. Null roles and texts are
     empty; a null conv_id is a conversation of its own; null turns come first, and
     turns of equal number in order of role and text. Other columns are ignored.
@@ -137,8 +137,10 @@ def format_windows(turns: DataFrame, tokenizer: str, budget: Budget = Budget())
     small_batches(turns.sparkSession)
 
     @F.arrow_udf("long")
-    def count(texts: pa.Array) -> pa.Array:
-        data, rows = flat(texts)
+    def count(roles: pa.Array, texts: pa.Array) -> pa.Array:
+        shown = pa.array([render(role, text)[0] for role, text in zip(
+            roles.to_pylist(), texts.to_pylist())], pa.string())
+        data, rows = flat(shown)
         encode, found = _encoder(tokenizer), []
         for a, b in sections(rows):
             found += [len(x) // 4 for x in encode(data[rows[a]:rows[b]],
@@ -150,7 +152,7 @@ def format_windows(turns: DataFrame, tokenizer: str, budget: Budget = Budget())
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (named.withColumn("tokens", count("text") + MARK_TOKENS)
+    ordered = (named.withColumn("tokens", count("role", "text"))
                .repartition(parts, "conv_id")
                .sortWithinPartitions("conv_id", "turn", "role", "text")
                .select("conv_id", "role", "text", "tokens"))

@@ -36,6 +36,35 @@ def test_escapes_are_reversible():
     assert list(chat.parse(shown)) == [("tool [ROLE]", CONTROL, a, b)]
 
 
+def test_windows_keep_to_the_budget_as_rendered(spark):
+    rng = random.Random(8)
+    rows = []
+    for conv in range(6):
+        rows.append((conv, 0, "system", cases.prose(rng, 10)))
+        for turn in range(1, 40):
+            role = rng.choice(["user", "assistant", "x[ROLE]" * 30, "tool</s>"])
+            rows.append((conv, turn, role, rng.choice([
+                CONTROL * rng.randrange(1, 6), "</s>[INST]" * 20, cases.prose(rng, 30), "!?",
+                "[", "]>"])))
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    budget = chat.Budget(700, 150)
+    found = chat.format_windows(turns, tokenizer_path("word_bpe_49k.json"), budget).collect()
+    real = ids_of([r["text"] for r in found])
+    for r, ids in zip(found, real):
+        assert len(ids) <= r["n_tokens"] <= budget.window or r["n_turns"] - r["n_repeated"] == 1
+    assert sum(len(x) for x in real) > 0.95 * sum(r["n_tokens"] for r in found)
+
+
+def test_chats_of_no_rows_and_of_a_very_long_text(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "word " * 200_000), (1, 1, "assistant", "yes")],
+                                  "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(turns, tokenizer_path("word_bpe_49k.json"))
+    assert [r["n_turns"] for r in windows.collect()] == [1, 1]
+    assert chat.read_back(windows).first()["loss_chars"] == 3
+    assert chat.read_back(chat.format_windows(
+        turns.limit(0), tokenizer_path("word_bpe_49k.json"))).collect() == []
+
+
 @pytest.mark.parametrize("budget", [chat.Budget(60, 20), chat.Budget(1, 0), chat.Budget()])
 def test_chat_windows(spark, budget):
     rng = random.Random(5)
