@@ -6,10 +6,11 @@
 2. The other keys are dealt to shards by their hash. Each shard builds a minimal
    perfect hash over its keys, which places fingerprints, document counts and the
    largest document id in compact arrays without gaps.
-3. Documents send their hashes to the shards in packed rows of bounded size, and a
-   shard's arrays are replicated to the probing parts of the shard. A task reads
-   the arrays of one part, then probes row by row, so it holds one shard and one
-   row. No line is joined with a line, and no array is broadcast.
+3. Documents send their hashes to the shards, and a shard's arrays are replicated to
+   the probing parts of the shard, of which one with a very frequent key has as many
+   more as its count asks for. A task reads the arrays of one part, then probes batch by
+   batch, so it holds one shard and one batch. No line is joined with a line, and no
+   array is broadcast.
 4. The few hits go back to their documents, which drop the lines.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagweave.llm.common import flat, lowered, mixed, small_batches, staged
 
 BLANKS = " \t\n\x0b\f\r"
-#: Keys that one shard's arrays hold, about; parts that probe one shard.
+#: Keys that one shard's arrays hold, about; parts that probe one shard, at least.
 SHARD_KEYS = 200_000
 PARTS = 4
 #: Bits for each key in a level of the perfect hash.
@@ -107,21 +108,39 @@ def repeated_keys(keys: DataFrame, least_docs: int) -> DataFrame:
             .filter(F.col("n") >= least_docs))
 
 
+def _parts(counted: DataFrame, shards: int) -> dict[int, int]:
+    """Parts of the shards that repeated keys send over twice the mean of probes.
+
+    Other keys are even over the shards. ``counted`` has the shard and the count ``n`` of
+    each repeated key, so no probe is counted again.
+    """
+    sums = {r["shard"]: r["n"] for r in counted.groupBy("shard").agg(
+        F.sum("n").alias("n")).collect()}
+    share = max(1, 2 * sum(sums.values()) // shards)
+    return {s: PARTS * -(-n // share) for s, n in sums.items() if n > share}
+
+
 def _dropped(keys: DataFrame, repeated: DataFrame, shards: int) -> DataFrame:
     """Per document (id, h) the hashes of keys whose lines it loses, packed."""
     shard = lambda k: F.pmod(k, F.lit(shards)).cast("int")
-    arrays = (repeated.select(shard(F.col("k")).alias("shard"), "k", "f", "n", "largest",
-                              F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")))
+    parts = _parts(repeated.select(shard(F.col("k")).alias("shard"), "n"), shards)
+    of_shard = F.lit(PARTS)
+    if parts:
+        more = F.create_map(*[F.lit(v) for pair in parts.items() for v in pair])
+        of_shard = F.coalesce(F.try_element_at(more, F.col("shard")), of_shard)
+    arrays = repeated.withColumn("shard", shard(F.col("k"))).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), of_shard - 1)))
     index = arrays.select(
         "shard", "part", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("id"),
         F.lit(0).cast("long").alias("h"), "k", "f", "n", "largest")
     # Keys that no other document holds cannot be told apart here; all are probed.
     probes = keys.select("id", "h", F.explode("keys").alias("key")).select(
-        shard(F.col("key.k")).alias("shard"),
-        F.pmod(F.xxhash64("id", "h"), F.lit(PARTS)).cast("int").alias("part"),
+        "id", "h", "key", shard(F.col("key.k")).alias("shard")).select(
+        "shard", F.pmod(F.xxhash64("id", "h"), of_shard).cast("int").alias("part"),
         F.lit(1).alias("kind"), "id", "h", F.col("key.k").alias("k"), F.col("key.f").alias("f"),
         F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("largest"))
-    dealt = index.unionByName(probes).repartition(shards * PARTS, "shard", "part")
+    total = shards * PARTS + sum(parts.values()) - PARTS * len(parts)
+    dealt = index.unionByName(probes).repartition(total, "shard", "part")
     dealt = dealt.sortWithinPartitions("shard", "part", "kind")
 
     def probed(batches):
@@ -129,7 +148,7 @@ def _dropped(keys: DataFrame, repeated: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             shards_, parts, kinds, ids, hs, k, f, n, largest = (
                 c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            where = shards_.astype(np.int64) * PARTS + parts
+            where = shards_.astype(np.int64) << 32 | parts
             edges = np.flatnonzero((np.diff(where) != 0) | (np.diff(kinds) != 0)) + 1
             for a, b in zip([0, *edges], [*edges, len(where)]):
                 if a == b:
@@ -160,7 +179,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int
     case. Keys of ``least_chars`` code points or more found in ``least_docs``
     documents or more lose all lines but those in the document with the largest id
     of them. Returns the columns of ``docs`` plus ``n_lines`` (before dropping) and
-    ``n_dropped``, which replace columns of these names. A null text counts as one
+    ``n_dropped``, which replace columns of these names, however their case. A null text counts as one
     empty line and becomes the empty text. Each row is a document, also where ids
     repeat; a null id is smaller than all others. The key's hash has 128 bits.
     """
@@ -170,7 +189,8 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int
     whole = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)).alias("id"),
         F.xxhash64(text).alias("h"), text.alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("rest"))
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns
+                   if c.lower() != text_column.lower()]).alias("rest"))
     keys = _keys(whole, least_chars)
     repeated = staged(repeated_keys(keys, least_docs), "repeated-lines")
     shards = 1 + repeated.count() // SHARD_KEYS
@@ -210,6 +230,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int
     ready = joined.select("rest", "text", "lost", marks.alias("marks"))
     schema = ready.schema["rest"].dataType.simpleString()
     out = ready.mapInArrow(cut, f"rest {schema}, text string, n_lines long, n_dropped long")
-    order = [F.col("text").alias(text_column) if c == text_column else F.col(f"rest.`{c}`")
-             for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    order = [F.col("text").alias(c) if c.lower() == text_column.lower()
+             else F.col("rest").getField(c).alias(c)
+             for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return out.select(*order, "n_lines", "n_dropped")

@@ -39,6 +39,28 @@ def test_lines_shards_and_a_hot_line(spark, monkeypatch):
     assert ordered(map(tuple, got)) == ordered(cases.dropped_lines(rows))
 
 
+def test_a_line_in_a_third_of_all_documents_has_parts_of_its_own(spark, monkeypatch):
+    rows = [(i, "a line that very many documents hold\n" * (i % 3 == 0) + f"line {i // 3} of a few "
+             "documents each") for i in range(900)]
+    parts = []
+    plain = linededup._parts
+    monkeypatch.setattr(linededup, "_parts", lambda *a: parts.append(plain(*a)) or parts[-1])
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 20)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = linededup.drop_repeated_lines(docs)
+    assert {tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "text").collect()} == set(
+        cases.dropped_lines(rows))
+    assert max(parts[0].values()) > linededup.PARTS
+
+
+def test_columns_that_differ_by_case_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 5, "x")], "Doc_ID long, TEXT string, N_Lines int, "
+                                 "Rest string")
+    done = linededup.drop_repeated_lines(docs)
+    assert done.columns == ["Doc_ID", "TEXT", "Rest", "n_lines", "n_dropped"]
+    assert tuple(done.first()) == (1, "a\nb", "x", 2, 0)
+
+
 def test_perfect_hash_is_minimal():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64)
     held = linededup.PerfectHash(keys)
