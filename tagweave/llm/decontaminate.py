@@ -9,20 +9,23 @@ hash of the block selects a bucket of patterns, and each is compared byte by byt
 All texts of a batch are searched at once: they lie in one buffer, cut into
 sections with a cursor each, and the cursors move in step.
 
-The documents are read once, without a shuffle. The benchmark is shipped to the
-tasks in blocks of a bounded number of windows, one pass of the buffer for each.
+The benchmark's windows are staged in blocks of a bounded number. One block is broadcast
+at a time and released after its pass over the documents, which needs no shuffle; of
+several passes only the documents with hits are merged. So neither the driver nor a
+worker ever holds more than one block.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import flat, sections, small_batches
+from tagweave.llm.common import flat, sections, small_batches, staged
 
 #: Bytes that part words: all ASCII but digits and letters. Other bytes belong to words.
 GAP = np.ones(128, bool)
@@ -174,7 +177,7 @@ def _hits(text_rows: list[bytes], searcher: Searcher, items: dict[bytes, list[st
     return found
 
 
-FOUND = "n_words long, n_hit long, items array<string>"
+FOUND = "n_words:bigint,places:array<bigint>,items:array<string>"
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10,
@@ -191,44 +194,68 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10,
     """
     spark = docs.sparkSession
     small_batches(spark)
-    table = benchmark_windows(benchmark, size, item_id, item_text).groupBy("window").agg(
-        F.sort_array(F.collect_set("item_id")).alias("items"))
+    table = staged(benchmark_windows(benchmark, size, item_id, item_text).groupBy("window").agg(
+        F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
     blocks = 1 + table.count() // BLOCK_WINDOWS
-    parts = []
-    for b in range(blocks):
-        mine = table.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
-        parts.append((uuid.uuid4().hex, spark.sparkContext.broadcast(
-            {bytes(r["window"]): list(r["items"]) for r in mine.collect()})))
 
-    @F.arrow_udf(f"struct<{FOUND.replace(' long', ':bigint').replace(' array', ':array')}>")
+    def shipped(block: int):
+        mine = table.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
+        return spark.sparkContext.broadcast(
+            {bytes(r["window"]): list(r["items"]) for r in mine.collect()})
+
+    given = docs.select(F.struct("*").alias("row"),
+                        F.col(f"`{text_column}`").cast("string").alias("text"))
+    n_hit = lambda places: F.size(places).cast("long").alias("n_hit")
+    if blocks == 1:
+        done = given.select("row", _search(shipped(0))("text").alias("f")).select("row", F.struct(
+            "f.n_words", n_hit("f.places"), "f.items").alias("found"))
+    else:
+        rows = staged(given.withColumn("number", F.monotonically_increasing_id()), "numbered")
+        passes = []
+        for block in range(blocks):
+            part = shipped(block)
+            found = rows.select("number", _search(part)("text").alias("f")).select("number", "f.*")
+            # The first pass names every row, with its words.
+            passes.append(staged(found.filter("size(items) > 0") if block else found, "hits"))
+            part.destroy()
+        every = lambda name: F.array_distinct(F.flatten(F.collect_list(name)))
+        merged = reduce(DataFrame.unionAll, passes).groupBy("number").agg(F.struct(
+            F.max("n_words").alias("n_words"), n_hit(every("places")),
+            F.array_sort(every("items")).alias("items")).alias("found"))
+        done = rows.join(merged, "number")
+    kept = [c for c in docs.columns if c.lower() != out_column.lower()]
+    return done.select(*[F.col("row").getField(c).alias(c) for c in kept],
+                       F.col("found").alias(out_column))
+
+
+def _search(shipped):
+    """Per text its words, the places of those that are hit, and the items, by one block."""
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf(f"struct<{FOUND}>")
     def search(texts: pa.Array) -> pa.Array:
         data, rows = flat(texts)
-        words, hits, items = [], [], []
+        known, words, places, items = shipped.value, [], [], []
         for a, b in sections(rows):
             held = [reduced(data[rows[k]:rows[k + 1]].tobytes()) for k in range(a, b)]
-            total: list = [(np.zeros(0, bool), set()) for _ in held]
-            for name, part in parts:
-                known = part.value
-                if not known:
-                    continue
-                found = _hits(held, _searcher(name, known), known)
-                total = [(x | y if len(x) and len(y) else x if len(x) else y, p | q)
-                         for (x, p), (y, q) in zip(total, found)]
             words += [max(0, t.count(b" ") - 1) for t in held]
-            hits += [int(x.sum()) for x, _ in total]
-            items += [sorted(p) for _, p in total]
+            found = _hits(held, _searcher(name, known), known) if known else [
+                (np.zeros(0, bool), set()) for _ in held]
+            places += [np.flatnonzero(x) for x, _ in found]
+            items += [sorted(p) for _, p in found]
         return pa.StructArray.from_arrays(
-            [pa.array(words, pa.int64()), pa.array(hits, pa.int64()),
-             pa.array(items, pa.list_(pa.string()))], names=["n_words", "n_hit", "items"])
+            [pa.array(words, pa.int64()), pa.array(places, pa.list_(pa.int64())),
+             pa.array(items, pa.list_(pa.string()))], names=["n_words", "places", "items"])
 
-    return docs.withColumn(out_column, search(F.col(text_column).cast("string")))
+    return search
 
 
 _BUILT: dict[str, Searcher] = {}
 
 
 def _searcher(name: str, known: dict[bytes, list[str]]) -> Searcher:
-    """One searcher for each broadcast and worker process."""
+    """The searcher of one block; a worker process keeps only the last."""
     if name not in _BUILT:
+        _BUILT.clear()
         _BUILT[name] = Searcher(list(known))
     return _BUILT[name]
