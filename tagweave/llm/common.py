@@ -6,19 +6,14 @@ UTF-8 bytes of an Arrow batch; positions are byte positions in that buffer.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
-from tagweave.operators.staging import shared_folder
+from tagweave.operators.staging import find_package, stage as staged  # noqa: F401
 
-#: Where the package lies.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows and bytes of one Arrow batch, so that a task holds few long texts at once.
 BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
@@ -37,24 +32,13 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 def small_batches(spark: SparkSession) -> None:
     """Bound what Arrow hands to Python at once; a single longer row comes alone.
 
-    Also lets Python workers find this package where the driver found it; a place
-    that a node lacks does no harm there.
+    Also lets Python workers find this package where the driver found it.
     """
-    known = spark.sparkContext.environment
-    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if ROOT not in paths:
-        known["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+    find_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back; cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lowered(text: Column) -> Column:
     """A-Z in lower case and nothing else changed; null is the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",

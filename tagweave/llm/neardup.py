@@ -17,8 +17,11 @@
    other, in blocks of bounded size and on full sets inside a task, which returns one
    link at most for each member and component. Bands without a component of several
    members are compared sketch by sketch, in blocks too, and what passes is checked
-   on full sets as well. So no link is lost, while rows between tasks grow with
-   members and not with pairs.
+   on full sets as well. Rows between tasks grow with members and not with pairs.
+
+A link is lost only by the two chances named: no common band (below 1e-7 at the threshold),
+or registers that speak against it by e^12 (about 5e-7 at the threshold, from the
+likelihood ratio's distribution), each less for more similar pairs.
 """
 
 from __future__ import annotations

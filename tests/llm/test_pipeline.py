@@ -51,6 +51,18 @@ def test_stages_keep_clean_documents(spark, folder):
         assert sorted(map(tuple, stage(spark, docs, folder).collect())) == rows
 
 
+def test_stages_keep_columns_of_any_name(spark, folder):
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = given.selectExpr("*", "'a' AS N_Lines", "1 AS Found", "2 AS row", "3L AS number",
+                            "0.5 AS score", "'x' AS TextHash", "map('k', 1) AS rest")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.dtypes == docs.dtypes, name
+        assert {(r["N_Lines"], r["Found"], r["row"], r["number"]) for r in kept.collect()} == {
+            ("a", 1, 2, 3)}
+    assert stage(spark, docs.limit(0), folder).collect() == []
+
+
 def test_toxic_labels_alone_drop_nothing(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.createDataFrame([(i, 1, 1) for i in range(101)],
@@ -80,7 +92,7 @@ def test_names():
         "toxicity", "line dedup", "near duplicates", "decontamination", "packing"]
     ours = entry.queries()
     assert {n.split("_")[0] for n in ours if n.startswith("op") and n[2].isdigit()} == {
-        f"op{i}" for i in range(1, 11)}
+        f"op{i}" for i in range(1, 14)}
     assert ours["pipeline"] is corpus_pipeline.run
     assert set(queries.oracle_sql()) <= set(ours)
 
@@ -91,7 +103,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     result = db.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in result.description]
