@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before it
 kept, and returns a DataFrame that is written as Parquet and read again. All but
-the last return the columns of ``docs``.
+the last return the columns of ``docs``, whatever further ones are called.
+
+A null text counts as empty in every stage: an empty text is neither toxic nor holds a
+line or passage to remove, is no duplicate of another, and stays. Null ids are the
+smallest, rows that repeat an id are documents of their own, and no rows give none.
 """
 
 from __future__ import annotations
@@ -29,8 +33,11 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that many documents repeat; ``n_chars`` follows the text."""
-    kept = linededup.drop_repeated_lines(docs).select(*docs.columns)
-    return kept.withColumn("n_chars", F.length("text").cast("long"))
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    kept = linededup.drop_repeated_lines(rows)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return kept.select(*[new.get(c.lower(), F.col("row").getField(c)).alias(c)
+                         for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark; without items all stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = docs.select(F.struct("*").alias("row"), F.col("text"))
     found = decontaminate.find_benchmark(rows, benchmark)
