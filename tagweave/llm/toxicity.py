@@ -25,7 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagweave.llm.common import flat, small_batches
+from tagweave.llm.common import flat, small_batches, staged
 
 #: Labelled documents of each class that the fit may use, chosen by a hash of the id.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 4000, 8000
@@ -212,13 +212,16 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_column: str = "
     """Fit on labelled documents for which ``training`` (over labels) holds.
 
     Uses at most TOXIC_SAMPLE and ORDINARY_SAMPLE documents. Null labels and ids are
-    left out. Without one of the classes, every document scores their share.
+    left out; a document with both labels is a sample of both. Without one of the
+    classes, every document scores their share.
     """
     small_batches(docs.sparkSession)
     chosen = F.broadcast(sample_of(labels, training, id_column, label_column))  # bounded
-    sample = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string")
-                         .alias("text")).join(chosen, "doc_id").select(
-        "text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("key"))
+    # Four jobs read the sample, which is small beside the documents it is taken from.
+    sample = staged(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string")
+                                .alias("text")).join(chosen, "doc_id").select(
+        "text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("key")),
+        "labelled-sample")
 
     def pieces(batches):
         for batch in batches:

@@ -385,6 +385,18 @@ def test_toxicity_of_rare_insults(spark):
     assert sum(hit for toxic, hit in held if not toxic) <= 5
 
 
+def test_contradicting_and_repeated_labels(spark):
+    rng = random.Random(2)
+    rows = [(i, cases.prose(rng, 40) + (" vile" if i % 4 == 0 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, int(i % 4 == 0)) for i in range(160)] + [(3, 1), (4, 0), (8, 1), (8, 1), (None, 1),
+                                                         (12, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert all((found[i] >= 0.7) == (i % 4 == 0) for i in range(160, 200))
+
+
 def test_ordinary_windows_lie_anywhere():
     """Short texts give more than their beginnings, long ones a window of every stretch."""
     rng = random.Random(6)
