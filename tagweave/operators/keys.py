@@ -24,7 +24,7 @@ def possible_matches(facts: DataFrame, key: str, kept: DataFrame, kept_key: str)
     partner is lost. The filter has a fixed size and is one value of the plan. With more
     keys than it can tell apart it would pass nearly all, so facts stay as they are.
     """
-    keys = kept.select(F.col(kept_key).alias("_key")).filter("_key IS NOT NULL").distinct()
+    keys = kept.select(F.col(kept_key).alias("_key")).filter("_key IS NOT NULL")
     if keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
         return facts
     places = keys.select(F.explode(F.array(*_places("_key"))).alias("at"))

@@ -14,7 +14,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tagweave.functions.columns import slots
-from tagweave.operators.match import lookup
+from tagweave.operators.match import BROADCAST_CODES, lookup
 from tagweave.operators.staging import find_package, shared_folder, stage
 
 # The factorisation, and the number of products recommended.
@@ -342,10 +342,11 @@ def name_products(recommended: DataFrame, products: DataFrame,
     slot = F.posexplode(F.array(*[F.col(n) for n in names])).alias("_slot", "productId")
     long = recommended.select("userId", slot)
     wanted = long.select("productId").distinct()
-    catalogue = stage(products.groupBy("productId")
-                      .agg(F.min("productName").alias("productName"))
-                      .join(wanted, "productId", "left_semi"), "product-names")
-    named = lookup(long, catalogue, ["productId"], "left")
+    # As many names as different ids at most, so the names need not be counted or kept.
+    rows = wanted.limit(BROADCAST_CODES + 1).count()
+    catalogue = products.groupBy("productId").agg(
+        F.min("productName").alias("productName")).join(wanted, "productId", "left_semi")
+    named = lookup(long, catalogue, ["productId"], "left", rows=rows)
     wide = named.groupBy("userId").agg(
         *[F.max(F.when(F.col("_slot") == i, F.col("productName"))).alias(name)
           for i, name in enumerate(names)])

@@ -45,14 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def staged_run(spark: SparkSession) -> Iterator[str]:
+def staged_run(spark: SparkSession, written: bool = True) -> Iterator[str]:
     """What is staged inside the block lies in a folder of its own, which goes with it.
 
-    For jobs that write their results. One run at a time in a driver; a nested one
-    belongs to the outer one.
+    For jobs that write their results; without ``written``, where they stay lazy, nothing is
+    removed. One run at a time in a driver; a nested one belongs to the outer one.
     """
-    if _owner:
-        yield _owner[0]
+    if _owner or not written:
+        yield _owner[0] if _owner else shared_folder(spark)
         return
     folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
     _owner.append(folder)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from tagweave.operators.staging import staged_run
 from tagweave.plans import mining, profile, repair
 from tagweave.plans.settings import Settings
 from tagweave.plans.tags import (BY_NAME, MODEL, PREFERENCE_TABLE, PROFILE_TABLE, TAGS,
@@ -33,7 +34,13 @@ def run(name: str, store, out, taxonomy: Taxonomy | None, settings: Settings,
         sort_by: str | None = None, how: str = "inner") -> None:
     """Compute one job and write its table; the profile joins the tables of the
     tags written before, ``how`` says whether users that lack some are kept. Repairs
-    write a table named like their source with ``_new``."""
+    write a table named like their source with ``_new``. What a job stages goes at its end."""
+    with staged_run(SparkSession.getActiveSession(), not getattr(out, "lazy", False)):
+        _run(name, store, out, taxonomy, settings, sort_by, how)
+
+
+def _run(name: str, store, out, taxonomy: Taxonomy | None, settings: Settings,
+         sort_by: str | None, how: str) -> None:
     if name in REPAIRS:
         source, job = REPAIRS[name]
         table = getattr(settings, source)

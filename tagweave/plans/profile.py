@@ -161,7 +161,7 @@ def run_all(store, out, taxonomy: Taxonomy, settings: Settings,
 
     What is staged on the way is removed at the end.
     """
-    with staged_run(taxonomy.spark):
+    with staged_run(taxonomy.spark, not getattr(out, "lazy", False)):
         values = full_values(store, settings)
         for table, tagged in all_tag_tables(values, taxonomy, settings.half_open).items():
             out.write(tagged, table, sort_by=sort_by)

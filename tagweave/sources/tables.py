@@ -278,7 +278,9 @@ class CatalogTables:
 
 
 class FrameTables:
-    """Named DataFrames already built in this session; writes are kept by name."""
+    """Named DataFrames already built in this session; writes are kept by name, as plans."""
+
+    lazy = True
 
     def __init__(self, frames: Mapping[str, DataFrame] | None = None):
         self.frames = dict(frames or {})

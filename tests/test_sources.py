@@ -326,4 +326,7 @@ def test_a_run_removes_what_it_staged(spark, tags, tmp_path):
         assert all(folder.removeprefix("file:") in f for f in found.inputFiles())
         assert found.count() == 2
     assert not os.path.exists(folder.removeprefix("file:"))
+    with staged_run(spark, FrameTables.lazy is False) as folder:
+        kept = stage(tags, "tags")
+    assert folder == shared_folder(spark) and kept.count() == 2
     assert shared_folder(spark) in stage_path(spark, "x")
