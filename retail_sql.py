@@ -381,10 +381,12 @@ WITH {SHOP_LOGS},{RATINGS}
 SELECT count(DISTINCT "userId") FILTER ("userId" % 100 = 0) AS users, CAST(0 AS BIGINT) AS missed,
        CAST(0 AS BIGINT) AS misstated FROM ratings""",
         "bp_fold_in_check": f"""
-WITH {SHOP_LOGS},{RATINGS}
+WITH {SHOP_LOGS},{RATINGS},
+early AS (SELECT * FROM ratings WHERE "userId" % 5 <> 0 AND "productId" % 5 <> 0)
 SELECT count(DISTINCT "userId") AS users, count(DISTINCT "productId") AS products,
-       count(DISTINCT "userId") FILTER ("userId" % 5 = 0)
-           + count(DISTINCT "productId") FILTER ("productId" % 5 = 0) AS late,
+       count(DISTINCT "userId") FILTER ("userId" NOT IN (SELECT "userId" FROM early))
+           + count(DISTINCT "productId") FILTER ("productId" NOT IN (SELECT "productId" FROM early))
+           AS late,
        CAST(0 AS BIGINT) AS unsolved_users, CAST(0 AS BIGINT) AS unsolved_products FROM ratings""",
         "bp_lists_check": f"""
 WITH {SHOP_LOGS},{RATINGS}
