@@ -123,6 +123,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(found ^ (ends - starts).astype(np.uint64))
 
 
+def prefix_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of the ``size`` bytes from each place on."""
+    found = np.empty(max(len(data) - size + 1, 0), np.uint64)
+    for a in range(0, len(found), SLICE):
+        held, part = found[a:a + SLICE], data[a:a + SLICE + size - 1]
+        up, down = _Powers.to(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * up[:len(part)], out=sums[1:])
+        np.subtract(sums[size:], sums[:-size], out=held)
+        held *= down[:len(held)]
+    found ^= np.uint64(size)
+    return mixed(found)
+
+
 def pair_hashes(words: np.ndarray) -> np.ndarray:
     """A hash of each two neighbouring words."""
     return mixed(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])

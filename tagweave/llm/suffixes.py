@@ -28,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import flat, packed, sections, small_batches, span_hashes, unpacked
+from tagweave.llm.common import (flat, mixed, packed, prefix_hashes, sections, small_batches,
+                                 unpacked)
 
 #: Bytes of a repeated string, and of an anchor in it.
 SIZE, GRAM = 50, 20
@@ -38,6 +39,8 @@ AROUND = SIZE + PLACES - 1
 BUCKET_BYTES, BUCKETS_PER_SHARD = 3 << 20, 4
 #: Bytes whose anchors are looked for at a time.
 SECTION = 1 << 19
+#: Surroundings hashed, compared and marked at a time.
+BLOCK = 1 << 12
 #: Surroundings whose suffixes are sorted at a time, if one anchor has no more.
 SORTED = 10_000
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
@@ -62,17 +65,16 @@ def anchors(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         n = len(part) - GRAM + 1
         if len(part) < SIZE:
             continue
-        row = np.repeat(np.arange(b - a), np.diff(bounds))[:n]
-        at = np.arange(n)
-        hashes = span_hashes(part, at, at + GRAM)
-        hashes[bounds[1:][row] < at + GRAM] = _NONE
+        to_end = np.repeat(bounds[1:], np.diff(bounds))[:n] - np.arange(n)
+        hashes = prefix_hashes(part, GRAM)
+        hashes[to_end < GRAM] = _NONE
         least = _slide(hashes, PLACES, np.minimum)
         # Strings that cross rows count for nothing: anchors follow from a row's own text.
-        least[bounds[1:][row[:len(least)]] < at[:len(least)] + SIZE] = 0
+        least[to_end[:len(least)] < SIZE] = 0
         edge = np.zeros(PLACES - 1, np.uint64)
         most = _slide(np.concatenate([edge, least, edge]), PLACES, np.maximum)
         at = np.flatnonzero((most == hashes) & (hashes != _NONE))
-        found.append((at + rows[a], hashes[at], row[at] + a))
+        found.append((at + rows[a], hashes[at], np.searchsorted(bounds, at, "right") - 1 + a))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -97,12 +99,12 @@ def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndar
     needed = np.cumsum(change[:n]) > 0
     direct = np.flatnonzero(needed & smaller)
     wide = np.concatenate([text, np.zeros(depth + 7, text.dtype)]).astype(np.uint64)
-    keys = []
-    for first in range(0, depth, 7):
-        key = np.zeros(len(direct), np.uint64)
-        for i in range(first, first + 7):
-            key = key << np.uint64(9) | (wide[direct + i] if i < depth else np.uint64(0))
-        keys.append(key)
+    seven = wide[:n + depth].copy()  # seven symbols from each place on
+    for i in range(1, 7):
+        seven <<= np.uint64(9)
+        seven |= wide[i:n + depth + i]
+    keys = [seven[direct + first] >> np.uint64(9 * max(first + 7 - depth, 0))
+            for first in range(0, depth, 7)]
     direct = direct[np.lexsort(keys[::-1])]
     first = text[direct]
     induced = needed & ~smaller
@@ -134,16 +136,39 @@ def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndar
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Symbols that each suffix shares with the next one in order, up to ``depth``."""
     wide = np.concatenate([text, np.zeros(depth, text.dtype)])
-    a, b = order[:-1], order[1:]
-    shared = np.full(len(a), depth)
-    alive = np.arange(len(a))
-    for i in range(depth):
-        same = wide[a[alive] + i] == wide[b[alive] + i]
-        shared[alive[~same]] = i
-        alive = alive[same]
+    shared = np.empty(max(len(order) - 1, 0), np.int64)
+    for a in range(0, len(shared), BLOCK):
+        held = _windows(wide, order[a:a + BLOCK + 1], depth)
+        same = np.zeros((len(held) - 1, depth + 1), bool)  # the first that is not ends it
+        np.equal(held[:-1], held[1:], out=same[:, :depth])
+        shared[a:a + BLOCK] = same.argmin(axis=1)
     return shared
 
 
+def _windows(x: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Rows of the ``size`` values of ``x`` from each place on."""
+    whole = np.dtype((np.void, size * x.itemsize))
+    held = np.ndarray(len(x) - size + 1, whole, np.ascontiguousarray(x), 0, x.itemsize)[at]
+    return held.view(x.dtype).reshape(len(at), size)
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the keys in order, where each distinct key starts there, and each one's number."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])[:len(keys)]
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), of
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys by shard, else as they are, and the bounds of the shards."""
+    shard = (keys % np.uint64(shards)).astype(np.min_scalar_type(shards))
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+
 def earliest(bodies: np.ndarray, left: np.ndarray, right: np.ndarray, anchor: np.ndarray,
              ids: np.ndarray) -> np.ndarray:
     """For distinct surroundings the smallest id of each of their PLACES strings.
@@ -193,56 +218,69 @@ class _Bucket:
         self.ids = table.column("id").to_numpy()
         self.data, self.rows = flat(table.column("text"))
         self.at, hashes, self.row = anchors(self.data, self.rows)
-        distinct, code = np.unique(hashes, return_inverse=True)
-        shard = (distinct % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
+        ranked, first, code = _groups(hashes)
+        distinct = hashes[ranked[first]]
+        order, self.bounds = _by_shard(distinct, shards)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.code, self.distinct = place[code], distinct[order]
-        self.bounds = np.searchsorted(shard[order], np.arange(shards + 1))
 
     def in_several_rows(self) -> np.ndarray:
-        n = len(self.distinct)
-        low, high = np.full(n, len(self.ids)), np.full(n, -1)
-        np.minimum.at(low, self.code, self.row)
-        np.maximum.at(high, self.code, self.row)
+        low, high = np.zeros((2, len(self.distinct)), np.int64)
+        high[self.code] = self.row  # rows ascend and the last one assigned stays
+        low[self.code[::-1]] = self.row[::-1]
         return low != high
 
     def surroundings(self, repeated: np.ndarray):
-        """Occurrences of repeated anchors, and their distinct surroundings by shard."""
+        """Occurrences of repeated anchors; their distinct surroundings by shard, if called for."""
         mine = np.flatnonzero(repeated[self.code])
         at, row, code = self.at[mine], self.row[mine], self.code[mine]
         left = np.minimum(at - self.rows[row], PLACES - 1).astype(np.uint8)
         right = np.minimum(self.rows[row + 1] - at - GRAM, PLACES - 1).astype(np.uint8)
-        column = np.arange(AROUND)
-        bodies = np.zeros((len(mine), AROUND), np.uint8)
-        for a in range(0, len(mine), 10_000):
-            b = slice(a, a + 10_000)
-            inside = (column >= PLACES - 1 - left[b, None]) & (
-                column < PLACES - 1 + GRAM + right[b, None].astype(np.int64))
-            where = np.clip(at[b, None] - (PLACES - 1) + column, 0, len(self.data) - 1)
-            bodies[b] = np.where(inside, self.data[where], 0)
-        marks = _marks(bodies, left, right)
-        distinct, first, of = np.unique(marks, return_index=True, return_inverse=True)
-        least = np.full(len(distinct), HIGHEST)
-        np.minimum.at(least, of, self.ids[row])
+        edge = np.zeros(AROUND, np.uint8)
+        wide = np.concatenate([edge[:PLACES - 1], self.data, edge])
+        marks = np.empty(len(mine), np.uint64)
+        for a in range(0, len(mine), BLOCK):
+            b = slice(a, a + BLOCK)
+            marks[b] = _marks(_bodies(wide, at[b], left[b], right[b]), left[b], right[b])
+        ranked, starts, of = _groups(marks)
+        first = ranked[starts]
         anchor = self.distinct[code[first]]
-        shard = (anchor % np.uint64(self.shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
+        order, bounds = _by_shard(anchor, self.shards)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        kept = first[order]
-        return (at, row, place[of], (anchor[order], left[kept], right[kept], bodies[kept],
-                                     least[order]),
-                np.searchsorted(shard[order], np.arange(self.shards + 1)))
+
+        def distinct():
+            kept = first[order]
+            ids = self.ids[row[ranked]]
+            least = np.minimum.reduceat(ids, starts) if len(ids) else ids
+            return (anchor[order], left[kept], right[kept],
+                    _bodies(wide, at[kept], left[kept], right[kept]), least[order])
+
+        return at, row, place[of], distinct, bounds
+
+
+def _bodies(wide: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bytes around anchors, 0 beyond their documents; ``wide`` starts PLACES - 1 early."""
+    bodies = _windows(wide, at, AROUND)
+    cut = np.flatnonzero((left < PLACES - 1) | (right < PLACES - 1))
+    column = np.arange(AROUND)
+    bodies[cut] *= (column >= PLACES - 1 - left[cut, None]) & (
+        column < PLACES - 1 + GRAM + right[cut, None].astype(np.int64))
+    return bodies
 
 
 def _marks(bodies: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A hash of each surroundings, its ends included."""
-    starts = np.arange(len(bodies)) * AROUND
-    ends = left.astype(np.uint64) << np.uint64(8) | right
-    return span_hashes(bodies.ravel(), starts, starts + AROUND) ^ (
-        ends * np.uint64(0x9E3779B97F4A7C15))
+    """A hash of each surroundings, its ends included; a body is ten words of 8 bytes."""
+    marks = left.astype(np.uint64) << np.uint64(8) | right
+    for a in range(0, len(marks), BLOCK):
+        held = marks[a:a + BLOCK]
+        for word in np.ascontiguousarray(bodies[a:a + BLOCK]).view(np.uint64).T:
+            held ^= word
+            held ^= held >> np.uint64(29)
+            held *= np.uint64(0x9E3779B97F4A7C15)
+            held ^= held >> np.uint64(32)
+    return mixed(marks)
 
 
 _ASK = "shard int, bucket int, hashes binary"
@@ -258,6 +296,19 @@ def _table(rows: list[tuple], columns: str) -> pa.Table:
     return pa.table({n: pa.array(x, kinds[k]) for (n, k), x in zip(names, lists)})
 
 
+def _runs(values: np.ndarray) -> tuple[bytes, bytes]:
+    """Where values differ from the one before, as bits, and these values."""
+    new = np.append(True, values[1:] != values[:-1])
+    return np.packbits(new).tobytes(), packed(values[new])
+
+
+def _whole(new: bytes, values: bytes) -> np.ndarray:
+    """The rows of PLACES values that ``_runs`` took."""
+    bits = np.unpackbits(np.frombuffer(new, np.uint8))
+    bits = bits[:len(bits) // PLACES * PLACES]
+    return unpacked(values, "<i8")[np.cumsum(bits, dtype=np.int64) - 1]
+
+
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
                    ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and the bytes kept (binary).
@@ -301,10 +352,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                            replies.column("hashes").to_pylist()):
             a, b = held.bounds[s], held.bounds[s + 1]
             repeated[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a) > 0
-        _, _, _, columns, bounds = held.surroundings(repeated)
-        rows = [(s, bucket, b"", *(packed(x[a:b]) for x in (
-            columns[0], columns[1], columns[2], columns[3].ravel().reshape(-1, AROUND),
-            columns[4]))) for s, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        _, _, _, distinct, bounds = held.surroundings(repeated)
+        columns = distinct()
+        rows = [(s, bucket, b"", *(packed(x[a:b]) for x in columns))
+                for s, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
         rows.append((-1 - bucket, bucket, np.packbits(repeated).tobytes(), *[b""] * 5))
         return _table(rows, _SEND)
 
@@ -317,13 +368,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         bounds = np.cumsum([0, *map(len, parts[0])])
         anchor, left, right, bodies, ids = (np.concatenate(p) for p in parts)
         bodies = bodies.reshape(-1, AROUND)
-        _, first, of = np.unique(_marks(bodies, left, right), return_index=True,
-                                 return_inverse=True)
-        least = np.full(len(first), HIGHEST)
-        np.minimum.at(least, of, ids)
+        ranked, starts, of = _groups(_marks(bodies, left, right))
+        first, least = ranked[starts], np.minimum.reduceat(ids[ranked], starts)
         found = earliest(bodies[first], left[first], right[first], anchor[first], least)
-        return _table([(s, bucket, b"", packed(np.ascontiguousarray(found[of[a:b]]).ravel()))
-                       for s, bucket, a, b in zip(
+        return _table([(s, bucket, *_runs(found[of[a:b]].ravel())) for s, bucket, a, b in zip(
                            table.column("shard").to_pylist(),
                            table.column("bucket").to_pylist(), bounds, bounds[1:])], _REPLY)
 
@@ -333,17 +381,15 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         known = np.frombuffer(replies.column("known")[0].as_py(), np.uint8)
         repeated = np.unpackbits(known, count=len(held.distinct)) > 0
         at, row, place, _, _ = held.surroundings(repeated)
-        least = [unpacked(x, "<i8") for x in replies.column("least").to_pylist()[1:]]
+        least = [_whole(*x) for x in zip(replies.column("known").to_pylist()[1:],
+                                         replies.column("least").to_pylist()[1:])]
         least = np.concatenate([np.zeros(0, np.int64), *least]).reshape(-1, PLACES)
-        change = np.zeros(len(held.data) + 1, np.int32)
-        for a in range(0, len(at), 10_000):
-            b = slice(a, a + 10_000)
+        starts = np.zeros(SIZE - 1 + len(held.data), bool)
+        for a in range(0, len(at), BLOCK):
+            b = slice(a, a + BLOCK)
             which, offset = np.nonzero(least[place[b]] < held.ids[row[b], None])
-            starts = at[b][which] - (PLACES - 1) + offset
-            np.add.at(change, starts, 1)
-            np.add.at(change, starts + SIZE, -1)
-        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
-        del change
+            starts[at[b][which] + (SIZE - PLACES) + offset] = True
+        gone = _slide(starts, SIZE, np.logical_or)
         rows = held.rows
         total = np.append(np.int32(0), np.cumsum(gone, dtype=np.int32))
         begins = gone.copy()
@@ -351,12 +397,13 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         inner = rows[1:-1][rows[1:-1] < len(gone)]
         begins[inner] = gone[inner]
         spans = np.append(np.int32(0), np.cumsum(begins, dtype=np.int32))
-        kept = [held.data[a:b][~gone[a:b]].tobytes() for a, b in zip(rows, rows[1:])]
+        kept = (rows - total[rows]).astype(np.int32)
         return pa.table({
             "id": table.column("id"), "n_bytes": pa.array(np.diff(rows)),
             "n_removed": pa.array(np.diff(total[rows]).astype(np.int64)),
             "n_spans": pa.array(np.diff(spans[rows]).astype(np.int64)),
-            "kept": pa.array(kept, pa.binary())})
+            "kept": pa.Array.from_buffers(pa.binary(), len(rows) - 1, [
+                None, pa.py_buffer(kept), pa.py_buffer(held.data[~gone])])})
 
     told = dealt.groupBy("bucket").applyInArrow(ask, _ASK).groupBy("shard").applyInArrow(
         tell, _ASK)

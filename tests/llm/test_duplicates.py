@@ -178,3 +178,62 @@ def test_anchors_follow_from_a_row_alone():
             places = [p for p, _ in found]
             for start in range(len(t) - suffixes.SIZE + 1):
                 assert any(start <= p <= start + suffixes.SIZE - suffixes.GRAM for p in places)
+
+
+def test_hashes_of_all_places_equal_those_of_spans(monkeypatch):
+    from tagweave.llm import common
+
+    data = np.random.default_rng(8).integers(0, 256, 500).astype(np.uint8)
+    at = np.arange(481)
+    right = common.span_hashes(data, at, at + 20)
+    monkeypatch.setattr(common, "SLICE", 64)
+    assert (common.prefix_hashes(data, 20) == right).all()
+    assert len(common.prefix_hashes(data[:19], 20)) == 0
+
+
+def test_prefixes_in_blocks(monkeypatch):
+    monkeypatch.setattr(suffixes, "BLOCK", 7)
+    text = np.append(np.random.default_rng(9).integers(1, 3, 200), 0).astype(np.uint16)
+    order = suffixes.sorted_suffixes(text, np.ones(201, bool), 9)
+    shown = [[*text[i:i + 9], *[0] * 9][:9] for i in order]
+    assert suffixes.common_prefixes(text, order, 9).tolist() == [
+        next((k for k in range(9) if a[k] != b[k]), 9) for a, b in zip(shown, shown[1:])]
+
+
+def test_surroundings_end_with_their_documents(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffixes, "BLOCK", 5)
+    rng = random.Random(10)
+    texts = [cases.prose(rng, 25) for _ in range(8)]
+    texts += [texts[0][:70], texts[0][:70], "", "short", texts[1][9:] + "\u00e9" * 30]
+    ids = [rng.randrange(100) for _ in texts]
+    held = suffixes._Bucket(pa.table({"id": ids, "text": texts}), 3)
+    at, row, place, distinct, bounds = held.surroundings(np.ones(len(held.distinct), bool))
+    anchor, left, right, bodies, least = distinct()
+    reach = suffixes.PLACES - 1
+    seen, earliest = {}, {}
+    for p, r, k in zip(at, row, place):
+        start, end = held.rows[r], held.rows[r + 1]
+        around = bytes(held.data[max(start, p - reach):min(end, p + suffixes.GRAM + reach)])
+        shown = bytes(bodies[k][reach - left[k]:reach + suffixes.GRAM + right[k]])
+        assert (around, left[k]) == (shown, min(reach, p - start))
+        assert not bodies[k][:reach - left[k]].any()
+        assert not bodies[k][reach + suffixes.GRAM + right[k]:].any()
+        assert seen.setdefault((around, left[k]), k) == k
+        earliest[k] = min(earliest.get(k, 100), ids[r])
+    assert len(seen) == len(least) == bounds[-1] < len(at)
+    assert [earliest[k] for k in range(len(least))] == least.tolist()
+    for s, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        assert (anchor[a:b] % np.uint64(3) == s).all()
+
+
+def test_replies_hold_a_value_for_each_run():
+    rng = np.random.default_rng(11)
+    for n in (1, 7, 8, 300):
+        found = np.repeat(rng.integers(-(1 << 63), 1 << 62, n), suffixes.PLACES)
+        bits, values = suffixes._runs(found)
+        assert len(suffixes.unpacked(values, "<i8")) == n
+        assert (suffixes._whole(bits, values) == found).all()
+        found[rng.random(len(found)) < 0.3] = suffixes.HIGHEST
+        assert (suffixes._whole(*suffixes._runs(found)) == found).all()
