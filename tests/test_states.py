@@ -76,6 +76,28 @@ def test_a_new_day_reads_only_its_facts(spark, tmp_path, orders):
     assert f"[file:{path}" in plan
 
 
+def test_a_new_day_reads_only_its_facts_in_any_folder(spark, tmp_path, orders):
+    """Spark cuts a plan's paths after 100 characters unless told otherwise."""
+    path = str(tmp_path / ("long" * 30) / "facts")
+    orders.write.partitionBy("day").parquet(path)
+    store = VersionedFiles(spark, str(tmp_path / "states"))
+    facts = spark.read.parquet(path)
+    states.add_day(store, "s", facts.filter("day = 0"), "0", states.ORDERS_KEPT)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        second = states.merged([store.read("s"), states.state_of(
+            facts.filter("day = 1"), states.ORDERS_KEPT).select(store.read("s").columns)],
+            states.ORDERS_KEPT)
+        plan = second._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if f"[file:{path}" in line]
+    assert scans
+    for line in scans:
+        filters = line.split("PartitionFilters: [")[1].split("]")[0]
+        assert "isnotnull(day" in filters and " = 1)" in filters
+
+
 def test_sketched_pages_merge(spark, tmp_path, logs, rows):
     _, state = whole(spark, tmp_path, logs, states.LOGS_SKETCHED)
     found = states.metrics_of(state, states.LOGS_SKETCHED, AS_OF)
